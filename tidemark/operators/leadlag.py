@@ -123,7 +123,10 @@ def evaluate(
     holdout: int = HOLDOUT,
     least: int = MIN_OBSERVATIONS,
 ) -> DataFrame:
-    """Verdict per place and declared pair, for pairs with both sides present."""
+    """Verdict per place and declared pair whose outcome exists there.
+
+    Series of different cadence never pair and read as insufficient data.
+    """
     rows = with_split(aligned(series, pairs, cadences), holdout)
     usable = (F.col("n_signal") >= least) & (F.col("n_outcome") >= least) & (F.col("n_outcome") > holdout)
     lags = lag_table(rows, max_lag)

@@ -25,15 +25,20 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# Sums differ in their last bits between engines; the nudge keeps exact halves
+# (common in averages of prices) from rounding to different sides.
+NUDGE = 1.2e-8
+
+
 def r(column: str | Column, digits: int = 4) -> Column:
     """Rounded double under its own name, free of negative zero."""
-    if isinstance(column, str):
-        return (F.round(F.col(column), digits) + F.lit(0.0)).alias(column)
-    return F.round(column, digits) + F.lit(0.0)
+    value = F.col(column) if isinstance(column, str) else column
+    rounded = F.round(value + F.lit(NUDGE), digits) + F.lit(0.0)
+    return rounded.alias(column) if isinstance(column, str) else rounded
 
 
 def R(expression: str, digits: int = 4) -> str:
-    return f"(round({expression}, {digits}) + 0.0::DOUBLE)"
+    return f"(round(({expression}) + 1.2e-8::DOUBLE, {digits}) + 0.0::DOUBLE)"
 
 
 def text_date(column: str) -> Column:

@@ -161,13 +161,13 @@ def validate_batch(spark, sf_dir):
 @query(
     "f10_keep_valid",
     _CHECKED
-    + """ SELECT metric_id, geo_id, pidx, value FROM c
+    + """ SELECT metric_id, CASE WHEN pidx % 40 = 5 THEN geo_id || '9' ELSE geo_id END AS geo_id, pidx, value FROM c
     WHERE pidx % 40 NOT IN (1, 3, 4, 8) AND NOT (metric_id = 'avg_ticket' AND source_id = 'order_desk' AND value > 300000)
-      AND NOT (metric_id = 'avg_ticket' AND source_id = 'web_desk' AND value > 480000) AND pidx % 40 <> 5""",
+      AND NOT (metric_id = 'avg_ticket' AND source_id = 'web_desk' AND value > 480000)""",
 )
 def keep_valid(spark, sf_dir):
     kept = V.keep_valid(_dirty(spark, sf_dir), M.registry(spark), _ranges(spark))
-    return kept.where(F.length("geo_id") <= 9).select("metric_id", "geo_id", "pidx", "value")
+    return kept.select("metric_id", "geo_id", "pidx", "value")
 
 
 @query(
@@ -215,7 +215,8 @@ def closed_periods(spark, sf_dir):
 @query(
     "f15_drop_incomplete_tail",
     obs_sql("orders_count", "revenue", "qty_shipped")
-    + """, t AS (SELECT metric_id, pidx, sum(value) AS total, row_number() OVER (PARTITION BY metric_id ORDER BY pidx DESC) AS rn FROM obs GROUP BY ALL),
+    + """, t0 AS (SELECT metric_id, pidx, sum(value) AS total FROM obs GROUP BY ALL),
+    t AS (SELECT *, row_number() OVER (PARTITION BY metric_id ORDER BY pidx DESC) AS rn FROM t0),
     n AS (SELECT metric_id, list_sort(list(total) FILTER (WHERE rn BETWEEN 2 AND 13))[7] AS normal FROM t GROUP BY ALL HAVING count(*) >= 13),
     b AS (SELECT t.*, max((total >= 0.4::DOUBLE * normal)::INTEGER) OVER (PARTITION BY metric_id ORDER BY rn ROWS UNBOUNDED PRECEDING) AS seen FROM t JOIN n USING (metric_id))
     SELECT metric_id, geo_id, pidx, value FROM obs WHERE (metric_id, pidx) NOT IN (SELECT (metric_id, pidx) FROM b WHERE seen = 0)""",
@@ -241,11 +242,11 @@ def coverage_gate(spark, sf_dir):
 @query(
     "f17_drop_low_volume",
     """WITH m AS (SELECT source, list_sort(list(n_chars))[(count(*) // 2 + 1)::INTEGER] AS med FROM documents GROUP BY source)
-    SELECT lang, source, count(*) AS documents FROM documents WHERE source NOT IN (SELECT source FROM m WHERE med < 1000) GROUP BY ALL""",
+    SELECT lang, source, count(*) AS documents FROM documents WHERE source NOT IN (SELECT source FROM m WHERE med < 1500) GROUP BY ALL""",
 )
 def drop_low_volume(spark, sf_dir):
     d = M.table(spark, sf_dir, "documents").select("lang", "source", "n_chars")
-    return V.drop_low_volume(d, "source", "n_chars", 1000).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("documents"))
+    return V.drop_low_volume(d, "source", "n_chars", 1500).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("documents"))
 
 
 @query(

@@ -16,11 +16,11 @@ _PLAIN = "aaaaaaeeeeiiiiooooouuuuncyAAAAAAEEEEIIIIOOOOOUUUUNCY"
 
 @query(
     "n1_n2_normalised_names",
-    rf"""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(upper(translate(text, '{_MARKS}', '{_PLAIN}')), '[ \t\n\r\f\v]*-[ \t\n\r\f\v]*', '-', 'g'), '[ \t\n\r\f\v]+', ' ', 'g'))) AS digest
-    FROM documents WHERE lang IN ('fr', 'en')""",
+    rf"""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(upper(translate(replace(text, 'ß', 'SS'), '{_MARKS}', '{_PLAIN}')), '[ \t\n\r\f\v]*-[ \t\n\r\f\v]*', '-', 'g'), '[ \t\n\r\f\v]+', ' ', 'g'))) AS digest
+    FROM documents""",
 )
 def normalised_names(spark, sf_dir):
-    d = M.table(spark, sf_dir, "documents").where(F.col("lang").isin("fr", "en"))
+    d = M.table(spark, sf_dir, "documents")
     return d.select("doc_id", F.md5(X.normalise_name("text")).alias("digest"))
 
 

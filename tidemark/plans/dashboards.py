@@ -34,3 +34,13 @@ def headline_sentence(subject, place, change, period) -> Column:
         pretty_period(period),
         F.lit("."),
     )
+
+
+def wide_latest(series, columns: dict[str, str], required: str, key: str = "geo_id"):
+    """Newest value of several metrics side by side; the required one must exist."""
+    picks = [
+        F.max_by(F.when(F.col("metric_id") == m, F.col("value")), F.when(F.col("metric_id") == m, F.col("pidx"))).alias(name)
+        for m, name in columns.items()
+    ]
+    wanted = series.where(F.col("metric_id").isin(*columns))
+    return wanted.groupBy(key).agg(*picks).where(F.col(required).isNotNull())
