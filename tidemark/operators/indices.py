@@ -54,12 +54,14 @@ def oriented(
     cadences: Sequence[str] = ("monthly",),
     stock: DataFrame | None = None,
     stock_metrics: Sequence[str] = (),
+    stock_cadences: Sequence[str] = ("monthly",),
     bound: float = 4.0,
 ) -> DataFrame:
     """Monthly oriented z-scores of the declared (metric, transform) pairs.
 
     ``series`` needs ``metric_id, geo_id, geo_level, cadence, pidx, value``;
-    ``pairs`` is the literal table (metric_id, transform, direction).  Scores
+    ``pairs`` is the literal table (metric_id, transform, direction) and
+    ``stock_metrics`` (of ``stock_cadences``) are read per unit of ``stock``.  Scores
     are formed per series in its own cadence, before any place reads them, so
     a series shared by many places is computed once.
     """
@@ -69,8 +71,7 @@ def oriented(
     used = series.select(*columns).join(F.broadcast(pairs.select("metric_id").distinct()), "metric_id", "left_semi")
     raw = transformed(used, plain, cadences).join(wanted, ["metric_id", "transform"])
     if stock is not None and stock_metrics:
-        own = [c for c in cadences if c in ("monthly", "quarterly", "annual")]
-        per = per_stock(used, stock_metrics, stock, own).select(*columns)
+        per = per_stock(used, stock_metrics, stock, stock_cadences).select(*columns)
         per = per.withColumn("transform", F.lit(PER_STOCK)).withColumn("raw", F.col("value"))
         raw = raw.unionByName(per.join(wanted, ["metric_id", "transform"]))
     scored = zscored(raw, bound=bound).where(F.col("z").isNotNull())

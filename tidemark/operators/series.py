@@ -61,13 +61,21 @@ def expanding_z(value: str, w: WindowSpec, min_history: Column | int, bound: flo
     return F.when(F.count(value).over(past) >= need, clip(score, bound))
 
 
-def outlier_score(value: str, w: WindowSpec, window: int = 12, least: int = 6) -> Column:
-    """Distance from the median of the previous rows in scaled MADs."""
-    past = F.sort_array(F.collect_list(value).over(w.rowsBetween(-window, -1)))
-    median = _middle(past)
-    mad = _middle(F.sort_array(F.transform(past, lambda x: F.abs(x - median))))
-    score = F.try_divide(F.abs(F.col(value) - median), F.when(mad != 0, F.lit(1.4826) * mad))
-    return F.when(F.size(past) >= least, score)
+def with_outlier_score(
+    df: DataFrame, value: str = "value", keys: Sequence[str] = SERIES_KEY, window: int = 12, least: int = 6, out: str = "outlier"
+) -> DataFrame:
+    """Distance from the median of the previous rows, in scaled MADs.
+
+    The frame holds at most ``window`` values.  Median and MAD are separate
+    projections so that neither is formed again per element.
+    """
+    frame = series_window(keys).rowsBetween(-window, -1)
+    past = df.withColumn("_past", F.collect_list(value).over(frame))
+    centred = past.withColumn("_past", F.sort_array("_past")).withColumn("_median", _middle(F.col("_past")))
+    spread = centred.withColumn("_dev", F.sort_array(F.transform("_past", lambda x: F.abs(x - F.col("_median")))))
+    mad = _middle(F.col("_dev"))
+    score = F.try_divide(F.abs(F.col(value) - F.col("_median")), F.when(mad != 0, F.lit(1.4826) * mad))
+    return spread.withColumn(out, F.when(F.size("_past") >= least, score)).drop("_past", "_median", "_dev")
 
 
 def _middle(ordered: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import indices, leadlag, places, regimes
 from tidemark.plans import model as M
 from tidemark.plans.catalog.base import BRIDGE, R, obs_sql, query, r, values_sql
-from tidemark.session import literal_table
+from tidemark.session import cut_lineage, literal_table
 from tidemark.sources.dims import COMPONENT_SCHEMA
 
 INPUTS = [
@@ -75,7 +75,8 @@ def components(spark):
 
 def scores(spark, sf_dir):
     """Monthly oriented z-scores, once per series."""
-    obs = M.series(spark, sf_dir, INPUTS)
+    # The observations are read several times below; the facts only once.
+    obs = cut_lineage(M.series(spark, sf_dir, INPUTS))
     pairs = literal_table(spark, "metric_id string, transform string, direction int", SCORED)
     stock = obs.where(F.col("metric_id") == "buyers_annual")
     return indices.oriented(obs, pairs, TRANSFORMS, ("monthly", "quarterly", "annual"), stock, ["orders_count"])
@@ -176,7 +177,7 @@ def rule_predicates(spark, sf_dir):
     SELECT place, month, available, (available >= 3)::INTEGER AS confident, {rules_sql(regimes.REGIMES_V3)} AS rule_id FROM w LEFT JOIN dlt USING (place)""",
 )
 def regime_now(spark, sf_dir):
-    placed = placed_scores(spark, sf_dir)
+    placed = cut_lineage(placed_scores(spark, sf_dir))
     comp = components(spark)
     out = regimes.summary(indices.current_index(placed, comp), indices.index_history(placed, comp))
     return out.select("place", "month", "available", F.col("confident").cast("int").alias("confident"), "rule_id")
@@ -213,7 +214,7 @@ LEAD_INPUTS = ["orders_count", "revenue", "open_share", "qty_shipped", "avg_tick
 
 
 def lead_lag(spark, sf_dir):
-    placed = places.resolve(M.series(spark, sf_dir, LEAD_INPUTS), places.bridge(M.places(spark, sf_dir)))
+    placed = cut_lineage(places.resolve(M.series(spark, sf_dir, LEAD_INPUTS), places.bridge(M.places(spark, sf_dir))))
     pairs = literal_table(spark, "signal string, outcome string", M.PAIRS)
     return leadlag.evaluate(placed, pairs, ("monthly", "quarterly"))
 

@@ -57,7 +57,7 @@ def rolling_mean_sum(spark, sf_dir):
 )
 def robust_outlier(spark, sf_dir):
     obs = M.series(spark, sf_dir, ["avg_ticket", "return_rate", "segment_orders"])
-    out = obs.withColumn("score", S.outlier_score("value", S.series_window())).where(F.col("score").isNotNull())
+    out = S.with_outlier_score(obs, out="score").where(F.col("score").isNotNull())
     return out.select("metric_id", "geo_id", "pidx", r("score"), (F.col("score") >= 3.5).cast("int").alias("suspect"))
 
 
