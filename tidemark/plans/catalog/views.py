@@ -10,7 +10,7 @@ from tidemark.plans import dashboards as D
 from tidemark.plans import model as M
 from tidemark.plans.catalog import forecasts as FQ
 from tidemark.plans.catalog import signals as SQ
-from tidemark.plans.catalog.base import BRIDGE, PERIOD_M, R, obs_sql, query, r, values_sql
+from tidemark.plans.catalog.base import BRIDGE, DIST, PERIOD_M, R, obs_sql, query, r, values_sql
 from tidemark.plans.catalog.joins import COLUMNS, DIFF, customer_snapshot, snapshot_sql
 from tidemark.plans.catalog.aggregates import FLOWS
 from tidemark.session import cut_lineage, literal_table
@@ -255,21 +255,26 @@ def forecast_round(spark, sf_dir):
     return out.select("target_id", "issued", "skilled", r("mean_p_up"), "folds")
 
 
+_ROUND = (FQ.ALL + FQ.FOLDS + FQ.SCORES + FQ.ISSUED)[len(obs_sql(*FQ.METRICS)) :].replace(
+    "AS n FROM obs)", "AS n FROM obs WHERE metric_id IN ('orders_count', 'revenue', 'orders_quarter'))"
+)
+
+
 @query(
     "q10_brief",
     SQ.ZSQL
+    + _ROUND
     + f""", nw AS (SELECT place, metric_id, transform, max(month) AS month, arg_max(oriented, month) AS oriented FROM pz GROUP BY ALL),
     g AS (SELECT place, index_id, CASE WHEN count(*) >= max(min_components) THEN sum(oriented * weight) / sum(weight) END AS value FROM nw JOIN comp USING (metric_id, transform) GROUP BY ALL),
-    sg AS (SELECT {"'dist-' || lpad((nk + 1)::VARCHAR, 5, '0') || '-' || lpad(CASE seg WHEN 'AUTOMOBILE' THEN '1' WHEN 'BUILDING' THEN '2' WHEN 'FURNITURE' THEN '3' WHEN 'HOUSEHOLD' THEN '4' ELSE '5' END, 2, '0')"} AS geo_id, m, rev::DOUBLE / n::DOUBLE AS ticket FROM dm)
-    SELECT 'index' AS part, place AS subject, index_id AS item, {R('value')} AS value, CASE WHEN value IS NULL THEN 'insufficient' WHEN value > 0.5 THEN 'high' WHEN value < -0.5 THEN 'low' ELSE 'normal' END AS note FROM g
-    UNION ALL SELECT 'district', geo_id, 'ticket', {R('arg_max(ticket, m)')}, 'table' FROM sg GROUP BY geo_id""",
+    sg AS (SELECT {DIST} AS geo_id, m, rev::DOUBLE / n::DOUBLE AS ticket FROM dm)
+    SELECT 'forecast' AS part, geo_id AS subject, target_id AS item, {R('p50', 3)} AS value, CASE WHEN model_verdict = 'beats_baseline' THEN 'skilled' ELSE 'baseline' END AS note FROM iss
+    UNION ALL SELECT 'index', place, index_id, {R('value', 3)}, CASE WHEN value IS NULL THEN 'insufficient' WHEN value > 0.5 THEN 'high' WHEN value < -0.5 THEN 'low' ELSE 'normal' END FROM g
+    UNION ALL SELECT 'district', geo_id, 'ticket', {R('arg_max(ticket, m)', 3)}, 'table' FROM sg GROUP BY geo_id""",
 )
 def brief(spark, sf_dir):
     current = indices.current_index(SQ.placed_scores(spark, sf_dir), SQ.components(spark))
     table = D.wide_latest(M.series(spark, sf_dir, ["segment_ticket", "segment_orders"]), {"segment_ticket": "ticket", "segment_orders": "orders"}, "ticket")
-    # The forecast part of the brief is checked by q9; an empty round keeps this one small.
-    nothing = spark.createDataFrame([], "geo_id string, target_id string, p50 double, model_verdict string")
-    return D.brief(nothing, current, table).select("part", "subject", "item", r("value"), "note")
+    return D.brief(FQ.issued(spark, sf_dir), current, table).select("part", "subject", "item", r("value", 3), "note")
 
 
 @query(

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.operators.history import appended, merge, quarantined
@@ -42,7 +43,8 @@ def merge_batches(
         columns = batch.columns
         log = spark.createDataFrame([], batch.schema)
         if batch_id > 0:
-            written = spark.read.schema(batch.schema.add("batch_id", "long")).parquet(history_path)
+            fields = T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])
+            written = spark.read.schema(fields).parquet(history_path)
             log = written.where(F.col("batch_id") < batch_id).select(*columns)
         decisions = merge(log, batch, revisions_allowed)
         appended(decisions).write.mode("overwrite").parquet(f"{history_path}/batch_id={batch_id}")
