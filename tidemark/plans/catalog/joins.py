@@ -247,7 +247,7 @@ _WORDS = [("ACCOUNT", "acc"), ("THE ", "the"), ("LE ", "le"), ("UND", "und")]
     SELECT lang, code, count(*) AS documents FROM c WHERE code IS NOT NULL GROUP BY ALL""",
 )
 def text_to_code(spark, sf_dir):
-    d = M.table(spark, sf_dir, "documents").select("lang", X.first_code_by_keyword("text", _WORDS).alias("code"))
+    d = X.with_keyword_code(M.table(spark, sf_dir, "documents").select("lang", "text"), "text", _WORDS)
     return d.where(F.col("code").isNotNull()).groupBy("lang", "code").agg(F.count(F.lit(1)).alias("documents"))
 
 

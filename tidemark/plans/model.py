@@ -119,97 +119,112 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def segment_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order totals per nation, segment and month."""
-    return (
-        order_facts(spark, sf_dir)
-        .groupBy(F.col("c_nationkey").alias("nk"), F.col("n_regionkey").alias("rk"), F.col("c_mktsegment").alias("seg"), "m")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(money("o_totalprice")).alias("rev"),
-            F.count_if(F.col("o_orderstatus") == "O").alias("n_open"),
-            F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("n_urgent"),
-        )
-    )
-
-
-def line_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line totals per nation and month.
+def fact_months(spark: SparkSession, sf_dir: str, lines: bool = False) -> DataFrame:
+    """Order (and line) totals per nation, segment and month, in one pass.
 
     Lines are reduced per order before the join, which then reuses that hash
     partitioning; an order with very many lines is one partial row per task.
     """
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("qty"),
-            F.sum(F.col("l_discount").cast("decimal(18,2)")).alias("disc"),
-            F.count_if(F.col("l_returnflag") == "R").alias("n_ret"),
+    facts = order_facts(spark, sf_dir)
+    sums = {
+        "n": F.count(F.lit(1)),
+        "rev": F.sum(money("o_totalprice")),
+        "n_open": F.count_if(F.col("o_orderstatus") == "O"),
+        "n_urgent": F.count_if(F.col("o_orderpriority") == "1-URGENT"),
+    }
+    if lines:
+        per_order = (
+            table(spark, sf_dir, "lineitem")
+            .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+            .agg(
+                F.count(F.lit(1)).alias("lines"),
+                F.sum(money("l_quantity")).alias("qty"),
+                F.sum(money("l_discount")).alias("disc"),
+                F.count_if(F.col("l_returnflag") == "R").alias("n_ret"),
+            )
         )
-    )
-    facts = order_facts(spark, sf_dir).select("o_orderkey", "c_nationkey", "n_regionkey", "m")
-    return (
-        lines.join(facts, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(F.col("c_nationkey").alias("nk"), F.col("n_regionkey").alias("rk"), "m")
-        .agg(F.sum("n").alias("n"), F.sum("qty").alias("qty"), F.sum("disc").alias("disc"), F.sum("n_ret").alias("n_ret"))
-    )
+        facts = facts.join(per_order, "o_orderkey", "left")
+        sums |= {c: F.sum(c) for c in ("lines", "qty", "disc", "n_ret")}
+    keys = [F.col("c_nationkey").alias("nk"), F.col("n_regionkey").alias("rk"), F.col("c_mktsegment").alias("seg"), "m"]
+    return facts.groupBy(*keys).agg(*[v.alias(k) for k, v in sums.items()])
 
 
 # --- Observations --------------------------------------------------------------------
-def _emit(df: DataFrame, geo_id: Column, level: str, cadence: str, pidx: Column, metrics: dict[str, Column]) -> DataFrame:
-    rows = F.array(*[F.struct(F.lit(k).alias("metric_id"), v.alias("value")) for k, v in metrics.items()])
-    out = df.select(geo_id.alias("geo_id"), pidx.cast("int").alias("pidx"), F.inline(rows))
-    return out.select(
-        "metric_id", "geo_id", F.lit(level).alias("geo_level"), F.lit(cadence).alias("cadence"), "pidx", "value"
-    )
-
-
 def mun(nk="nk") -> Column:
     return geo.municipality(F.col(nk) + 1)
 
 
-def place_observations(seg: DataFrame) -> DataFrame:
-    months = seg.groupBy("nk", "m").agg(*[F.sum(c).alias(c) for c in ("n", "rev", "n_open", "n_urgent")])
-    n = _number("n")
-    return _emit(
-        months,
-        mun(),
-        "municipality",
-        "monthly",
-        F.col("m"),
-        {
-            "orders_count": n,
-            "revenue": _number("rev"),
-            "avg_ticket": _number("rev") / n,
-            "open_share": F.lit(100.0) * _number("n_open") / n,
-            "urgent_share": F.lit(100.0) * _number("n_urgent") / n,
-        },
-    )
+def _grains() -> dict[tuple[str, str], tuple[Column, Column]]:
+    """(level, cadence) -> (geography, period) of a nation, segment and month."""
+    code = F.array_position(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("seg"))
+    m = F.col("m").cast("int")
+    return {
+        ("municipality", "monthly"): (mun(), m),
+        ("municipality", "quarterly"): (mun(), F.floor(m / F.lit(3.0)).cast("int")),
+        ("nation", "monthly"): (F.lit("es"), m),
+        ("district", "monthly"): (geo.district(F.col("nk") + 1, code), m),
+        ("province", "monthly"): (geo.province(F.col("nk") + 1), m),
+        ("ccaa", "monthly"): (geo.ccaa(F.col("rk") + 1), m),
+    }
+
+
+def _values() -> dict[str, Column]:
+    n, lines = _number("n"), _number("lines")
+    return {
+        "orders_count": n,
+        "revenue": _number("rev"),
+        "avg_ticket": _number("rev") / n,
+        "open_share": F.lit(100.0) * _number("n_open") / n,
+        "urgent_share": F.lit(100.0) * _number("n_urgent") / n,
+        "world_revenue": _number("rev"),
+        "orders_quarter": n,
+        "segment_orders": n,
+        "segment_ticket": _number("rev") / n,
+        "qty_shipped": _number("qty"),
+        "return_rate": F.lit(100.0) * _number("n_ret") / lines,
+        "discount_rate": F.lit(100.0) * _number("disc") / lines,
+    }
 
 
-def other_order_observations(seg: DataFrame) -> DataFrame:
-    world = seg.groupBy("m").agg(F.sum("rev").alias("rev"))
-    quarters = seg.groupBy("nk", F.floor(F.col("m") / F.lit(3.0)).cast("int").alias("q")).agg(F.sum("n").alias("n"))
-    dist = seg.withColumn("code", F.array_position(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("seg")))
-    return (
-        _emit(world, F.lit("es"), "nation", "monthly", F.col("m"), {"world_revenue": _number("rev")})
-        .unionByName(_emit(quarters, mun(), "municipality", "quarterly", F.col("q"), {"orders_quarter": _number("n")}))
-        .unionByName(
-            _emit(
-                dist,
-                geo.district(F.col("nk") + 1, F.col("code")),
-                "district",
-                "monthly",
-                F.col("m"),
-                {"segment_orders": _number("n"), "segment_ticket": _number("rev") / _number("n")},
-            )
-        )
+_LINE = {"qty_shipped", "return_rate", "discount_rate"}
+
+
+def grain_observations(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
+    """All wanted metrics of all their levels from a single pass over the facts.
+
+    The nation-segment-month totals are copied to each level and period they
+    belong to and summed again: the facts are scanned once, however many
+    levels are asked for.
+    """
+    grains, values = _grains(), _values()
+    by_grain: dict[tuple[str, str], list[str]] = {}
+    for metric_id, _, _, cadence, level, *_ in METRICS:
+        if metric_id in wanted and (level, cadence) in grains:
+            by_grain.setdefault((level, cadence), []).append(metric_id)
+    totals = fact_months(spark, sf_dir, bool(wanted & _LINE))
+    sums = [c for c in totals.columns if c not in ("nk", "rk", "seg", "m")]
+    copies = F.array(
+        *[
+            F.struct(F.lit(level).alias("geo_level"), F.lit(cadence).alias("cadence"), grains[level, cadence][0].alias("geo_id"), grains[level, cadence][1].alias("pidx"))
+            for level, cadence in by_grain
+        ]
     )
+    keys = ["geo_level", "cadence", "geo_id", "pidx"]
+    summed = totals.select(F.inline(copies), *sums).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    rows = [
+        F.when(
+            (F.col("geo_level") == level) & (F.col("cadence") == cadence),
+            F.struct(F.lit(metric).alias("metric_id"), values[metric].alias("value")),
+        )
+        for (level, cadence), metrics in by_grain.items()
+        for metric in metrics
+    ]
+    out = summed.select(*keys, F.inline(F.array_compact(F.array(*rows))))
+    return out.where(F.col("value").isNotNull()).select("metric_id", "geo_id", "geo_level", "cadence", "pidx", "value")
 
 
 def buyer_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct buyers per nation and year."""
     years = (
         order_facts(spark, sf_dir)
         .select("c_nationkey", F.year("o_orderdate").alias("y"), "o_custkey")
@@ -217,52 +232,25 @@ def buyer_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("c_nationkey").alias("nk"), "y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return _emit(years, mun(), "municipality", "annual", F.col("y"), {"buyers_annual": _number("n")})
-
-
-def line_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = line_months(spark, sf_dir)
-    regions = months.groupBy("rk", "m").agg(F.sum("disc").alias("disc"), F.sum("n").alias("n"))
-    return _emit(
-        months,
-        geo.province(F.col("nk") + 1),
-        "province",
-        "monthly",
-        F.col("m"),
-        {"qty_shipped": _number("qty"), "return_rate": F.lit(100.0) * _number("n_ret") / _number("n")},
-    ).unionByName(
-        _emit(
-            regions,
-            geo.ccaa(F.col("rk") + 1),
-            "ccaa",
-            "monthly",
-            F.col("m"),
-            {"discount_rate": F.lit(100.0) * _number("disc") / _number("n")},
-        )
+    return years.select(
+        F.lit("buyers_annual").alias("metric_id"),
+        mun().alias("geo_id"),
+        F.lit("municipality").alias("geo_level"),
+        F.lit("annual").alias("cadence"),
+        F.col("y").cast("int").alias("pidx"),
+        _number("n").alias("value"),
     )
 
 
-_PLACE = {"orders_count", "revenue", "avg_ticket", "open_share", "urgent_share"}
-_ORDER = {"world_revenue", "orders_quarter", "segment_orders", "segment_ticket"}
-_LINE = {"qty_shipped", "return_rate", "discount_rate"}
-
-
 def series(spark: SparkSession, sf_dir: str, metrics: Sequence[str] | None = None) -> DataFrame:
     """Observations of the wanted metrics; only their facts are scanned."""
     wanted = {m[0] for m in METRICS} if metrics is None else set(metrics)
     parts = []
-    if wanted & _PLACE:
-        parts.append(place_observations(segment_months(spark, sf_dir)))
-    if wanted & _ORDER:
-        parts.append(other_order_observations(segment_months(spark, sf_dir)))
+    if wanted - {"buyers_annual"}:
+        parts.append(grain_observations(spark, sf_dir, wanted))
     if "buyers_annual" in wanted:
         parts.append(buyer_observations(spark, sf_dir))
-    if wanted & _LINE:
-        parts.append(line_observations(spark, sf_dir))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out if metrics is None else out.where(F.col("metric_id").isin(*wanted))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def with_period(df: DataFrame) -> DataFrame:
