@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.frames import plain
 from tidemark.functions.periods import by_cadence
 from tidemark.functions.stats import mean_pinball, upper_median
 from tidemark.operators.series import series_window
@@ -114,7 +115,7 @@ def with_analogs(
                 out[f"a_{h}"] = [None if np.isnan(row[0]) else row.tolist() for row in got]
             else:
                 out[f"a_{h}"] = None
-        return out
+        return plain(out)
 
     return series.groupBy(*keys).applyInPandas(run, schema)
 

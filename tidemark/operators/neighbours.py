@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.frames import empty, plain
+
 BLOCK_ROWS = 50_000
 SLICE_TARGETS = 20_000
 
@@ -62,7 +64,7 @@ def nearest(
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({n: [] for n in names})
+            return empty(names)
         left = left.sort_values(list(candidate_id), kind="stable").reset_index(drop=True)
         points = np.stack([np.asarray(x, dtype=float) for x in left["vector"]])
         if embargo is not None:
@@ -74,10 +76,12 @@ def nearest(
                 distance[(places == row.place) & (np.abs(months - row.month) <= embargo)] = np.inf
             kept = np.argsort(distance, kind="stable")[:k]
             kept = kept[distance[kept] < np.inf]
+            if not len(kept):
+                continue
             part = left.iloc[kept][[*candidate_id, *payload]].copy()
             part["target"], part["distance"] = row.target, distance[kept]
             found.append(part)
-        return pd.concat(found)[names]
+        return plain(pd.concat(found, ignore_index=True)[names]) if found else empty(names)
 
     partial = (
         dealt.groupBy("_block", "_slice").cogroup(asked.groupBy("_block", "_slice")).applyInPandas(best, schema)

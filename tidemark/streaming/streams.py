@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.functions.frames import plain
 from tidemark.operators.history import appended, merge, quarantined
 
 
@@ -79,9 +80,8 @@ class Hysteresis(StatefulProcessor):
             states.append(held)
             kept.append(hold)
         self.state.update((held, streak))
-        yield pd.DataFrame(
-            {"place": key[0], "month": pdf["month"], "verdict": pdf["verdict"], "rule_id": states, "held_by_hysteresis": kept}
-        )
+        out = {"place": key[0], "month": pdf["month"], "verdict": pdf["verdict"], "rule_id": states, "held_by_hysteresis": kept}
+        yield plain(pd.DataFrame(out))
 
     def close(self) -> None:
         pass
