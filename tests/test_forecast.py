@@ -91,6 +91,22 @@ def test_training_ends_before_the_target(series):
     assert chosen["issue"]["for_pidx"] == START + 102
 
 
+def test_aligned_folds_and_fixed_drift_errors(series):
+    df = series({("m", "g"): {START + i: float(i) for i in range(70)}}).select("metric_id", "geo_id", "cadence", "pidx", "value")
+    hz = {"monthly": [3]}
+    wide = {"monthly": [3, 4]}
+    drift = "kind = 'fold' AND model = 'drift'"
+    # On a straight line the aligned fold is exact and the plain one is a step short.
+    fixed = FC.predictions(df, wide, fix_horizon=True)
+    aligned = FC.walk_forward(fixed, hz, align=True).where(drift).collect()
+    plain_ = FC.walk_forward(fixed, hz).where(drift).collect()
+    assert aligned and all(abs(r["actual"] - r["p50"]) < 1e-9 for r in aligned)
+    assert all(abs(r["actual"] - r["p50"] - 1.0) < 1e-9 for r in plain_)
+    # The default error compares an h-step extrapolation with the next value.
+    default = FC.walk_forward(FC.predictions(df, hz), hz).where(drift).collect()
+    assert all(abs(r["actual"] - r["p50"] - 3.0) < 1e-9 for r in default)
+
+
 def test_supplied_state_vectors_are_compared(spark):
     rows = [("m", "g", "monthly", START + i, 100.0 + i, [float(i % 5), 1.0]) for i in range(60)]
     df = spark.createDataFrame(rows, "metric_id string, geo_id string, cadence string, pidx int, value double, state array<double>")

@@ -93,12 +93,13 @@ def upper_median(expression: str) -> Column:
     return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {expression} DESC)")
 
 
-def upper_median_by(df: DataFrame, keys: list[str], value: str, out: str = "median", accuracy: int = 1000) -> DataFrame:
+def upper_median_by(df: DataFrame, keys: list[str], value: str, out: str = "median", accuracy: int = 1000, steps: int = 1000) -> DataFrame:
     """Exact upper median per key, whatever the group size.
 
     Rows are first reduced to counts per distinct value on the map side.  A
-    mergeable sketch then brackets the middle rank; only the values inside the
-    bracket are ordered, while those below it are merely counted.
+    mergeable sketch then brackets the middle rank, equal steps narrow the
+    bracket down, and only the values of one step are put in order; all others
+    are merely counted.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n_value"))
     sketch = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
@@ -119,14 +120,19 @@ def upper_median_by(df: DataFrame, keys: list[str], value: str, out: str = "medi
     below = near.groupBy(*keys).agg(
         F.sum(F.when(F.col(value) < F.col("lo"), F.col("n_value")).otherwise(0)).alias("n_below")
     )
-    inside = near.where(F.col(value).between(F.col("lo"), F.col("hi"))).join(below, keys)
-    running = F.sum("n_value").over(
-        Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    width = F.col("hi") - F.col("lo")
+    step = F.coalesce(F.floor(F.try_divide((F.col(value) - F.col("lo")) * steps, F.when(width != 0, width))), F.lit(0))
+    inside = near.where(F.col(value).between(F.col("lo"), F.col("hi"))).withColumn("step", step)
     rank = F.floor(F.col("n_all") / F.lit(2.0))  # zero-based position of the middle
-    return (
-        inside.withColumn("upto", F.col("n_below") + running)
-        .where(F.col("upto") > rank)
-        .groupBy(*keys)
-        .agg(F.min(value).alias(out))
-    )
+
+    def running(order: str) -> Column:
+        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.col("n_below") + F.sum("n_value").over(w)
+
+    # Which step of the bracket holds the middle: at most `steps` rows per key.
+    ladder = inside.groupBy(*keys, "step").agg(F.sum("n_value").alias("n_value"), F.max("n_all").alias("n_all"))
+    ladder = ladder.join(below, keys).withColumn("upto", running("step")).where(F.col("upto") > rank)
+    hit = ladder.groupBy(*keys).agg(F.min_by(F.struct("step", (F.col("upto") - F.col("n_value")).alias("n_below")), F.col("step")).alias("h"))
+    # Only the values of that step are put in order.
+    chosen = inside.join(hit.select(*keys, "h.step", "h.n_below"), [*keys, "step"])
+    return chosen.withColumn("upto", running(value)).where(F.col("upto") > rank).groupBy(*keys).agg(F.min(value).alias(out))

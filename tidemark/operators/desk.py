@@ -74,7 +74,7 @@ def entries(series: DataFrame, directions: DataFrame, cadences: Sequence[str] =
         F.max_by(F.struct("cadence", "pidx", "value", "yoy", "z", "z_prev"), "pidx").alias("_r"),
         F.count(F.lit(1)).alias("observations"),
     )
-    flat = newest.select("place", "metric_id", "observations", "_r.*").join(F.broadcast(directions), "metric_id")
+    flat = newest.select("place", "metric_id", "observations", "_r.*").join(directions, "metric_id")
     raw = flat.withColumn("percentile_raw", diffusion("z"))
     return raw.withColumns(
         {

@@ -121,15 +121,18 @@ def with_analogs(
 
 
 # --- Baselines as prefix windows ---------------------------------------------------
-def _errors(season: int, h: int, w) -> dict[str, Column]:
+def _errors(season: int, h: int, w, fix_horizon: bool) -> dict[str, Column]:
     n, v = F.col("n"), F.col("value")
-    step = (F.lag("value", 1).over(w) - F.lag("value", season).over(w)) / F.lit(float(max(season - 1, 1)))
+    # The drift error extrapolates h steps from one row back; the fixed form
+    # extrapolates from h rows back, so that its horizon is the one published.
+    back = h if fix_horizon else 1
+    step = (F.lag("value", back).over(w) - F.lag("value", back + season - 1).over(w)) / F.lit(float(max(season - 1, 1)))
     if season == 1:
         step = F.lit(0.0)
     return {
         "seasonal_naive": F.when(n > season + h, v - F.lag("value", season).over(w)),
         "random_walk": F.when(n > h, v - F.lag("value", h).over(w)),
-        "drift": F.when(n > season + h, v - (F.lag("value", 1).over(w) + step * F.lit(float(h)))),
+        "drift": F.when(n > season + h, v - (F.lag("value", back).over(w) + step * F.lit(float(h)))),
     }
 
 
@@ -145,7 +148,9 @@ def _points(season: int, h: int, w) -> dict[str, Column]:
     }
 
 
-def with_baselines(series: DataFrame, horizons: Mapping[str, Sequence[int]], keys: Sequence[str] = SERIES_KEY) -> DataFrame:
+def with_baselines(
+    series: DataFrame, horizons: Mapping[str, Sequence[int]], keys: Sequence[str] = SERIES_KEY, fix_horizon: bool = False
+) -> DataFrame:
     """Add ``b_<cadence>_<horizon>``: the baseline predictions made at each row."""
     w = series_window(keys)
     prefix = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -153,7 +158,7 @@ def with_baselines(series: DataFrame, horizons: Mapping[str, Sequence[int]], key
     out = series.withColumn("n", F.row_number().over(w))
     errors, points = {}, {}
     for c, h in combos:
-        for model, e in _errors(SEASON[c], h, w).items():
+        for model, e in _errors(SEASON[c], h, w, fix_horizon).items():
             errors[f"_e_{c}_{h}_{model}"] = F.when(F.col("cadence") == c, e)
         for model, p in _points(SEASON[c], h, w).items():
             points[f"_p_{c}_{h}_{model}"] = F.when(F.col("cadence") == c, p)
@@ -183,12 +188,14 @@ def with_baselines(series: DataFrame, horizons: Mapping[str, Sequence[int]], key
     return out.withColumns(packed).drop(*scratch)
 
 
-def predictions(series: DataFrame, horizons: Mapping[str, Sequence[int]], keys: Sequence[str] = SERIES_KEY, **analog) -> DataFrame:
+def predictions(
+    series: DataFrame, horizons: Mapping[str, Sequence[int]], keys: Sequence[str] = SERIES_KEY, fix_horizon: bool = False, **analog
+) -> DataFrame:
     """One row per observation with all models' predictions from it.
 
     ``preds`` is an array of (cadence, horizon, models); models refuse with NULL.
     """
-    out = with_baselines(with_analogs(series, horizons, keys, **analog), horizons, keys)
+    out = with_baselines(with_analogs(series, horizons, keys, **analog), horizons, keys, fix_horizon)
     arrays = {}
     for c, hs in horizons.items():
         for h in hs:
@@ -208,9 +215,14 @@ def walk_forward(
     keys: Sequence[str] = SERIES_KEY,
     min_train: Mapping[str, int] = MIN_TRAIN,
     embargo: Mapping[str, int] = EMBARGO,
+    align: bool = False,
 ) -> DataFrame:
     """Folds and the final prediction of every series, horizon and model.
 
+    A fold's training ends ``embargo`` periods before its cut, yet it predicts
+    ``horizon`` steps from there; with ``align`` it predicts ``horizon +
+    embargo`` steps, for which ``predicted`` must hold those horizons too.
+
     ``kind`` is ``fold`` (a past prediction with its actual) or ``issue`` (the
     prediction from the newest observation).
     """
@@ -229,7 +241,7 @@ def walk_forward(
                 F.lag("pidx", gap).over(w).alias("from_pidx"),
                 F.col("value").alias("actual"),
                 F.lag("value", gap).over(w).alias("last_observed"),
-                F.lag(f"m_{c}_{h}", gap).over(w).alias("models"),
+                F.lag(f"m_{c}_{gap if align else h}", gap).over(w).alias("models"),
             )
             issue = F.struct(
                 F.lit("issue").alias("kind"),
@@ -295,7 +307,7 @@ def issue(chosen: DataFrame, targets: DataFrame, keys: Sequence[str] = SERIES_KE
     ``targets`` is the literal table (target_id, metric_id, horizon,
     direction_only); direction-only targets carry no quantiles.
     """
-    rows = chosen.where(F.col("issue").isNotNull()).join(F.broadcast(targets), ["metric_id", "horizon"])
+    rows = chosen.where(F.col("issue").isNotNull()).join(targets, ["metric_id", "horizon"])
     shown = ~F.col("direction_only")
     return rows.select(
         "target_id",
@@ -318,7 +330,7 @@ def target_status(series: DataFrame, targets: DataFrame, keys: Sequence[str] = S
     """Whether each series is long enough for each target."""
     sizes = series.groupBy(*keys, "cadence").agg(F.count("value").alias("observations"))
     need = by_cadence("cadence", dict(min_train)) + F.col("horizon") + 4
-    out = sizes.join(F.broadcast(targets), "metric_id").withColumn("needed", need)
+    out = sizes.join(targets, "metric_id").withColumn("needed", need)
     return out.withColumn("status", F.when(F.col("observations") < F.col("needed"), "insufficient_data").otherwise("evaluated"))
 
 

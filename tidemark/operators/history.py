@@ -64,14 +64,17 @@ def merge(log: DataFrame, batch: DataFrame, revisions_allowed: Column | bool, ke
 
     Adds ``action`` (added, unchanged, revised, quarantined), ``prior_value``
     and the revision to store.  Write :func:`appended` to the history and
-    :func:`quarantined` to the quarantine.  Both sides are reduced to one row
-    per key before the join, which then follows the same hash partitioning.
+    :func:`quarantined` to the quarantine.  The history is first reduced to the
+    observations the batch touches, so a small batch does not shuffle it; both
+    sides hold one row per key before the join.
     """
     allowed = F.lit(revisions_allowed) if isinstance(revisions_allowed, bool) else revisions_allowed
-    prior = current_view(log, keys).select(
+    first = first_in_batch(batch, keys)
+    touched = log.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+    prior = current_view(touched, keys).select(
         *keys, F.col("value").alias("prior_value"), F.col("revision").alias("_prior_rev"), F.lit(True).alias("_known")
     )
-    joined = first_in_batch(batch, keys).join(prior, list(keys), "left")
+    joined = first.join(prior, list(keys), "left")
     action = (
         F.when(F.col("_known").isNull(), "added")
         .when(same_value("prior_value", "value"), "unchanged")

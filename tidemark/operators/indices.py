@@ -67,8 +67,8 @@ def oriented(
     """
     plain = [n for n in names if n in TRANSFORMS]
     columns = ["metric_id", "geo_id", "geo_level", "cadence", "pidx", "value"]
-    wanted = F.broadcast(pairs.select("metric_id", "transform", "direction").distinct())
-    used = series.select(*columns).join(F.broadcast(pairs.select("metric_id").distinct()), "metric_id", "left_semi")
+    wanted = pairs.select("metric_id", "transform", "direction").distinct()
+    used = series.select(*columns).join(pairs.select("metric_id").distinct(), "metric_id", "left_semi")
     raw = transformed(used, plain, cadences).join(wanted, ["metric_id", "transform"])
     if stock is not None and stock_metrics:
         per = per_stock(used, stock_metrics, stock, stock_cadences).select(*columns)
@@ -85,7 +85,7 @@ def index_history(scores: DataFrame, components: DataFrame) -> DataFrame:
     ``scores`` carries ``place`` (see ``places.resolve``); ``components`` is the
     literal table (index_id, metric_id, transform, weight, min_components).
     """
-    joined = scores.join(F.broadcast(components), ["metric_id", "transform"])
+    joined = scores.join(components, ["metric_id", "transform"])
     out = joined.groupBy("place", "index_id", "month").agg(
         (F.sum(F.col("oriented") * F.col("weight")) / F.sum("weight")).alias("value"),
         F.count(F.lit(1)).alias("n"),
@@ -100,7 +100,7 @@ def current_components(scores: DataFrame, components: DataFrame) -> DataFrame:
         F.max_by(F.struct("geo_id", "geo_level", "raw", "z", "oriented"), "month").alias("_r"), F.max("month").alias("month")
     )
     flat = newest.select("place", "metric_id", "transform", "month", "_r.*")
-    return flat.join(F.broadcast(components), ["metric_id", "transform"])
+    return flat.join(components, ["metric_id", "transform"])
 
 
 def current_index(scores: DataFrame, components: DataFrame) -> DataFrame:

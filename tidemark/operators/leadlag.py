@@ -66,7 +66,7 @@ def aligned(series: DataFrame, pairs: DataFrame, cadences: Sequence[str] = ("mon
         hit, prior = F.col("cadence") == c, at_offset("yoy", -STEPS_PER_YEAR[c], own)
         last_year = F.when(hit, prior) if last_year is None else last_year.when(hit, prior)
     changes = changes.withColumn("_seasonal", F.when(F.col("_prior") != 0, last_year))
-    small = F.broadcast(pairs)
+    small = pairs
     signal = changes.join(small.withColumnRenamed("signal", "metric_id"), "metric_id").select(
         "place", F.col("metric_id").alias("signal"), "outcome", "cadence", "pidx",
         F.col("yoy").alias("x"), F.lit(None).cast("double").alias("y"), F.lit(None).cast("double").alias("seasonal"),

@@ -185,7 +185,9 @@ def carry_denominator(
     """As-of division with a tolerance.
 
     Each numerator row uses the denominator of its own period, else the latest
-    one at most ``max_gap`` periods earlier.  Both sides are stacked and read
+    one at most ``max_gap`` periods earlier.  A denominator of a slower cadence
+    is first projected with :func:`to_months`; without that only equal
+    cadences meet.  Both sides are stacked and read
     through one RANGE frame, so no range join is formed.
     """
     extra = [c for c in num.columns if c not in (*keys, "pidx", "value")]

@@ -24,10 +24,10 @@ def _with_registry(records: DataFrame, metrics: DataFrame, ranges: DataFrame | N
         F.col("lo").alias("_lo"),
         F.col("hi").alias("_hi"),
     )
-    out = records.join(F.broadcast(registry), "metric_id", "left")
+    out = records.join(registry, "metric_id", "left")
     if ranges is not None:
         own = ranges.select("source_id", "metric_id", F.col("lo").alias("_olo"), F.col("hi").alias("_ohi"))
-        out = out.join(F.broadcast(own), ["source_id", "metric_id"], "left")
+        out = out.join(own, ["source_id", "metric_id"], "left")
         out = out.withColumn("_lo", F.coalesce("_olo", "_lo")).withColumn("_hi", F.coalesce("_ohi", "_hi"))
         out = out.drop("_olo", "_ohi")
     return out
@@ -41,7 +41,7 @@ def _outside() -> Column:
 def with_reason(records: DataFrame, metrics: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
     """Add ``reason``: the first check a record fails, NULL when it passes.
 
-    ``metrics`` is the registry (bounded by its declarations, hence broadcast);
+    ``metrics`` is the registry; as a declared table it is broadcast by its size;
     ``ranges`` optionally overrides the registry's range per source.
     """
     joined = _with_registry(records, metrics, ranges)
@@ -84,7 +84,7 @@ def pick_cell(df: DataFrame, cells: DataFrame, dimensions: Sequence[str]) -> Dat
     ``cells`` declares one row per metric: the wanted value of each dimension
     plus ``metric_id`` and ``unit``.
     """
-    return df.join(F.broadcast(cells), list(dimensions))
+    return df.join(cells, list(dimensions))
 
 
 def closed_only(df: DataFrame, as_of: str, end: str = "observation_end") -> DataFrame:
@@ -133,7 +133,7 @@ def drop_low_volume(df: DataFrame, category: str, value: str, least: float = 500
 
 def enabled_only(df: DataFrame, sources: DataFrame) -> DataFrame:
     off = sources.where(~F.col("enabled")).select("source_id")
-    return df.join(F.broadcast(off), "source_id", "left_anti")
+    return df.join(off, "source_id", "left_anti")
 
 
 def freshness(observation_end, max_age_days, as_of: str) -> Column:

@@ -45,7 +45,7 @@ def with_known_from(
     lagged = F.date_add("observation_end", F.coalesce(F.col("_lag"), F.lit(default_days)))
     if restated_after_fetch:
         lagged = F.when(F.col("revision") > 0, F.greatest("fetched_at", lagged)).otherwise(lagged)
-    small = F.broadcast(lags.select("source_id", F.col("days").alias("_lag")))
+    small = lags.select("source_id", F.col("days").alias("_lag"))
     return (
         log.join(small, "source_id", "left")
         .withColumn("known_from", F.coalesce("published_at", lagged))

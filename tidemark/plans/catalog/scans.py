@@ -155,7 +155,7 @@ def fixed_width(spark, sf_dir):
 )
 def navigation_log(spark, sf_dir):
     e = M.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.col("event_type").alias("prev"))
-    moves = next_in_time(e, ["user_id"], "ts", ["event_id"], "prev", F.date_trunc("DAY", "ts"), "curr").where(F.col("curr").isNotNull())
+    moves = next_in_time(e, ["user_id"], "ts", ["event_id"], "prev", F.date_trunc("MINUTE", "ts"), "curr").where(F.col("curr").isNotNull())
     log = moves.groupBy("prev", "curr").agg(F.count(F.lit(1)).alias("n"))
     good = log.select(F.concat_ws("\t", "prev", "curr", F.lit("link"), "n").alias("value"))
     noise = log.select(F.explode(F.array(F.lit("# comment"), F.concat_ws("\t", "prev", "curr"), F.lit("a\tb\tc\tx"))).alias("value"))

@@ -106,8 +106,8 @@ def metric_cards(
     meta = registry.select("metric_id", "label", "unit", "section", "direction", "source_id")
     ages = sources.select("source_id", "max_age_days")
     cards = (
-        newest.join(F.broadcast(meta), "metric_id")
-        .join(F.broadcast(ages), "source_id", "left")
+        newest.join(meta, "metric_id")
+        .join(ages, "source_id", "left")
         .join(doubtful, ["metric_id", "pidx"], "left")
     )
     end = pidx_end("pidx", F.col("cadence"))
@@ -261,7 +261,7 @@ def source_health(runs: DataFrame, sources: DataFrame, as_of: str) -> DataFrame:
     after = runs.join(base.select("source_id", "last_success"), "source_id").groupBy("source_id").agg(
         F.count_if(~good & (F.col("last_success").isNull() | (F.col("run") > F.col("last_success")))).alias("consecutive_failures")
     )
-    out = base.join(after, "source_id").join(F.broadcast(sources.select("source_id", "max_age_days")), "source_id", "left")
+    out = base.join(after, "source_id").join(sources.select("source_id", "max_age_days"), "source_id", "left")
     stale = F.datediff(F.lit(as_of).cast("date"), F.col("latest_observation"))
     fresh = F.coalesce(stale <= F.col("max_age_days"), F.lit(False))
     return out.withColumns({"staleness_days": stale, "fresh": fresh, "needs_attention": (F.col("status") == "failed") | ~fresh})

@@ -261,7 +261,7 @@ def with_period(df: DataFrame) -> DataFrame:
 
 def records(spark: SparkSession, sf_dir: str, metrics: Sequence[str] | None = None) -> DataFrame:
     """Canonical records (revision 0) with unit and source from the registry."""
-    reg = F.broadcast(registry(spark).select("metric_id", "unit", "source_id"))
+    reg = registry(spark).select("metric_id", "unit", "source_id")
     out = with_period(series(spark, sf_dir, metrics)).join(reg, "metric_id")
     return out.withColumns(
         {

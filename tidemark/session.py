@@ -47,9 +47,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and continue from there.
+
+    Used where a result is read several times: the work before it is done once
+    and survives the loss of executors, and later reads prune columns.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _sql_literal(value, kind: str) -> str:
