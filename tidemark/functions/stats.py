@@ -93,46 +93,48 @@ def upper_median(expression: str) -> Column:
     return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {expression} DESC)")
 
 
-def upper_median_by(df: DataFrame, keys: list[str], value: str, out: str = "median", accuracy: int = 1000, steps: int = 1000) -> DataFrame:
+def upper_median_by(
+    df: DataFrame, keys: list[str], value: str, out: str = "median", accuracy: int = 1000, steps: int = 1000
+) -> DataFrame:
     """Exact upper median per key, whatever the group size.
 
-    Rows are first reduced to counts per distinct value on the map side.  A
-    mergeable sketch then brackets the middle rank, equal steps narrow the
-    bracket down, and only the values of one step are put in order; all others
-    are merely counted.
+    A mergeable sketch brackets the middle rank, rows are counted per equal step
+    of the bracket, and only the values of the one step that holds the middle
+    are put in order.  Every shuffle carries partial aggregates of bounded
+    size, so a key with a large share of the rows is never gathered.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n_value"))
-    sketch = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
+    around = F.array(F.lit(0.5 - 5.0 / accuracy), F.lit(0.5 + 5.0 / accuracy))
+    sketch = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_all"),
         F.min(value).alias("v_min"),
         F.max(value).alias("v_max"),
-        F.percentile_approx(value, F.array(F.lit(0.5 - 5.0 / accuracy), F.lit(0.5 + 5.0 / accuracy)), accuracy).alias("b"),
+        F.percentile_approx(value, around, accuracy).alias("b"),
     )
-    # A group too small for the bracket to mean anything keeps all its values.
+    # A group too small for the bracket to mean anything keeps its whole range.
     small = F.col("n_all") <= 20 * accuracy
     bounds = sketch.select(
         *keys,
-        "n_all",
+        F.floor(F.col("n_all") / F.lit(2.0)).alias("rank"),  # zero-based position of the middle
         F.when(small, F.col("v_min")).otherwise(F.col("b")[0]).alias("lo"),
         F.when(small, F.col("v_max")).otherwise(F.col("b")[1]).alias("hi"),
     )
-    near = counted.join(bounds, keys)
-    below = near.groupBy(*keys).agg(
-        F.sum(F.when(F.col(value) < F.col("lo"), F.col("n_value")).otherwise(0)).alias("n_below")
-    )
     width = F.col("hi") - F.col("lo")
-    step = F.coalesce(F.floor(F.try_divide((F.col(value) - F.col("lo")) * steps, F.when(width != 0, width))), F.lit(0))
-    inside = near.where(F.col(value).between(F.col("lo"), F.col("hi"))).withColumn("step", step)
-    rank = F.floor(F.col("n_all") / F.lit(2.0))  # zero-based position of the middle
+    within = F.floor(F.try_divide((F.col(value) - F.col("lo")) * steps, F.when(width != 0, width)))
+    step = F.when(F.col(value) < F.col("lo"), F.lit(-1)).otherwise(F.coalesce(within, F.lit(0)))
+    near = rows.join(bounds, keys).where(F.col(value) <= F.col("hi")).withColumn("step", step)
 
     def running(order: str) -> Column:
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return F.col("n_below") + F.sum("n_value").over(w)
-
-    # Which step of the bracket holds the middle: at most `steps` rows per key.
-    ladder = inside.groupBy(*keys, "step").agg(F.sum("n_value").alias("n_value"), F.max("n_all").alias("n_all"))
-    ladder = ladder.join(below, keys).withColumn("upto", running("step")).where(F.col("upto") > rank)
-    hit = ladder.groupBy(*keys).agg(F.min_by(F.struct("step", (F.col("upto") - F.col("n_value")).alias("n_below")), F.col("step")).alias("h"))
-    # Only the values of that step are put in order.
-    chosen = inside.join(hit.select(*keys, "h.step", "h.n_below"), [*keys, "step"])
-    return chosen.withColumn("upto", running(value)).where(F.col("upto") > rank).groupBy(*keys).agg(F.min(value).alias(out))
+        return F.sum("n").over(w)
+
+    # Which step holds the middle: at most `steps` + 2 rows per key.
+    ladder = near.groupBy(*keys, "step").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("rank"))
+    ladder = ladder.withColumn("upto", running("step")).where(F.col("upto") > F.col("rank"))
+    first = F.min_by(F.struct("step", (F.col("upto") - F.col("n")).alias("before")), F.col("step"))
+    hit = ladder.groupBy(*keys).agg(first.alias("h")).select(*keys, "h.step", "h.before")
+    tied = near.join(hit, [*keys, "step"]).groupBy(*keys, value).agg(
+        F.count(F.lit(1)).alias("n"), F.max("rank").alias("rank"), F.max("before").alias("before")
+    )
+    reached = tied.withColumn("upto", F.col("before") + running(value)).where(F.col("upto") > F.col("rank"))
+    return reached.groupBy(*keys).agg(F.min(value).alias(out))
