@@ -45,6 +45,10 @@ def text_date(column: str) -> Column:
     return F.col(column).cast("string").alias(column)
 
 
+# Latin letters with a mark and without it, for translate().
+MARKED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ"
+PLAIN = "aaaaaaeeeeiiiiooooouuuuncyAAAAAAEEEEIIIIOOOOOUUUUNCY"
+
 # Observations of the order and line tables, in SQL.
 DM = """dm AS (
   SELECT c_nationkey AS nk, n_regionkey AS rk, c_mktsegment AS seg,

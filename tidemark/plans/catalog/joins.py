@@ -9,7 +9,7 @@ from tidemark.operators import history, places, series as S, snapshots, vintage
 from tidemark.operators.leadlag import aligned, lag_table, with_split
 from tidemark.operators.neighbours import nearest
 from tidemark.plans import model as M
-from tidemark.plans.catalog.base import BRIDGE, MUN, R, REV, obs_sql, query, r, values_sql
+from tidemark.plans.catalog.base import BRIDGE, MARKED, MUN, PLAIN, R, REV, obs_sql, query, r, values_sql
 from tidemark.session import literal_table
 
 
@@ -242,7 +242,7 @@ _WORDS = [("ACCOUNT", "acc"), ("THE ", "the"), ("LE ", "le"), ("UND", "und")]
 
 @query(
     "j13_text_to_code",
-    f"""WITH k AS (SELECT lang, upper(translate(text, 'éèêàâçôûùîïëüäöÉÈÀ', 'eeeaacouuiieuaoEEA')) AS key FROM documents),
+    f"""WITH k AS (SELECT lang, upper(translate(text, '{MARKED}', '{PLAIN}')) AS key FROM documents),
     c AS (SELECT lang, CASE {' '.join(f"WHEN contains(key, '{w.rstrip()}') THEN '{c}'" if not w.endswith(' ') else f"WHEN contains(regexp_replace(key, '[ \t\n]+', ' ', 'g'), '{w}') THEN '{c}'" for w, c in _WORDS)} END AS code FROM k)
     SELECT lang, code, count(*) AS documents FROM c WHERE code IS NOT NULL GROUP BY ALL""",
 )

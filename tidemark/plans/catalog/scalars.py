@@ -8,15 +8,11 @@ from tidemark.functions import periods as P, stats, text as X
 from tidemark.operators import series as S
 from tidemark.operators.history import fingerprint
 from tidemark.plans import model as M
-from tidemark.plans.catalog.base import R, obs_sql, query, r
-
-_MARKS = "áàâäãåéèêëíìîïóòôöõúùûüñçýÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ"
-_PLAIN = "aaaaaaeeeeiiiiooooouuuuncyAAAAAAEEEEIIIIOOOOOUUUUNCY"
-
+from tidemark.plans.catalog.base import MARKED, PLAIN, R, obs_sql, query, r
 
 @query(
     "n1_n2_normalised_names",
-    rf"""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(upper(translate(replace(text, 'ß', 'SS'), '{_MARKS}', '{_PLAIN}')), '[ \t\n\r\f\v]*-[ \t\n\r\f\v]*', '-', 'g'), '[ \t\n\r\f\v]+', ' ', 'g'))) AS digest
+    rf"""SELECT doc_id, md5(trim(regexp_replace(regexp_replace(upper(translate(replace(text, 'ß', 'SS'), '{MARKED}', '{PLAIN}')), '[ \t\n\r\f\v]*-[ \t\n\r\f\v]*', '-', 'g'), '[ \t\n\r\f\v]+', ' ', 'g'))) AS digest
     FROM documents""",
 )
 def normalised_names(spark, sf_dir):
