@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Latin letters with a mark, and the letter left once it is removed.
@@ -67,17 +67,21 @@ def base_unit_value(value, unit) -> Column:
     return F.when(F.lower(F.trim(_c(unit))).isin(THOUSAND_UNITS), _c(value) * 1000).otherwise(_c(value))
 
 
-def with_keyword_code(df: DataFrame, text: str, keywords: list[tuple[str, str]], out: str = "code") -> DataFrame:
-    """Add the code of the first declared keyword the text contains.
+def first_code_by_keyword(text, keywords: list[tuple[str, str]]) -> Column:
+    """Code of the first declared keyword contained in the text.
 
-    The text is normalised once, in its own projection.
+    The normalised text is bound to a lambda variable, so it is formed once per
+    evaluation even where a pushed-down filter repeats the expression.
     """
-    keyed = df.withColumn("_key", normalise_name(text))
-    code = None
-    for word, value in keywords:
-        hit = F.col("_key").contains(word.upper())
-        code = F.when(hit, value) if code is None else code.when(hit, value)
-    return keyed.withColumn(out, code).drop("_key")
+
+    def choose(key: Column) -> Column:
+        code = None
+        for word, value in keywords:
+            hit = key.contains(word.upper())
+            code = F.when(hit, value) if code is None else code.when(hit, value)
+        return code
+
+    return F.get(F.transform(F.array(normalise_name(text)), choose), F.lit(0))
 
 
 def code_has_prefix(code, prefixes: list[str]) -> Column:
