@@ -130,7 +130,7 @@ def _placed(spark, sf_dir, metrics):
     + f""", {BRIDGE}, pl AS (SELECT b.place, o.metric_id, o.pidx, o.value FROM obs o JOIN bridge b USING (geo_level, geo_id)),
     y AS (SELECT o.place, o.metric_id, o.pidx, 100.0::DOUBLE * (o.value - p.value) / abs(p.value) AS yoy FROM pl o JOIN pl p ON o.place = p.place AND o.metric_id = p.metric_id AND p.pidx = o.pidx - 12 WHERE p.value <> 0),
     {values_sql('pairs', 'signal, outcome', _PAIR)}
-    SELECT s.place, pairs.signal, pairs.outcome, (o.pidx - s.pidx)::INTEGER AS lag, count(*) AS pairs, {R('corr(s.yoy, o.yoy)')} AS r
+    SELECT s.place, pairs.signal, pairs.outcome, (o.pidx - s.pidx)::INTEGER AS lag, count(*) AS pairs, {R('CASE WHEN count(*) >= 3 THEN corr(s.yoy, o.yoy) END')} AS r
     FROM pairs JOIN y s ON s.metric_id = pairs.signal JOIN y o ON o.metric_id = pairs.outcome AND o.place = s.place AND o.pidx - s.pidx BETWEEN 0 AND 12 GROUP BY ALL""",
 )
 def shifted_pairs(spark, sf_dir):
@@ -138,7 +138,7 @@ def shifted_pairs(spark, sf_dir):
     pairs = literal_table(spark, "signal string, outcome string", _PAIR)
     rows = aligned(placed, pairs)
     # No hold-out here: every pair of every lag counts.
-    flat = lag_table(with_split(rows, holdout=100000))
+    flat = lag_table(with_split(rows, holdout=100000)).where(F.col("n_test") > 0)
     return flat.select("place", "signal", "outcome", "lag", F.col("n_test").alias("pairs"), r("test_r").alias("r"))
 
 
