@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays."""
-    found = simhash.near_duplicates(docs, width=5)
+    """Of each group of near duplicates (Jaccard 0.8 on five-word shingles) the document with the smallest doc_id stays."""
+    found = simhash.near_duplicates(docs, **simhash.SIMILAR)
     return _without(docs, found.filter("doc_id <> component_id"))
 
 
