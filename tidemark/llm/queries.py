@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality, simhash
+from tidemark.llm import decontaminate, quality, secret_scan, simhash
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,13 @@ def op1_robust_outliers(spark, sf_dir):
 @register
 def op5_simhash_near_duplicates(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", simhash.hex_print().alias("fingerprint"), "component_id")
+
+
+@register
+def op7_trigram_secret_scan(spark, sf_dir):
+    return secret_scan.secrets(documents(spark, sf_dir))
+
+
+@register
+def op9_decontaminate(spark, sf_dir):
+    return decontaminate.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
