@@ -20,7 +20,7 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Exchanges tried at most; each handles all bins of two classes at once.
 EXCHANGES = 20_000
-#: Encoded words that a worker keeps, by worker process; it starts anew when full.
+#: Encoded words that a worker process keeps; it starts anew when full.
 CACHE = 1_000_000
 #: Pieces of one length are ranked in so many independent parts.
 RANK_PARTS = 256
@@ -37,37 +37,46 @@ class Encoder:
 
     The vocabulary's own splitting never joins two words, so texts of plain
     Latin letters, digits, punctuation and blanks are split here and the ids of
-    each word are remembered.  All other texts go through the library whole.
+    each word are remembered; the words that are new in a text are encoded
+    together.  All other texts go through the library whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         latin = [chr(c) for c in range(0xA1, 0x250) if c != 0x130 and chr(c) != "\xad"]
         plain = "\t\n\r" + "".join(map(chr, range(0x20, 0x7F))) + "".join(latin)
         of = lambda kind: "".join(re.escape(c) for c in plain if unicodedata.category(c)[0] == kind)
         letters, numbers = of("L"), of("N")
         self.plain = re.compile("[" + re.escape(plain) + "]*")
         # Fixed value: the vocabulary's published pattern, with its classes spelled out for these characters.
-        self.pattern = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
+        self.pattern = re.compile(rf"[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d|[{numbers}]|[^\s{letters}{numbers}]+")
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _learn(self, words: list[str]) -> None:
+        ids = np.array(self.library.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = ((np.flatnonzero(self.closes[ids]) + 1) * 4).tolist()
+        raw = ids.tobytes()
+        self.known.update(zip(words, map(raw.__getitem__, map(slice, [0, *ends], ends))))
 
     def __call__(self, text: str) -> bytes:
         if "<|" in text or not self.plain.fullmatch(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        split = self.pattern.findall(text.lower())
-        known = self.words
+        words = self.pattern.findall(text.lower())
+        known = self.known
         try:
-            return b"".join(map(known.__getitem__, split))
+            return b"".join(map(known.__getitem__, words))
         except KeyError:
-            new = list({w for w in split if w not in known})
+            new = list({w for w in words if w not in known})
             if len(known) + len(new) > CACHE:
                 known.clear()
-                new = list(set(split))
-            for word, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-                known[word] = np.array(e.ids, "<u4").tobytes()
-            return b"".join(map(known.__getitem__, split))
+                new = list(set(words))
+            self._learn(new)
+            return b"".join(map(known.__getitem__, words))
 
 
 _encoders: dict[str, Encoder] = {}

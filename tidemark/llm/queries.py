@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, quality, secret_scan, simhash
+from tidemark.llm import decontaminate, packing, quality, secret_scan, simhash
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,8 @@ def op7_trigram_secret_scan(spark, sf_dir):
 @register
 def op9_decontaminate(spark, sf_dir):
     return decontaminate.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@register
+def op4_best_fit_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir))
