@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, packing, quality, secret_scan, simhash
+from tidemark.llm import decontaminate, packing, quality, secret_scan, simhash, substrings, suffixes
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,13 @@ def op9_decontaminate(spark, sf_dir):
 @register
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
+
+
+@register
+def op2_suffix_dedup(spark, sf_dir):
+    return suffixes.suffix_dedup(documents(spark, sf_dir))
+
+
+@register
+def op10_level_wise_substrings(spark, sf_dir):
+    return substrings.substring_dedup(documents(spark, sf_dir))
