@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, simhash
+from tidemark.llm import decontaminate, packing, quality, secret_scan, simhash
 from tidemark.session import scratch_path
 
 
@@ -26,7 +26,29 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _without(docs, found.filter("doc_id <> component_id"))
 
 
-STAGES = [("quality rules", quality_rules), ("SimHash near-dedup", near_duplicates)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a ten-word window of a benchmark item go."""
+    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, found.filter("contaminated"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in texts are replaced by their kind; no document goes."""
+    return secret_scan.redacted(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of what is left, packed into sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("secret scans", secret_scans),
+    ("best-fit packing", best_fit_packing),
+]
 
 #: The stages hash, iterate and tokenize; no SQL gives their rows, so tests hold them against brute force.
 ORACLE_SQL = None
