@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, packing, quality, secret_scan, simhash, substrings, suffixes
+from tidemark.llm import decontaminate, langid, licences, packing, pii, quality, secret_scan, simhash, substrings, suffixes
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,18 @@ def op2_suffix_dedup(spark, sf_dir):
 @register
 def op10_level_wise_substrings(spark, sf_dir):
     return substrings.substring_dedup(documents(spark, sf_dir))
+
+
+@register
+def op3_feistel_pseudonyms(spark, sf_dir):
+    return pii.pseudonyms(documents(spark, sf_dir))
+
+
+@register
+def op6_language_families(spark, sf_dir):
+    return langid.identify(documents(spark, sf_dir))
+
+
+@register
+def op8_dice_licences(spark, sf_dir):
+    return licences.licences(documents(spark, sf_dir))
