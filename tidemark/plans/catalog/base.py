@@ -50,13 +50,15 @@ MARKED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÁÀÂÄÃÅÉÈÊ
 PLAIN = "aaaaaaeeeeiiiiooooouuuuncyAAAAAAEEEEIIIIOOOOOUUUUNCY"
 
 # Observations of the order and line tables, in SQL.
-DM = """dm AS (
-  SELECT c_nationkey AS nk, n_regionkey AS rk, c_mktsegment AS seg,
+DM = """seg_codes AS (SELECT seg, row_number() OVER (ORDER BY seg NULLS LAST) AS code FROM (SELECT DISTINCT c_mktsegment AS seg FROM customer)),
+dm AS (
+  SELECT c_nationkey AS nk, n_regionkey AS rk, c_mktsegment AS seg, code,
     CAST(year(o_orderdate) * 12 + month(o_orderdate) - 1 AS INTEGER) AS m,
     count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS rev,
     count(*) FILTER (WHERE o_orderstatus = 'O') AS n_open,
     count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS n_urgent
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    JOIN seg_codes ON seg_codes.seg IS NOT DISTINCT FROM c_mktsegment
   GROUP BY ALL)"""
 NM = """nm AS (
   SELECT nk, rk, m, sum(n)::DOUBLE AS n, sum(rev)::DOUBLE AS rev, sum(n_open)::DOUBLE AS n_open,
@@ -73,10 +75,7 @@ LM = """lm AS (
 MUN = "'mun-' || lpad((nk + 1)::VARCHAR, 5, '0')"
 PROV = "'prov-' || lpad((nk + 1)::VARCHAR, 2, '0')"
 CCAA = "'ccaa-' || lpad((rk + 1)::VARCHAR, 2, '0')"
-DIST = (
-    "'dist-' || lpad((nk + 1)::VARCHAR, 5, '0') || '-' || lpad(CASE seg WHEN 'AUTOMOBILE' THEN '1' WHEN 'BUILDING' THEN '2' "
-    "WHEN 'FURNITURE' THEN '3' WHEN 'HOUSEHOLD' THEN '4' ELSE '5' END, 2, '0')"
-)
+DIST = "'dist-' || lpad((nk + 1)::VARCHAR, 5, '0') || '-' || lpad(code::VARCHAR, 2, '0')"
 
 _PARTS = {
     "orders_count": f"SELECT 'orders_count' AS metric_id, {MUN} AS geo_id, 'municipality' AS geo_level, 'monthly' AS cadence, m AS pidx, n AS value FROM nm",
@@ -107,9 +106,9 @@ REV = f"""rlog AS (
     CASE WHEN m % 5 <> 0 THEN (last_day(make_date((m // 12)::INTEGER, (m % 12 + 1)::INTEGER, 1)) + (revision + 1) * 30) END AS published_at
   FROM (
     SELECT c_nationkey AS nk, CAST(year(o_orderdate) * 12 + month(o_orderdate) - 1 AS INTEGER) AS m, v.revision,
-      (sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (WHERE l_linenumber <= v.top))::DOUBLE AS value
+      (sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (WHERE v.top IS NULL OR l_linenumber <= v.top))::DOUBLE AS value
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-      CROSS JOIN (VALUES (0, 2), (1, 4), (2, 1000)) AS v(revision, top)
+      CROSS JOIN (VALUES (0, 2), (1, 4), (2, NULL)) AS v(revision, top)
     GROUP BY ALL)
   WHERE value IS NOT NULL)"""
 

@@ -80,7 +80,7 @@ def asof_denominator(spark, sf_dir):
     monthly = S.to_months(stock).select("geo_id", F.col("month").alias("pidx"), "value")
     num = obs.where(F.col("metric_id") == "orders_count").select("geo_id", "pidx", "value")
     out = S.carry_denominator(num, monthly, 12, scale=1000.0)
-    return out.select("geo_id", "pidx", r("value").alias("per_1000"))
+    return out.select("geo_id", "pidx", r("value").alias("per_1000_dwellings"))
 
 
 def _batch(spark, sf_dir):
@@ -138,7 +138,7 @@ def shifted_pairs(spark, sf_dir):
     pairs = literal_table(spark, "signal string, outcome string", _PAIR)
     rows = aligned(placed, pairs)
     # No hold-out here: every pair of every lag counts.
-    flat = lag_table(with_split(rows, holdout=100000)).where(F.col("n_test") > 0)
+    flat = lag_table(with_split(rows, holdout=None)).where(F.col("n_test") > 0)
     return flat.select("place", "signal", "outcome", "lag", F.col("n_test").alias("pairs"), r("test_r").alias("r"))
 
 

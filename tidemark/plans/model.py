@@ -17,8 +17,6 @@ from tidemark.functions.periods import month_of, period_text, pidx_end
 from tidemark.session import literal_table
 from tidemark.sources.dims import METRIC_SCHEMA
 
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-
 METRICS = [
     ("orders_count", "Orders", "orders", "monthly", "municipality", "order_desk", "demand", 1, 0.0, 1e12),
     ("revenue", "Revenue", "eur", "monthly", "municipality", "order_desk", "demand", 1, 0.0, 1e15),
@@ -46,7 +44,7 @@ COMPONENTS = [
     ("demand_momentum", "qty_shipped", "yoy", 0.8, 2),
     ("housing_pressure", "avg_ticket", "yoy", 1.3, 2),
     ("housing_pressure", "urgent_share", "level", 0.5, 2),
-    ("housing_pressure", "orders_count", "per_1000", 0.8, 2),
+    ("housing_pressure", "orders_count", "per_1000_dwellings", 0.8, 2),
     ("supply_response", "qty_shipped", "yoy", 1.0, 2),
     ("supply_response", "orders_quarter", "yoy", 0.8, 2),
     ("distress", "return_rate", "yoy", 1.3, 2),
@@ -156,13 +154,12 @@ def mun(nk="nk") -> Column:
 
 def _grains() -> dict[tuple[str, str], tuple[Column, Column]]:
     """(level, cadence) -> (geography, period) of a nation, segment and month."""
-    code = F.array_position(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("seg"))
     m = F.col("m").cast("int")
     return {
         ("municipality", "monthly"): (mun(), m),
         ("municipality", "quarterly"): (mun(), F.floor(m / F.lit(3.0)).cast("int")),
         ("nation", "monthly"): (F.lit("es"), m),
-        ("district", "monthly"): (geo.district(F.col("nk") + 1, code), m),
+        ("district", "monthly"): (geo.district(F.col("nk") + 1, F.col("code")), m),
         ("province", "monthly"): (geo.province(F.col("nk") + 1), m),
         ("ccaa", "monthly"): (geo.ccaa(F.col("rk") + 1), m),
     }
@@ -203,6 +200,9 @@ def grain_observations(spark: SparkSession, sf_dir: str, wanted: set[str]) -> Da
             by_grain.setdefault((level, cadence), []).append(metric_id)
     totals = fact_months(spark, sf_dir, bool(wanted & _LINE))
     sums = [c for c in totals.columns if c not in ("nk", "rk", "seg", "m")]
+    if ("district", "monthly") in by_grain:
+        codes = segment_codes(spark, sf_dir).withColumnRenamed("seg", "_seg")
+        totals = totals.join(codes, F.col("seg").eqNullSafe(F.col("_seg"))).drop("_seg")
     copies = F.array(
         *[
             F.struct(F.lit(level).alias("geo_level"), F.lit(cadence).alias("cadence"), grains[level, cadence][0].alias("geo_id"), grains[level, cadence][1].alias("pidx"))
@@ -285,8 +285,9 @@ def revision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             *[
                 F.sum(F.when(F.col("l_linenumber") <= top, money("l_extendedprice"))).alias(f"r{i}")
-                for i, top in enumerate((2, 4, 1000))
-            ]
+                for i, top in enumerate((2, 4))
+            ],
+            F.sum(money("l_extendedprice")).alias("r2"),
         )
     )
     facts = order_facts(spark, sf_dir).select("o_orderkey", "c_nationkey", "m")
@@ -335,9 +336,20 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def segment_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(seg, code): the segments that customers have, numbered from 1 in order, a missing one last.
+
+    A dimension: distinct names, reduced on the map side before they are numbered.
+    """
+    names = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("seg")).distinct()
+    listed = names.agg(F.sort_array(F.collect_list("seg")).alias("known"), F.count_if(F.col("seg").isNull()).alias("missing"))
+    every = F.when(F.col("missing") > 0, F.concat("known", F.array(F.lit(None).cast("string")))).otherwise(F.col("known"))
+    return listed.select(F.posexplode(every).alias("pos", "seg")).select("seg", (F.col("pos") + 1).alias("code"))
+
+
 def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation")
-    codes = F.explode(F.sequence(F.lit(1), F.lit(len(SEGMENTS)))).alias("code")
-    return n.select(F.lower("n_name").alias("place"), "n_nationkey", codes).select(
-        "place", geo.district(F.col("n_nationkey") + 1, F.col("code")).alias("part")
-    )
+    """The districts of each place: the segments that its customers have."""
+    held = table(spark, sf_dir, "customer").select("c_nationkey", F.col("c_mktsegment").alias("_seg")).distinct()
+    coded = held.join(segment_codes(spark, sf_dir), F.col("_seg").eqNullSafe(F.col("seg")))
+    n = table(spark, sf_dir, "nation").select(F.lower("n_name").alias("place"), "n_nationkey")
+    return n.join(coded, F.col("n_nationkey") == F.col("c_nationkey")).select("place", geo.district(F.col("n_nationkey") + 1, F.col("code")).alias("part"))
