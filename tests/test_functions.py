@@ -112,7 +112,16 @@ def test_upper_median_with_a_dominant_key_and_heavy_ties(spark):
     for k in {r[0] for r in rows}:
         values = sorted(v for kk, v in rows if kk == k)
         want[k] = values[len(values) // 2]
-    # Both the whole-range and the bracketed path.
-    for accuracy in (1000, 100):
-        got = {r["k"]: r["median"] for r in stats.upper_median_by(df, ["k"], "v", accuracy=accuracy).collect()}
+    # In order at once, and after repeated narrowing.
+    for steps, bound in ((1000, 100_000), (7, 3)):
+        got = {r["k"]: r["median"] for r in stats.upper_median_by(df, ["k"], "v", steps=steps, bound=bound).collect()}
         assert got == want
+
+
+def test_upper_median_keeps_null_keys_and_concentrated_values(spark):
+    rng = random.Random(5)
+    near = [(None, 1e9 if i == 0 else 1.0 + rng.random() / 1e6) for i in range(4001)]
+    rows = near + [("a", None), ("a", 2.0), ("a", 1.0), ("b", 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    found = stats.upper_median_by(df, ["k"], "v", count="n", steps=10, bound=5).collect()
+    assert {r["k"]: (r["median"], r["n"]) for r in found} == {None: (sorted(v for _, v in near)[2000], 4001), "a": (2.0, 2), "b": (4.0, 1)}

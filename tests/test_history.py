@@ -136,3 +136,13 @@ def test_periods_to_fetch(spark, recheck, expected):
     avail = spark.createDataFrame([("s", i) for i in range(1, 7)], "source_id string, pidx int")
     stored = spark.createDataFrame([("s", 3), ("s", 5)], "source_id string, pidx int")
     assert sorted(r["pidx"] for r in H.periods_to_fetch(avail, stored, recheck).collect()) == expected
+
+
+def test_null_source_is_wrong_source(spark):
+    from tidemark.operators.validate import with_reason
+
+    metrics = spark.createDataFrame([("m", "u", "monthly", "municipality", "s", 0.0, 9.0)], "metric_id string, unit string, cadence string, geo_level string, source_id string, lo double, hi double")
+    rows = [("m", "mun-00001", "municipality", "2001-01", 1.0, "u", None), ("m", "mun-00001", "municipality", "2001-01", 1.0, "u", "s")]
+    records = spark.createDataFrame(rows, "metric_id string, geo_id string, geo_level string, period string, value double, unit string, source_id string")
+    got = {r["source_id"]: r["reason"] for r in with_reason(records, metrics).collect()}
+    assert got == {None: "wrong_source", "s": None}

@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.frames import join_null_safe
+from tidemark.session import cut_lineage
+
 # Abramowitz and Stegun 7.1.26, |error| <= 1.5e-7.
 _ERF_P = 0.3275911
 _ERF_A = [0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429]
@@ -94,47 +97,41 @@ def upper_median(expression: str) -> Column:
 
 
 def upper_median_by(
-    df: DataFrame, keys: list[str], value: str, out: str = "median", accuracy: int = 1000, steps: int = 1000
+    df: DataFrame, keys: list[str], value: str, out: str = "median", count: str | None = None, steps: int = 1000, bound: int = 100_000
 ) -> DataFrame:
-    """Exact upper median per key, whatever the group size.
+    """Exact upper median per key, whatever the group size; NULL keys are a group.
 
-    A mergeable sketch brackets the middle rank, rows are counted per equal step
-    of the bracket, and only the values of the one step that holds the middle
-    are put in order.  Every shuffle carries partial aggregates of bounded
-    size, so a key with a large share of the rows is never gathered.
+    The range of a key is cut into equal steps and the rows of each are counted;
+    the one step that holds the middle is cut again, until no key has more than
+    ``bound`` distinct values left, and only these are put in order.  Every
+    shuffle carries partial aggregates, so a key with a large share of the rows
+    is never gathered.  ``df`` is read once.  ``count`` adds the number of values.
     """
-    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    around = F.array(F.lit(0.5 - 5.0 / accuracy), F.lit(0.5 + 5.0 / accuracy))
-    sketch = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_all"),
-        F.min(value).alias("v_min"),
-        F.max(value).alias("v_max"),
-        F.percentile_approx(value, around, accuracy).alias("b"),
-    )
-    # A group too small for the bracket to mean anything keeps its whole range.
-    small = F.col("n_all") <= 20 * accuracy
-    bounds = sketch.select(
-        *keys,
-        F.floor(F.col("n_all") / F.lit(2.0)).alias("rank"),  # zero-based position of the middle
-        F.when(small, F.col("v_min")).otherwise(F.col("b")[0]).alias("lo"),
-        F.when(small, F.col("v_max")).otherwise(F.col("b")[1]).alias("hi"),
-    )
-    width = F.col("hi") - F.col("lo")
-    within = F.floor(F.try_divide((F.col(value) - F.col("lo")) * steps, F.when(width != 0, width)))
-    step = F.when(F.col(value) < F.col("lo"), F.lit(-1)).otherwise(F.coalesce(within, F.lit(0)))
-    near = rows.join(bounds, keys).where(F.col(value) <= F.col("hi")).withColumn("step", step)
+    rows = cut_lineage(df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v")))
+    span = [F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    spans = cut_lineage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"), *span))
+    # the zero-based position of the middle
+    rank = F.floor(F.col("_all") / F.lit(2.0)).cast("bigint").alias("_rank")
+    near = join_null_safe(rows.withColumn("_n", F.lit(1).cast("bigint")), spans.select(*keys, rank, "_lo", "_hi"), keys)
 
     def running(order: str) -> Column:
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return F.sum("n").over(w)
-
-    # Which step holds the middle: at most `steps` + 2 rows per key.
-    ladder = near.groupBy(*keys, "step").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("rank"))
-    ladder = ladder.withColumn("upto", running("step")).where(F.col("upto") > F.col("rank"))
-    first = F.min_by(F.struct("step", (F.col("upto") - F.col("n")).alias("before")), F.col("step"))
-    hit = ladder.groupBy(*keys).agg(first.alias("h")).select(*keys, "h.step", "h.before")
-    tied = near.join(hit, [*keys, "step"]).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("n"), F.max("rank").alias("rank"), F.max("before").alias("before")
-    )
-    reached = tied.withColumn("upto", F.col("before") + running(value)).where(F.col("upto") > F.col("rank"))
-    return reached.groupBy(*keys).agg(F.min(value).alias(out))
+        return F.sum("_n").over(w)
+
+    while True:
+        width = F.col("_hi").cast("double") - F.col("_lo").cast("double")
+        step = F.floor((F.col("_v").cast("double") - F.col("_lo").cast("double")) / width * steps)
+        stepped = near.withColumn("_step", F.when(width > 0, F.least(step, F.lit(steps - 1))).otherwise(F.lit(0)).cast("int"))
+        # at most ``steps`` rows for a key
+        ladder = stepped.groupBy(*keys, "_step").agg(F.sum("_n").alias("_n"), F.max("_rank").alias("_rank"), *span)
+        ladder = ladder.withColumn("_upto", running("_step")).where(F.col("_upto") > F.col("_rank"))
+        first = F.min_by(F.struct("_step", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank"), "_lo", "_hi"), F.col("_step"))
+        hit = ladder.groupBy(*keys).agg(first.alias("_h")).select(*keys, "_h.*")
+        held = join_null_safe(stepped.drop("_rank", "_lo", "_hi"), hit.withColumnRenamed("_step", "_hit"), keys).where("_step = _hit")
+        near = cut_lineage(held.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"), *[F.max(c).alias(c) for c in ("_rank", "_lo", "_hi")]))
+        widest = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).first()[0]
+        if (widest or 0) <= bound:
+            break
+    reached = near.withColumn("_upto", running("_v")).where(F.col("_upto") > F.col("_rank"))
+    found = reached.groupBy(*keys).agg(F.min("_v").alias(out))
+    return found if count is None else join_null_safe(found, spans.select(*keys, F.col("_all").alias(count)), keys)

@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.frames import plain
+from tidemark.functions.frames import join_null_safe, plain
 from tidemark.functions.periods import by_cadence
-from tidemark.functions.stats import mean_pinball, upper_median
+from tidemark.functions.stats import mean_pinball, upper_median_by
 from tidemark.operators.series import series_window
 from tidemark.schema import SERIES_KEY
 
@@ -362,13 +362,14 @@ def track_record(frozen: DataFrame, scored: DataFrame) -> DataFrame:
 
 
 def record_summary(record: DataFrame, keys: Sequence[str] = ("target_id",)) -> DataFrame:
-    return record.groupBy(*keys).agg(
+    out = record.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("frozen"),
         F.count_if("pending").alias("pending"),
         F.avg("inside_80").alias("coverage"),
         F.avg("direction_correct").alias("direction_accuracy"),
-        upper_median("abs(pct_error)").alias("median_abs_pct"),
     )
+    errors = upper_median_by(record.select(*keys, F.abs("pct_error").alias("_e")), list(keys), "_e", out="median_abs_pct")
+    return join_null_safe(out, errors, list(keys), "left")
 
 
 def growth_ranking(now: DataFrame, then: DataFrame, group: str, item: str) -> DataFrame:

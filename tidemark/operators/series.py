@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from tidemark.functions.frames import join_null_safe
 from tidemark.functions.periods import MIN_HISTORY, STEPS_PER_YEAR, by_cadence, first_month, last_month
 from tidemark.functions.stats import clip
 from tidemark.schema import SERIES_KEY
@@ -220,14 +221,14 @@ def tail(df: DataFrame, n: int, keys: Sequence[str] = SERIES_KEY, order: str = "
     return df.withColumn("_rn", rank).where(F.col("_rn") <= n).drop("_rn")
 
 
-def fill_months(events: DataFrame, keys: Sequence[str] = ("metric_id", "geo_id")) -> DataFrame:
+def fill_months(events: DataFrame, keys: Sequence[str] = ("metric_id", "geo_id"), ties: Sequence[str] = ("value",)) -> DataFrame:
     """Dated events (``at date, value``) to the value in force in each month.
 
-    The last event of a month wins; months between the first and the last
-    event repeat the value before them.
+    The last event of a month wins, of several on one day the last by ``ties``;
+    months between the first and the last event repeat the value before them.
     """
     monthly = events.withColumn("month", F.year("at") * 12 + F.month("at") - 1)
-    known = monthly.groupBy(*keys, "month").agg(F.max_by("value", "at").alias("value"))
+    known = monthly.groupBy(*keys, "month").agg(F.max_by("value", F.struct("at", *ties)).alias("value"))
     nxt = F.lead("month").over(series_window(keys, "month"))
     spans = known.withColumn("_until", F.coalesce(nxt - 1, F.col("month")))
     return spans.select(*keys, F.explode(F.sequence("month", "_until")).alias("month"), "value")
@@ -256,7 +257,7 @@ def next_in_time(
     led = dealt.withColumns({"_next": F.lead(value).over(inside), "_last": F.lead(time).over(inside).isNull()})
     heads = dealt.groupBy(*keys, "_b").agg(F.min_by(value, F.struct(time, *ties)).alias("_head"))
     follow = heads.select(*keys, "_b", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_b")).alias("_follow"))
-    joined = led.join(follow, [*keys, "_b"])
+    joined = join_null_safe(led, follow, [*keys, "_b"])
     return joined.select(*df.columns, F.when(F.col("_last"), F.col("_follow")).otherwise(F.col("_next")).alias(out))
 
 

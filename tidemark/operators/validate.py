@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.geo import geo_is_valid
 from tidemark.functions.periods import period_is_valid
+from tidemark.functions.frames import join_null_safe
 from tidemark.functions.stats import upper_median, upper_median_by
 from tidemark.schema import SERIES_KEY
 
@@ -47,7 +48,7 @@ def with_reason(records: DataFrame, metrics: DataFrame, ranges: DataFrame | None
     joined = _with_registry(records, metrics, ranges)
     reason = (
         F.when(F.col("_known").isNull(), "unknown_metric")
-        .when(F.col("_source").isNotNull() & (F.col("_source") != F.col("source_id")), "wrong_source")
+        .when(F.col("_source").isNotNull() & ~F.col("_source").eqNullSafe(F.col("source_id")), "wrong_source")
         .when(~period_is_valid("period", F.col("_cadence")), "bad_period")
         .when(~geo_is_valid("geo_id", F.col("geo_level")), "bad_geo")
         .when(~F.col("geo_level").eqNullSafe(F.col("_level")), "wrong_level")
@@ -128,7 +129,7 @@ def coverage_gate(df: DataFrame, least: float = 0.7, keys: Sequence[str] = SERIE
 def drop_low_volume(df: DataFrame, category: str, value: str, least: float = 500.0) -> DataFrame:
     """Drop categories whose upper median is below ``least``."""
     medians = upper_median_by(df, [category], value, out="_median")
-    return df.join(medians.where(F.col("_median") < least).select(category), category, "left_anti")
+    return join_null_safe(df, medians.where(F.col("_median") < least).select(category), [category], "left_anti")
 
 
 def enabled_only(df: DataFrame, sources: DataFrame) -> DataFrame:

@@ -188,12 +188,9 @@ def pool_districts(spark, sf_dir):
 )
 def upper_medians(spark, sf_dir):
     line = M.table(spark, sf_dir, "lineitem")
-    n = line.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
-    a = upper_median_by(line, ["l_returnflag", "l_linestatus"], "l_extendedprice").join(n, ["l_returnflag", "l_linestatus"])
+    a = upper_median_by(line, ["l_returnflag", "l_linestatus"], "l_extendedprice", count="n")
     orders = M.table(spark, sf_dir, "orders")
-    m = orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
-    # A narrow bracket here exercises the counted-below path as well.
-    b = upper_median_by(orders, ["o_orderstatus"], "o_totalprice", accuracy=200).join(m, "o_orderstatus")
+    b = upper_median_by(orders, ["o_orderstatus"], "o_totalprice", count="n")
     return a.unionByName(b.select(F.lit("all").alias("l_returnflag"), F.col("o_orderstatus").alias("l_linestatus"), "median", "n")).select(
         "l_returnflag", "l_linestatus", "n", "median"
     )
