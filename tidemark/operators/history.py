@@ -34,7 +34,8 @@ def canonicalise(df: DataFrame, fetched_at: str) -> DataFrame:
         "fetched_at": given("fetched_at", F.lit(fetched_at)),
         "quality_flag": given("quality_flag", F.lit("ok")),
         "revision": given("revision", F.lit(0)),
-        "seq": given("seq", F.monotonically_increasing_id()),
+        # the same on every run, whatever the order of files: rows tell their own order
+        "seq": given("seq", F.xxhash64(*[F.col(c).cast("string") for c in sorted(df.columns)])),
     }
     return df.select(
         *[filled.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in OBSERVATION]

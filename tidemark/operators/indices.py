@@ -20,7 +20,7 @@ from tidemark.operators.series import (
     zscored,
 )
 
-PER_STOCK = "per_1000"
+PER_STOCK = "per_1000_dwellings"
 
 
 def per_stock(series: DataFrame, metrics: Sequence[str], stock: DataFrame, cadences: Sequence[str]) -> DataFrame:
@@ -65,6 +65,9 @@ def oriented(
     are formed per series in its own cadence, before any place reads them, so
     a series shared by many places is computed once.
     """
+    unknown = sorted(set(names) - set(TRANSFORMS) - {PER_STOCK})
+    if unknown:
+        raise ValueError(f"unknown transforms: {unknown}")
     plain = [n for n in names if n in TRANSFORMS]
     columns = ["metric_id", "geo_id", "geo_level", "cadence", "pidx", "value"]
     wanted = pairs.select("metric_id", "transform", "direction").distinct()

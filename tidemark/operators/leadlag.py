@@ -80,8 +80,8 @@ def aligned(series: DataFrame, pairs: DataFrame, cadences: Sequence[str] = ("mon
     )
 
 
-def with_split(rows: DataFrame, holdout: int = HOLDOUT) -> DataFrame:
-    """Mark held-out rows: the newest ``holdout`` periods with an outcome."""
+def with_split(rows: DataFrame, holdout: int | None = HOLDOUT) -> DataFrame:
+    """Mark held-out rows: the newest ``holdout`` periods with an outcome, or all of them (None)."""
     newest = Window.partitionBy(*KEY).orderBy(F.col("pidx").desc())
     whole = Window.partitionBy(*KEY)
     counted = rows.withColumn("_rank", F.count("y").over(newest.rowsBetween(Window.unboundedPreceding, 0)))
@@ -89,7 +89,7 @@ def with_split(rows: DataFrame, holdout: int = HOLDOUT) -> DataFrame:
         *KEY, "pidx", "x", "y", "seasonal",
         F.count("x").over(whole).alias("n_signal"),
         F.count("y").over(whole).alias("n_outcome"),
-        (F.col("y").isNotNull() & (F.col("_rank") <= holdout)).alias("held_out"),
+        (F.col("y").isNotNull() & (F.lit(True) if holdout is None else F.col("_rank") <= holdout)).alias("held_out"),
     )
 
 
@@ -123,9 +123,10 @@ def evaluate(
     holdout: int = HOLDOUT,
     least: int = MIN_OBSERVATIONS,
 ) -> DataFrame:
-    """Verdict per place and declared pair whose outcome exists there.
+    """Verdict per place and declared pair, in each cadence that the outcome has there.
 
-    Series of different cadence never pair and read as insufficient data.
+    Series of different cadence never pair and read as insufficient data, and so
+    does a pair without any outcome at a place (its cadence is NULL).
     """
     rows = with_split(aligned(series, pairs, cadences), holdout)
     usable = (F.col("n_signal") >= least) & (F.col("n_outcome") >= least) & (F.col("n_outcome") > holdout)
@@ -142,7 +143,11 @@ def evaluate(
         F.round(pearson(F.when(F.col("held_out"), F.col("seasonal")), F.col("y")), 4).alias("baseline_r")
     )
     found = F.col("b").isNotNull()
-    out = best.join(baseline, KEY).select(
+    tested = best.join(baseline, KEY)
+    # The declared pairs are a table given in code; each place gets every one of them.
+    declared = [F.struct(F.lit(p["signal"]).alias("signal"), F.lit(p["outcome"]).alias("outcome")) for p in pairs.select("signal", "outcome").distinct().collect()]
+    every = series.select("place").distinct().select("place", F.inline(F.array(*declared)))
+    out = every.join(tested, ["place", "signal", "outcome"], "left").select(
         *KEY,
         F.col("b.lag").alias("best_lag"),
         F.col("b.train_r").alias("in_sample_r"),

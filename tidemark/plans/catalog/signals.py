@@ -31,7 +31,7 @@ ZSQL = (
     UNION ALL SELECT o.metric_id, o.geo_id, o.geo_level, o.cadence, o.pidx, 'yoy', 100.0::DOUBLE * (o.value - p.value) / abs(p.value) FROM obs o JOIN obs p ON o.metric_id = p.metric_id AND o.geo_id = p.geo_id
       AND p.pidx = o.pidx - CASE o.cadence WHEN 'monthly' THEN 12 WHEN 'quarterly' THEN 4 ELSE 1 END WHERE p.value <> 0
     UNION ALL SELECT o.metric_id, o.geo_id, o.geo_level, o.cadence, o.pidx, 'change_12', o.value - p.value FROM obs o JOIN obs p ON o.metric_id = p.metric_id AND o.geo_id = p.geo_id AND p.pidx = o.pidx - 12
-    UNION ALL SELECT metric_id, geo_id, geo_level, cadence, pidx, 'per_1000', 1000.0::DOUBLE * value / base FROM per WHERE base <> 0),
+    UNION ALL SELECT metric_id, geo_id, geo_level, cadence, pidx, 'per_1000_dwellings', 1000.0::DOUBLE * value / base FROM per WHERE base <> 0),
   st AS (SELECT xf.*, pairs.direction, count(raw) OVER p AS n, avg(raw) OVER p AS mu, stddev_pop(raw) OVER p AS sd FROM xf JOIN pairs USING (metric_id, transform)
     WINDOW p AS (PARTITION BY metric_id, geo_id, transform ORDER BY pidx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
   zz AS (SELECT metric_id, geo_id, geo_level, transform, cadence, pidx, raw, greatest(-4.0::DOUBLE, least(4.0::DOUBLE, (raw - mu) / sd)) AS z, direction FROM st
@@ -235,7 +235,8 @@ LEAD = (
     QUALIFY row_number() OVER (PARTITION BY place, signal, outcome, cadence ORDER BY abs(train_r) DESC, lag) = 1),
   bl AS (SELECT oc.place, oc.signal, oc.outcome, oc.cadence, CASE WHEN count(*) >= 3 THEN round(corr(p.yoy, oc.yoy), 4) END AS baseline_r FROM oc JOIN y p ON p.place = oc.place AND p.metric_id = oc.outcome AND p.pidx = oc.pidx - oc.year AND oc.prior <> 0 WHERE oc.held GROUP BY ALL),
   ev AS (SELECT us.place, us.signal, us.outcome, us.cadence, best_lag, train_r AS in_sample_r, test_r AS holdout_r, CASE WHEN best_lag IS NOT NULL THEN baseline_r END AS baseline_r, coalesce(n_test, 0) AS observations
-    FROM (SELECT * FROM us WHERE n_outcome > 0) AS us LEFT JOIN bs USING (place, signal, outcome, cadence) LEFT JOIN bl USING (place, signal, outcome, cadence)),
+    FROM (SELECT pp.place, pairs.signal, pairs.outcome, us.cadence FROM (SELECT DISTINCT place FROM pl) AS pp CROSS JOIN pairs LEFT JOIN (SELECT * FROM us WHERE n_outcome > 0) AS us
+      ON us.place = pp.place AND us.signal = pairs.signal AND us.outcome = pairs.outcome) AS us LEFT JOIN bs USING (place, signal, outcome, cadence) LEFT JOIN bl USING (place, signal, outcome, cadence)),
   le AS (SELECT *, CASE WHEN holdout_r IS NULL OR observations < 6 THEN 'insufficient_data' WHEN abs(holdout_r) < 0.3 THEN 'no_evidence' WHEN baseline_r IS NOT NULL AND abs(holdout_r) <= abs(baseline_r) THEN 'no_evidence'
     WHEN best_lag > 0 THEN 'leading' ELSE 'coincident' END AS verdict FROM ev)"""
 )

@@ -144,8 +144,9 @@ def top_movers(cards: DataFrame, n: int = TOP_MOVERS) -> DataFrame:
 def headline(cards: DataFrame) -> DataFrame:
     """The single most striking change, as a sentence.  At most one row."""
     rows = movers(cards).where(headline_eligible())
+    # the order of ``top_movers``: a tie goes to the first in the list
     best = rows.agg(
-        F.max_by(F.struct("metric_id", "geo_id", "place", "label", "yoy", "period", "geo_level"), F.struct(F.abs("yoy"), "metric_id", "geo_id")).alias("h")
+        F.min_by(F.struct("metric_id", "geo_id", "place", "label", "yoy", "period", "geo_level"), F.struct(-F.abs("yoy"), "metric_id", "geo_id")).alias("h")
     )
     flat = best.where(F.col("h").isNotNull()).select("h.*")
     scope = F.when(F.col("geo_level") == "municipality", "Published for the municipality itself.").otherwise(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,10 +30,13 @@ def local_session(app: str = "tidemark", cores: str = "*", shuffle_partitions: i
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (unit tests) a temporary folder is used
-    and registered, so that ``checkpoint()`` works there too.
+    Where it is unset, a session in one local process (tests) gets a temporary
+    folder, registered so that ``checkpoint()`` works there too; on a cluster
+    that would be lost on other machines, and an error says so.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not folder:
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", folder)

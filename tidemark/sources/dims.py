@@ -34,10 +34,10 @@ INDEX_COMPONENTS = [
     ("housing_pressure", "rent_reference", "yoy", 1.3, 2),
     ("housing_pressure", "appraised_value", "yoy", 1.0, 2),
     ("housing_pressure", "house_price_index", "yoy", 1.0, 2),
-    ("housing_pressure", "housing_transactions", "per_1000", 0.8, 2),
-    ("housing_pressure", "tourist_dwellings", "per_1000", 0.8, 2),
+    ("housing_pressure", "housing_transactions", "per_1000_dwellings", 0.8, 2),
+    ("housing_pressure", "tourist_dwellings", "per_1000_dwellings", 0.8, 2),
     ("housing_pressure", "hotel_occupancy_rate", "level", 0.5, 2),
-    ("housing_pressure", "str_listings", "per_1000", 0.6, 2),
+    ("housing_pressure", "str_listings", "per_1000_dwellings", 0.6, 2),
     ("housing_pressure", "search_rental_pressure", "yoy", 0.4, 2),
     ("supply_response", "housing_starts", "yoy", 1.2, 2),
     ("supply_response", "housing_completions", "yoy", 1.0, 2),

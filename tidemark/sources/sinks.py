@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 FORECAST_KEY = ["target_id", "geo_id", "from_pidx"]
 
 
-def write_history(df: DataFrame, path: str, files_per_metric: int = 1, mode: str = "overwrite") -> None:
+def write_history(df: DataFrame, path: str, files_per_metric: int = 16, mode: str = "overwrite") -> None:
     """Partitioned by source and metric, sorted by geography, period, revision.
 
     Only partitions present in ``df`` are replaced.  ``files_per_metric`` spreads
@@ -37,10 +37,12 @@ def write_documents(df: DataFrame, path: str, by: str = "place") -> None:
 
 
 def unfrozen(issued: DataFrame, frozen: DataFrame | None, keys: Sequence[str] = FORECAST_KEY) -> DataFrame:
-    """Forecasts not frozen before; frozen ones are never rewritten."""
+    """Forecasts not frozen before, one row for each key (the least); frozen ones are never rewritten."""
+    rest = [c for c in issued.columns if c not in keys]
+    once = issued.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*").select(*issued.columns)
     if frozen is None:
-        return issued
-    return issued.join(frozen.select(*keys), list(keys), "left_anti")
+        return once
+    return once.join(frozen.select(*keys), list(keys), "left_anti")
 
 
 def freeze_forecasts(issued: DataFrame, frozen: DataFrame | None, path: str) -> None:
