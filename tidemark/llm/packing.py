@@ -46,7 +46,8 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-        latin = [chr(c) for c in range(0xA1, 0x250) if c != 0x130 and chr(c) != "\xad"]
+        # of one case pair both are in the range, so that lower case leaves a text plain
+        latin = [chr(c) for c in range(0xA1, 0x180) if chr(c) != "\xad" and all(0xA0 < ord(x) < 0x180 for x in chr(c).lower())]
         plain = "\t\n\r" + "".join(map(chr, range(0x20, 0x7F))) + "".join(latin)
         of = lambda kind: "".join(re.escape(c) for c in plain if unicodedata.category(c)[0] == kind)
         letters, numbers = of("L"), of("N")
@@ -207,7 +208,7 @@ def local_search(bins: Counter, capacity: int, exchanges: int = EXCHANGES) -> Co
         for item in dict.fromkeys(donor):
             gain = item - arrays[0]
             grows = (capacity - arrays[1]) - fill + gain > 0
-            for at in np.flatnonzero((gain > 0) & (gain <= arrays[1]) & grows)[:: 1]:
+            for at in np.flatnonzero((gain > 0) & (gain <= arrays[1]) & grows):
                 if owner[at] != donor and open_bins.get(owner[at]):
                     if best is None or gain[at] > best[0]:
                         best = (int(gain[at]), item, owner[at], gift[at])
