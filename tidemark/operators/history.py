@@ -42,15 +42,16 @@ def canonicalise(df: DataFrame, fetched_at: str) -> DataFrame:
     )
 
 
-def current_view(log: DataFrame, keys: Sequence[str] = OBS_KEY) -> DataFrame:
-    """Highest revision per observation; on a tie the later ingest wins.
+def current_view(log: DataFrame, keys: Sequence[str] = OBS_KEY, sizes: str | None = None) -> DataFrame:
+    """Highest revision per observation; on a tie the later ingest wins.  ``sizes`` adds the number of revisions.
 
     ``max_by`` combines on the map side, so an observation restated very often
     never gathers its revisions in one task.
     """
     rest = [c for c in log.columns if c not in keys]
-    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("revision", "seq")).alias("_r"))
-    return newest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    count = [] if sizes is None else [F.count(F.lit(1)).alias(sizes)]
+    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("revision", "seq")).alias("_r"), *count)
+    return newest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest], *([] if sizes is None else [sizes]))
 
 
 def first_in_batch(batch: DataFrame, keys: Sequence[str] = OBS_KEY) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -13,8 +12,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.frames import empty, plain
 
-BLOCK_ROWS = 50_000
-SLICE_TARGETS = 20_000
+#: Blocks of candidates; a task holds one of them.
+BLOCKS = 64
 
 
 def nearest(
@@ -24,8 +23,8 @@ def nearest(
     candidate_id: Sequence[str],
     payload: Sequence[str] = (),
     embargo: int | None = None,
-    blocks: int | None = None,
-    slices: int | None = None,
+    blocks: int = BLOCKS,
+    slices: int = 1,
 ) -> DataFrame:
     """The ``k`` candidates closest to each target by Euclidean distance.
 
@@ -38,10 +37,6 @@ def nearest(
     With ``embargo`` both sides carry ``place`` and ``month``: candidates of the
     target's own place within that many months are left out.
     """
-    if blocks is None:
-        blocks = max(1, math.ceil(candidates.count() / BLOCK_ROWS))
-    if slices is None:
-        slices = max(1, math.ceil(targets.count() / SLICE_TARGETS))
     own = ["place", "month"] if embargo is not None else []
     ids = list(dict.fromkeys([*candidate_id, *own]))
     dealt = candidates.select(
@@ -74,7 +69,9 @@ def nearest(
             distance = np.sqrt(((points - np.asarray(row.vector, dtype=float)) ** 2).sum(axis=1))
             if embargo is not None:
                 distance[(places == row.place) & (np.abs(months - row.month) <= embargo)] = np.inf
-            kept = np.argsort(distance, kind="stable")[:k]
+            # all that reach the k-th smallest, so that ties keep the order of the candidates
+            kept = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1]) if k < len(distance) else np.arange(len(distance))
+            kept = kept[np.argsort(distance[kept], kind="stable")][:k]
             kept = kept[distance[kept] < np.inf]
             if not len(kept):
                 continue

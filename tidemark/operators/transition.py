@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.neighbours import nearest
+from tidemark.operators.neighbours import BLOCKS, nearest
 from tidemark.operators.regimes import INDEX_IDS
 from tidemark.operators.series import any_ahead, episodes, full_ahead, series_window
 
@@ -48,8 +48,8 @@ def analog_transition(
     k: int = K,
     embargo: int = EMBARGO,
     index_ids: Sequence[str] = INDEX_IDS,
-    blocks: int | None = None,
-    slices: int | None = None,
+    blocks: int = BLOCKS,
+    slices: int = 1,
 ) -> DataFrame:
     """Estimate per place from the most similar states of all places.
 

@@ -9,7 +9,7 @@ from tidemark.functions.stats import pearson, upper_median_by
 from tidemark.operators import indices, rollups, snapshots, vintage
 from tidemark.plans import model as M
 from tidemark.plans.catalog.base import R, REV, obs_sql, query, r
-from tidemark.plans.catalog.joins import COLUMNS, DIFF, customer_snapshot, snapshot_sql
+from tidemark.plans.catalog.joins import COLUMNS, DIFF, customer_snapshots, snapshot_sql
 from tidemark.session import literal_table
 
 _MONTH = "(year(o_orderdate) * 12 + month(o_orderdate) - 1)::INTEGER"
@@ -119,7 +119,7 @@ def stock_counts(spark, sf_dir):
     places = M.table(spark, sf_dir, "nation").select(M.mun("n_nationkey").alias("district"))
     places = places.unionByName(literal_table(spark, "district string", [("mun-00099",)]))
     out = snapshots.stock_counts(
-        customer_snapshot(spark, sf_dir, "1995-02-01"), places, "district",
+        *customer_snapshots(spark, sf_dir, ["1995-02-01"]), places, "district",
         F.col("state") == "O", F.col("state") == "F", F.col("kind") == "1-URGENT",
     )
     return out.select("district", "open", "closed", "marked_open", r("vacancy_rate"))
@@ -137,7 +137,7 @@ FLOWS = """f AS (SELECT new_district AS district, (has_new AND new_state = 'O' A
     SELECT district, sum(o)::BIGINT AS openings, sum(c)::BIGINT AS closures, sum(mo)::BIGINT AS marked_openings, sum(mc)::BIGINT AS marked_closures FROM f GROUP BY district""",
 )
 def flow_counts(spark, sf_dir):
-    d = snapshots.diff(customer_snapshot(spark, sf_dir, "1995-06-01"), customer_snapshot(spark, sf_dir, "1996-06-01"), "id", COLUMNS, "state")
+    d = snapshots.diff(*customer_snapshots(spark, sf_dir, ["1995-06-01", "1996-06-01"]), "id", COLUMNS, "state")
     return snapshots.flow_counts(d, "district", "O", "state", "kind", lambda k: k.startswith("1"))
 
 

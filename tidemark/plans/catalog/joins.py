@@ -10,7 +10,7 @@ from tidemark.operators.leadlag import aligned, lag_table, with_split
 from tidemark.operators.neighbours import nearest
 from tidemark.plans import model as M
 from tidemark.plans.catalog.base import BRIDGE, MARKED, MUN, PLAIN, R, REV, obs_sql, query, r, values_sql
-from tidemark.session import literal_table
+from tidemark.session import cut_lineage, literal_table
 
 
 @query(
@@ -70,22 +70,22 @@ def ratio_of_series(spark, sf_dir):
     "j5_l5_asof_denominator",
     obs_sql("orders_count", "buyers_annual")
     + f""", n AS (SELECT * FROM obs WHERE metric_id = 'orders_count'),
-    d AS (SELECT geo_id, unnest(range(pidx * 12, pidx * 12 + 12)) AS month, value FROM obs WHERE metric_id = 'buyers_annual' AND pidx % 3 <> 0),
+    d AS (SELECT geo_id, unnest(range(pidx * 12, pidx * 12 + 12)) AS month, value FROM obs WHERE metric_id = 'buyers_annual'),
     m AS (SELECT n.geo_id, n.pidx, n.value, arg_max(d.value, d.month) AS base FROM n JOIN d ON n.geo_id = d.geo_id AND d.month BETWEEN n.pidx - 12 AND n.pidx GROUP BY ALL)
     SELECT geo_id, pidx, {R('1000.0::DOUBLE * value / base')} AS per_1000 FROM m WHERE base <> 0""",
 )
 def asof_denominator(spark, sf_dir):
     obs = M.series(spark, sf_dir, ["orders_count", "buyers_annual"])
-    stock = obs.where((F.col("metric_id") == "buyers_annual") & (F.pmod("pidx", F.lit(3)) != 0))
+    stock = obs.where(F.col("metric_id") == "buyers_annual")
     monthly = S.to_months(stock).select("geo_id", F.col("month").alias("pidx"), "value")
     num = obs.where(F.col("metric_id") == "orders_count").select("geo_id", "pidx", "value")
     out = S.carry_denominator(num, monthly, 12, scale=1000.0)
-    return out.select("geo_id", "pidx", r("value").alias("per_1000_dwellings"))
+    return out.select("geo_id", "pidx", r("value").alias("per_1000"))
 
 
 def _batch(spark, sf_dir):
     """History of all but the last year, and a batch restating it with duplicates."""
-    log = M.revision_log(spark, sf_dir)
+    log = cut_lineage(M.revision_log(spark, sf_dir))
     stored = log.where((F.col("revision") == 0) & (F.col("pidx") < 24000))
     last = log.where(F.col("revision") == 2)
     again = last.withColumns({"seq": F.lit(5).cast("bigint"), "value": F.col("value") + 1})
@@ -169,15 +169,17 @@ def as_of_many_dates(spark, sf_dir):
     return vintage.as_of_many(dated, _DATES, keys).withColumn("as_of", F.col("as_of").cast("string"))
 
 
-def customer_snapshot(spark, sf_dir, until: str):
-    """Each customer's latest order status and priority before a date."""
-    cut = F.lit(until).cast("timestamp_ntz")
-    o = M.table(spark, sf_dir, "orders").where(F.col("o_orderdate") < cut)
+def customer_snapshots(spark, sf_dir, dates: list[str]):
+    """For each date every customer's latest order status and priority before it, from one pass over the orders."""
+    newest = F.struct("o_orderdate", "o_orderkey")
+    state = F.struct(F.col("o_orderpriority").alias("kind"), F.col("o_orderstatus").alias("state"))
+    o = M.table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit(max(dates)).cast("timestamp_ntz"))
     last = o.groupBy("o_custkey").agg(
-        F.max_by(F.struct(F.col("o_orderpriority").alias("kind"), F.col("o_orderstatus").alias("state")), F.struct("o_orderdate", "o_orderkey")).alias("s")
+        *[F.max_by(state, F.when(F.col("o_orderdate") < F.lit(d).cast("timestamp_ntz"), newest)).alias(f"s{i}") for i, d in enumerate(dates)]
     )
     c = M.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), M.mun("c_nationkey").alias("district"))
-    return last.join(c, "o_custkey").select(F.col("o_custkey").alias("id"), "s.kind", "district", "s.state")
+    every = cut_lineage(last.join(c, "o_custkey"))
+    return [every.where(F.col(f"s{i}").isNotNull()).select(F.col("o_custkey").alias("id"), f"s{i}.kind", "district", f"s{i}.state") for i in range(len(dates))]
 
 
 def snapshot_sql(name: str, until: str) -> str:
@@ -199,7 +201,7 @@ DIFF = """d AS (SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN '
     f"WITH {snapshot_sql('a', '1995-06-01')}, {snapshot_sql('b', '1996-06-01')}, {DIFF} SELECT id, change, old_state, new_state FROM d",
 )
 def snapshot_diff(spark, sf_dir):
-    d = snapshots.diff(customer_snapshot(spark, sf_dir, "1995-06-01"), customer_snapshot(spark, sf_dir, "1996-06-01"), "id", COLUMNS, "state")
+    d = snapshots.diff(*customer_snapshots(spark, sf_dir, ["1995-06-01", "1996-06-01"]), "id", COLUMNS, "state")
     return d.select("id", "change", F.col("old.state").alias("old_state"), F.col("new.state").alias("new_state"))
 
 
@@ -210,7 +212,7 @@ def snapshot_diff(spark, sf_dir):
 def replay_changes(spark, sf_dir):
     # Base plus two yearly differences, then a removal, gives the later state.
     dates = ["1996-01-01", "1997-01-01", "1998-01-01"]
-    snaps = [customer_snapshot(spark, sf_dir, d) for d in dates]
+    snaps = customer_snapshots(spark, sf_dir, dates)
     log = None
     for i in (1, 2):
         step = snapshots.diff(snaps[i - 1], snaps[i], "id", COLUMNS, "state").withColumn("pidx", F.lit(i))

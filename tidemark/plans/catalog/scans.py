@@ -10,7 +10,7 @@ from tidemark.operators.rollups import count_by
 from tidemark.operators.series import next_in_time
 from tidemark.plans import model as M
 from tidemark.plans.catalog.base import PERIOD_M, R, REV, obs_sql, query, r, values_sql
-from tidemark.session import scratch_path
+from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources import dims, readers, sinks
 
 
@@ -134,9 +134,19 @@ def timeline_json(spark, sf_dir):
     )
 
 
+@query("s8_nested_timeline_json", obs_sql("revenue") + f" SELECT geo_id, {PERIOD_M} AS period, value FROM obs")
+def nested_timeline_json(spark, sf_dir):
+    obs = M.series(spark, sf_dir, ["revenue"])
+    item = F.struct(F.concat(F.replace(month_text("pidx"), F.lit("-"), F.lit("")), F.lit("01T000000Z")).alias("date"), F.col("value").alias("value"))
+    lines = obs.groupBy("geo_id").agg(F.array(F.struct(F.lit("Volume").alias("series"), F.collect_list(item).alias("data"))).alias("timeline"))
+    json = lines.select("geo_id", F.to_json(F.struct("timeline")).alias("value"))
+    schema = "timeline array<struct<series:string,data:array<struct<date:string,value:double>>>>"
+    return readers.parse_timeline_json(json, ["geo_id"], schema, "timeline[0].data", "date", "value")
+
+
 @query(
     "s9_fixed_width",
-    "SELECT o_orderpriority[1:1] AS procedure, o_orderstatus AS status, count(*) AS value FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL",
+    "SELECT o_orderpriority[1:1] AS procedure, o_orderstatus AS status, count(*) AS value FROM orders GROUP BY ALL",
 )
 def fixed_width(spark, sf_dir):
     o = M.table(spark, sf_dir, "orders")
@@ -144,7 +154,7 @@ def fixed_width(spark, sf_dir):
         F.concat(F.lpad(F.col("o_orderkey").cast("string"), 12, "0"), F.substring("o_orderpriority", 1, 1), "o_orderstatus", F.lit("TRAILER")).alias("value")
     )
     cells = readers.parse_fixed_width(lines, {"procedure": (12, 13), "status": (13, 14)})
-    return count_by(cells.where(F.col("status") != "P"), ["procedure", "status"])
+    return count_by(cells, ["procedure", "status"])
 
 
 @query(
@@ -154,12 +164,13 @@ def fixed_width(spark, sf_dir):
     SELECT prev, curr, n::BIGINT AS clicks FROM c""",
 )
 def navigation_log(spark, sf_dir):
-    e = M.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.col("event_type").alias("prev"))
+    # read twice below: rows in order, and the first of every minute
+    e = cut_lineage(M.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.col("event_type").alias("prev")))
     moves = next_in_time(e, ["user_id"], "ts", ["event_id"], "prev", F.date_trunc("MINUTE", "ts"), "curr").where(F.col("curr").isNotNull())
-    log = moves.groupBy("prev", "curr").agg(F.count(F.lit(1)).alias("n"))
-    good = log.select(F.concat_ws("\t", "prev", "curr", F.lit("link"), "n").alias("value"))
-    noise = log.select(F.explode(F.array(F.lit("# comment"), F.concat_ws("\t", "prev", "curr"), F.lit("a\tb\tc\tx"))).alias("value"))
-    parsed = readers.parse_navigation_log(good.unionByName(noise))
+    # a line for each move, and beside it lines that the parser must leave out
+    good = F.concat_ws("\t", "prev", "curr", F.lit("link"), F.lit("1"))
+    log = moves.select(F.explode(F.array(good, F.lit("# comment"), F.concat_ws("\t", "prev", "curr"), F.lit("a\tb\tc\tx"))).alias("value"))
+    parsed = readers.parse_navigation_log(log)
     return parsed.groupBy("prev", "curr").agg(F.sum("n").alias("clicks"))
 
 
@@ -259,6 +270,22 @@ def write_once(spark, sf_dir):
     return spark.read.parquet(path).select("target_id", "geo_id", "from_pidx", "value", "run")
 
 
+@query(
+    "s16_append_scores",
+    obs_sql("orders_count")
+    + """ SELECT 'orders' AS target_id, geo_id, pidx AS from_pidx, value AS actual, CASE WHEN pidx < 24000 THEN 'first' ELSE 'second' END AS run FROM obs""",
+)
+def append_scores(spark, sf_dir):
+    """Scores of a first run, then of a second and a third that offer all again: only what is new is appended."""
+    path = scratch_path(spark, "scores")
+    scored = M.series(spark, sf_dir, ["orders_count"]).select(F.lit("orders").alias("target_id"), "geo_id", F.col("pidx").alias("from_pidx"), F.col("value").alias("actual"))
+    scored = cut_lineage(scored)
+    sinks.append_scores(scored.where(F.col("from_pidx") < 24000).withColumn("run", F.lit("first")), None, path)
+    for run in ("second", "third"):
+        sinks.append_scores(scored.withColumn("run", F.lit(run)), spark.read.parquet(path), path)
+    return spark.read.parquet(path).select("target_id", "geo_id", "from_pidx", "actual", "run")
+
+
 @query(
     "s17_dimension_join",
     obs_sql()

@@ -11,7 +11,7 @@ from tidemark.plans import model as M
 from tidemark.plans.catalog import forecasts as FQ
 from tidemark.plans.catalog import signals as SQ
 from tidemark.plans.catalog.base import BRIDGE, DIST, PERIOD_M, R, obs_sql, query, r, values_sql
-from tidemark.plans.catalog.joins import COLUMNS, DIFF, customer_snapshot, snapshot_sql
+from tidemark.plans.catalog.joins import COLUMNS, DIFF, customer_snapshots, snapshot_sql
 from tidemark.plans.catalog.aggregates import FLOWS
 from tidemark.session import cut_lineage, literal_table
 from tidemark.sources.dims import SOURCE_SCHEMA
@@ -333,7 +333,7 @@ def manifest(spark, sf_dir):
 def census_month(spark, sf_dir):
     places_ = M.table(spark, sf_dir, "nation").select(M.mun("n_nationkey").alias("district"))
     out = D.census_month(
-        customer_snapshot(spark, sf_dir, "1996-03-01"), customer_snapshot(spark, sf_dir, "1996-04-01"), places_, COLUMNS, "O", "F", lambda k: k.startswith("1")
+        *customer_snapshots(spark, sf_dir, ["1996-03-01", "1996-04-01"]), places_, COLUMNS, "O", "F", lambda k: k.startswith("1")
     )
     flows = ("openings", "closures", "marked_openings", "marked_closures")
     return out.select("district", "open", "closed", "marked_open", r("vacancy_rate"), *flows)

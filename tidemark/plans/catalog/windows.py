@@ -95,9 +95,7 @@ def calendar_change(spark, sf_dir):
     FROM rlog GROUP BY ALL""",
 )
 def current_view(spark, sf_dir):
-    log = M.revision_log(spark, sf_dir)
-    sizes = log.groupBy("metric_id", "geo_id", "period").agg(F.count(F.lit(1)).alias("revisions"))
-    out = history.current_view(log).join(sizes, ["metric_id", "geo_id", "period"])
+    out = history.current_view(M.revision_log(spark, sf_dir), sizes="revisions")
     return out.select("geo_id", "pidx", "value", "revision", "revisions")
 
 

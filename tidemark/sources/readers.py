@@ -7,6 +7,7 @@ logic serves files, tables and streams.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -124,8 +125,15 @@ def parse_position_json(docs: DataFrame, key: Sequence[str], values: str, labels
 
 
 def parse_timeline_json(docs: DataFrame, key: Sequence[str], schema: str, items: str, stamp: str, value: str, text: str = "value") -> DataFrame:
-    """``{items: [{stamp, value}]}`` to (key, month text, value)."""
-    opened = docs.select(*key, F.explode(F.from_json(text, schema)[items]).alias("i"))
+    """``{items: [{stamp, value}]}`` to (key, month text, value).
+
+    ``items`` is a path of fields, each with an optional position, such as
+    ``timeline[0].data``; where a document lacks it, it has no items.
+    """
+    found = F.from_json(text, schema)
+    for name, position in re.findall(r"([^.\[\]]+)(?:\[(\d+)\])?", items):
+        found = found[name] if not position else F.get(found[name], F.lit(int(position)))
+    opened = docs.select(*key, F.explode(found).alias("i"))
     s = F.regexp_replace(F.col(f"i.{stamp}").cast("string"), r"[^0-9]", "")
     month = F.concat(F.substring(s, 1, 4), F.lit("-"), F.substring(s, 5, 2))
     return opened.select(*key, month.alias("period"), F.col(f"i.{value}").cast("double").alias("value"))

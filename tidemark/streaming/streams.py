@@ -12,6 +12,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tidemark.functions.frames import plain
 from tidemark.operators.history import appended, merge, quarantined
+from tidemark.session import cut_lineage
 
 
 def closed_buckets(stream: DataFrame, time: str, width: str, delay: str, keys: Sequence[str], value: str) -> DataFrame:
@@ -47,7 +48,8 @@ def merge_batches(
             fields = T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])
             written = spark.read.schema(fields).parquet(history_path)
             log = written.where(F.col("batch_id") < batch_id).select(*columns)
-        decisions = merge(log, batch, revisions_allowed)
+        # written once: history and quarantine both read it
+        decisions = cut_lineage(merge(log, batch, revisions_allowed))
         appended(decisions).write.mode("overwrite").parquet(f"{history_path}/batch_id={batch_id}")
         quarantined(decisions).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
 
