@@ -42,6 +42,19 @@ def test_byte_strings_equal_brute_force(corpus, prose, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("operator, units, window", [(substrings.substring_dedup, words, 13), (suffixes.suffix_dedup, lambda t: list((t or "").encode()), 50)])
+def test_hot_names_change_nothing(corpus, prose, monkeypatch, operator, units, window):
+    monkeypatch.setattr(repeats, "HOT_SAMPLE", 1)
+    monkeypatch.setattr(repeats, "HOT_CONTENTS", 4)
+    texts = dict(enumerate(prose))
+    docs = corpus(texts)
+    unit = repeats.word_units if window == 13 else repeats.byte_units
+    assert len(repeats.hot_names(docs, unit, operator.__globals__["measure"], window, 8 if window == 13 else 20, 64))
+    want = expected(texts, units, window, b" ".join if window == 13 else bytes)
+    got = {r.doc_id: (r.n_removed, r.kept_sha256) for r in operator(docs).collect()}
+    assert got == {k: (gone, sha) for k, (_, gone, _, sha) in want.items()}
+
+
 def test_sorted_buckets_go_on_over_slabs():
     import pyarrow as pa
 
@@ -82,4 +95,4 @@ def test_window_hash_by_doubling_and_samples_cover():
 
 
 def test_levels_double():
-    assert substrings.levels(13) == [7, 13] and substrings.levels(50) == [7, 14, 28, 50] and substrings.levels(5) == [5]
+    assert substrings.levels(13) == [8, 13] and substrings.levels(50) == [8, 16, 32, 50] and substrings.levels(5) == [5]
