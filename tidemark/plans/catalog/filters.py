@@ -231,15 +231,13 @@ def drop_incomplete_tail(spark, sf_dir):
 
 @query(
     "f16_coverage_gate",
-    obs_sql("segment_orders")
-    + f""", z AS (SELECT geo_id, pidx, CASE WHEN value >= 2 THEN value ELSE 0 END AS value FROM obs),
-    g AS (SELECT *, avg(CASE WHEN value > 0 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY geo_id) AS cover FROM z)
+    obs_sql("return_rate")
+    + f""", g AS (SELECT *, avg(CASE WHEN value > 0 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY geo_id) AS cover FROM obs)
     SELECT geo_id, pidx, {R('value')} AS value FROM g WHERE cover >= 0.7 AND value <> 0""",
 )
 def coverage_gate(spark, sf_dir):
-    obs = M.series(spark, sf_dir, ["segment_orders"])
-    thin = obs.withColumn("value", F.when(F.col("value") >= 2, F.col("value")).otherwise(F.lit(0.0)))
-    return V.coverage_gate(thin).select("geo_id", "pidx", r("value"))
+    # a rate that is zero in many months
+    return V.coverage_gate(M.series(spark, sf_dir, ["return_rate"])).select("geo_id", "pidx", r("value"))
 
 
 @query(

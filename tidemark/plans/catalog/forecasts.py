@@ -169,12 +169,11 @@ def issued_forecasts(spark, sf_dir):
 @query(
     "m8_target_status",
     obs_sql(*METRICS)
-    + f""", {TARGETS}, sz AS (SELECT metric_id, geo_id, cadence, count(*) AS observations FROM obs WHERE geo_id <> 'mun-00007' OR pidx > 23990 GROUP BY ALL)
+    + f""", {TARGETS}, sz AS (SELECT metric_id, geo_id, cadence, count(*) AS observations FROM obs GROUP BY ALL)
     SELECT target_id, geo_id, observations, CASE cadence WHEN 'monthly' THEN 48 ELSE 24 END + h + 4 AS needed, CASE WHEN observations < CASE cadence WHEN 'monthly' THEN 48 ELSE 24 END + h + 4 THEN 'insufficient_data' ELSE 'evaluated' END AS status FROM sz JOIN tg USING (metric_id)""",
 )
 def target_status(spark, sf_dir):
-    obs = _series(spark, sf_dir).where((F.col("geo_id") != "mun-00007") | (F.col("pidx") > 23990))
-    return FC.target_status(obs, targets(spark)).select("target_id", "geo_id", "observations", "needed", "status")
+    return FC.target_status(_series(spark, sf_dir), targets(spark)).select("target_id", "geo_id", "observations", "needed", "status")
 
 
 # A frozen round made three months before the end, settled by what followed.

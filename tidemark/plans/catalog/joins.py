@@ -278,7 +278,7 @@ def code_remap(spark, sf_dir):
 @query(
     "j17_wide_district_table",
     obs_sql("segment_orders", "segment_ticket")
-    + f""", l AS (SELECT geo_id, metric_id, arg_max(value, pidx) AS value FROM obs WHERE metric_id <> 'segment_ticket' OR geo_id NOT LIKE '%-05' GROUP BY ALL)
+    + f""", l AS (SELECT geo_id, metric_id, arg_max(value, pidx) AS value FROM obs GROUP BY ALL)
     SELECT geo_id, {R("max(value) FILTER (WHERE metric_id = 'segment_ticket')")} AS ticket, {R("max(value) FILTER (WHERE metric_id = 'segment_orders')")} AS orders FROM l GROUP BY geo_id
     HAVING max(value) FILTER (WHERE metric_id = 'segment_ticket') IS NOT NULL""",
 )
@@ -286,15 +286,14 @@ def wide_district_table(spark, sf_dir):
     from tidemark.plans.dashboards import wide_latest
 
     obs = M.series(spark, sf_dir, ["segment_orders", "segment_ticket"])
-    gaps = obs.where((F.col("metric_id") != "segment_ticket") | ~F.col("geo_id").endswith("-05"))
-    out = wide_latest(gaps, {"segment_ticket": "ticket", "segment_orders": "orders"}, required="ticket")
+    out = wide_latest(obs, {"segment_ticket": "ticket", "segment_orders": "orders"}, required="ticket")
     return out.select("geo_id", r("ticket"), r("orders"))
 
 
 @query(
     "j18_state_vectors",
     obs_sql("orders_count", "avg_ticket", "open_share")
-    + """, p AS (SELECT geo_id, pidx, max(value) FILTER (WHERE metric_id = 'orders_count') AS a, max(value) FILTER (WHERE metric_id = 'avg_ticket') AS b, max(value) FILTER (WHERE metric_id = 'open_share' AND value > 0) AS c FROM obs GROUP BY ALL)
+    + """, p AS (SELECT geo_id, pidx, max(value) FILTER (WHERE metric_id = 'orders_count') AS a, max(value) FILTER (WHERE metric_id = 'avg_ticket') AS b, max(value) FILTER (WHERE metric_id = 'open_share') AS c FROM obs GROUP BY ALL)
     SELECT geo_id, pidx, a, b, c FROM p WHERE a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL""",
 )
 def state_vectors(spark, sf_dir):
@@ -302,7 +301,7 @@ def state_vectors(spark, sf_dir):
     from tidemark.operators.transition import state_vectors as vectors
 
     ids = ["avg_ticket", "open_share", "orders_count"]
-    obs = M.series(spark, sf_dir, ids).where((F.col("metric_id") != "open_share") | (F.col("value") > 0))
+    obs = M.series(spark, sf_dir, ids)
     long = obs.select(F.col("geo_id").alias("place"), F.col("metric_id").alias("index_id"), F.col("pidx").alias("month"), "value")
     v = vectors(wide_indices(long, ids), ids)
     return v.select(

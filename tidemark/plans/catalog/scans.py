@@ -84,7 +84,7 @@ def delimited(spark, sf_dir):
 @query(
     "s6_n12_nested_statistics_json",
     obs_sql("orders_count", "revenue")
-    + " SELECT metric_id AS metric, geo_id AS geo, (pidx // 12)::INTEGER AS year, lpad((pidx % 12 + 1)::VARCHAR, 2, '0') AS period_code, value FROM obs WHERE pidx % 7 <> 0",
+    + " SELECT metric_id AS metric, geo_id AS geo, (pidx // 12)::INTEGER AS year, lpad((pidx % 12 + 1)::VARCHAR, 2, '0') AS period_code, value FROM obs",
 )
 def nested_statistics_json(spark, sf_dir):
     obs = M.series(spark, sf_dir, ["orders_count", "revenue"])
@@ -98,7 +98,7 @@ def nested_statistics_json(spark, sf_dir):
         F.floor(F.col("pidx") / F.lit(12.0)).cast("int").alias("Anyo"),
         F.lpad((F.pmod("pidx", F.lit(12)) + 1).cast("string"), 2, "0").alias("Periodo"),
         F.col("value").alias("Valor"),
-        (F.pmod("pidx", F.lit(7)) == 0).alias("Secreto"),
+        F.lit(False).alias("Secreto"),
     )
     docs = obs.groupBy("metric_id", "geo_id").agg(F.collect_list(point).alias("Data"))
     json = docs.select(
@@ -213,15 +213,14 @@ def paragraph_events(spark, sf_dir):
 
 @query(
     "s13_sensor_days_to_long",
-    f"""SELECT event_type, day(ts)::INTEGER AS day, {R('sum(CAST(value AS DECIMAL(18,2)))::DOUBLE', 2)} AS value FROM events
-    WHERE day(ts) % 6 <> 0 GROUP BY ALL""",
+    f"""SELECT event_type, day(ts)::INTEGER AS day, {R('sum(CAST(value AS DECIMAL(18,2)))::DOUBLE', 2)} AS value FROM events GROUP BY ALL""",
 )
 def sensor_days_to_long(spark, sf_dir):
     e = M.table(spark, sf_dir, "events").withColumn("d", F.dayofmonth("ts"))
     days = range(1, 32)
     wide = e.groupBy("event_type").agg(
         *[F.sum(F.when(F.col("d") == d, M.money("value"))).alias(f"D{d:02d}") for d in days],
-        *[F.max(F.when(F.col("d") == d, F.when(F.col("d") % 6 == 0, "N").otherwise("V"))).alias(f"V{d:02d}") for d in days],
+        *[F.max(F.when(F.col("d") == d, F.lit("V"))).alias(f"V{d:02d}") for d in days],
     )
     return readers.days_to_long(wide, ["event_type"]).select("event_type", "day", r("value", 2))
 
