@@ -125,3 +125,20 @@ def test_clusters_must_name_a_shared_folder(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Fake())
+
+
+def test_hysteresis_over_several_batches_reports_late_rows(spark, tmp_path):
+    from tidemark.plans.catalog.streams import PROVIDER, ROCKSDB, run_to_files
+    from tidemark.streaming import streams
+
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        for rows in ([("p", 1, "hot"), ("p", 2, "cold")], [("p", 3, "cold"), ("p", 4, "hot")], [("p", 2, "late"), ("p", 5, "cold")]):
+            spark.createDataFrame(rows, "place string, month int, verdict string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+            stream = spark.readStream.schema("place string, month int, verdict string").parquet(f"{tmp_path}/in")
+            out = run_to_files(streams.hold_stream(stream, ["hot"], 2), str(tmp_path / "run"))
+    finally:
+        spark.conf.set(PROVIDER, before)
+    got = sorted((r.month, r.verdict, r.rule_id, r.held_by_hysteresis, r.late) for r in out.collect())
+    assert got == [(1, "hot", "hot", False, False), (2, "cold", "hot", True, False), (2, "late", None, False, True), (3, "cold", "cold", False, False), (4, "hot", "hot", False, False), (5, "cold", "hot", True, False)]

@@ -95,12 +95,17 @@ def restatement_quarantine_stream(spark, sf_dir):
 def hysteresis_stream(spark, sf_dir):
     root = scratch_path(spark, "x5")
     judged = regimes.verdicts(index_history(spark, sf_dir)).select("place", "month", "verdict")
-    judged.write.parquet(f"{root}/in")
+    judged = cut_lineage(judged)
+    low, high = judged.agg(F.coalesce(F.min("month"), F.lit(0)), F.coalesce(F.max("month"), F.lit(0))).first()
+    # Three arrivals, each a batch of its own; state is read back in between.
+    edges = [low, *(low + (high + 1 - low) * n // 3 for n in (1, 2)), high + 1]
     before = spark.conf.get(PROVIDER)
     spark.conf.set(PROVIDER, ROCKSDB)
     try:
-        stream = spark.readStream.schema("place string, month int, verdict string").parquet(f"{root}/in")
-        out = run_to_files(streams.hold_stream(stream, regimes.STICKY, regimes.HYSTERESIS), root)
+        for start, end in zip(edges, edges[1:]):
+            judged.where(F.col("month").between(start, end - 1)).write.mode("append").parquet(f"{root}/in")
+            stream = spark.readStream.schema("place string, month int, verdict string").parquet(f"{root}/in")
+            out = run_to_files(streams.hold_stream(stream, regimes.STICKY, regimes.HYSTERESIS), root)
     finally:
         spark.conf.set(PROVIDER, before)
     return out.select("place", "month", "verdict", "rule_id", F.col("held_by_hysteresis").cast("int").alias("held"))

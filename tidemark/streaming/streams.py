@@ -59,21 +59,24 @@ def merge_batches(
 
 
 class Hysteresis(StatefulProcessor):
-    """Keeps the held state and the exit streak of each entity.
+    """Keeps the held state, the exit streak and the newest month of each entity.
 
-    Rows of one entity must arrive in order of their time across batches;
-    inside a batch they are sorted here.
+    Inside a batch the rows of an entity are sorted here.  A row that is not
+    newer than those of an earlier batch would change what has been given out:
+    it comes back as ``late``, without a state, and changes nothing.
     """
 
     def __init__(self, sticky: Sequence[str], periods: int):
         self.sticky, self.periods = set(sticky), periods
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("held", "held string, streak int")
+        self.state = handle.getValueState("held", "held string, streak int, newest int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
-        held, streak = self.state.get() if self.state.exists() else ("", 0)
+        held, streak, newest = self.state.get() if self.state.exists() else ("", 0, None)
         pdf = pd.concat(list(rows)).sort_values("month", kind="stable")
+        late = pdf["month"] <= newest if newest is not None else pd.Series(False, index=pdf.index)
+        pdf, behind = pdf[~late], pdf[late]
         states, kept = [], []
         for verdict in pdf["verdict"]:
             hold = held in self.sticky and verdict != held and streak + 1 < self.periods
@@ -81,9 +84,11 @@ class Hysteresis(StatefulProcessor):
             held = held if hold else verdict
             states.append(held)
             kept.append(hold)
-        self.state.update((held, streak))
-        out = {"place": key[0], "month": pdf["month"], "verdict": pdf["verdict"], "rule_id": states, "held_by_hysteresis": kept}
-        yield plain(pd.DataFrame(out))
+        if len(pdf):
+            self.state.update((held, streak, int(pdf["month"].iloc[-1])))
+            yield plain(pd.DataFrame({"place": key[0], "month": pdf["month"], "verdict": pdf["verdict"], "rule_id": states, "held_by_hysteresis": kept, "late": False}))
+        if len(behind):
+            yield plain(pd.DataFrame({"place": key[0], "month": behind["month"], "verdict": behind["verdict"], "rule_id": None, "held_by_hysteresis": False, "late": True}))
 
     def close(self) -> None:
         pass
@@ -96,7 +101,7 @@ def hold_stream(stream: DataFrame, sticky: Sequence[str], periods: int) -> DataF
     """
     return stream.groupBy("place").transformWithStateInPandas(
         Hysteresis(sticky, periods),
-        "place string, month int, verdict string, rule_id string, held_by_hysteresis boolean",
+        "place string, month int, verdict string, rule_id string, held_by_hysteresis boolean, late boolean",
         "append",
         "none",
     )
