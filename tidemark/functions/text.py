@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Latin letters with a mark, and the letter left once it is removed.
@@ -84,6 +84,19 @@ def first_code_by_keyword(text, keywords: list[tuple[str, str]]) -> Column:
     return F.get(F.transform(F.array(normalise_name(text)), choose), F.lit(0))
 
 
+def alias_table(dimension: DataFrame, code: str, aliases: str, order: str) -> DataFrame:
+    """(key, code): every alias of a list column, normalised; of codes that claim one alias the first by ``order``."""
+    each = dimension.select(code, F.col(order).alias("_order"), F.explode(aliases).alias("_alias"))
+    keyed = each.select(code, "_order", normalise_name("_alias").alias("key")).where(F.col("key") != "")
+    return keyed.groupBy("key").agg(F.min_by(code, F.struct("_order", code)).alias(code))
+
+
+def by_alias(df: DataFrame, name: str, table: DataFrame, how: str = "left") -> DataFrame:
+    """``df`` with the code of its name; case, accents and blanks do not matter.  ``left_semi`` keeps the titles of a set."""
+    keyed = df.withColumn("key", normalise_name(name))
+    return keyed.join(table, "key", how).drop("key")
+
+
 def code_has_prefix(code, prefixes: list[str]) -> Column:
     c, hit = F.trim(_c(code)), F.lit(False)
     for prefix in prefixes:

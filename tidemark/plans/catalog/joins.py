@@ -265,6 +265,26 @@ def normalised_name_join(spark, sf_dir):
     return c.join(names, "key").groupBy("n_nationkey").agg(F.count(F.lit(1)).alias("customers"))
 
 
+@query(
+    "j13_alias_lists",
+    """WITH a AS (SELECT n_nationkey, n_name AS k FROM nation UNION ALL SELECT n_nationkey, 'REPUBLIC OF ' || n_name FROM nation
+      UNION ALL SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
+    f AS (SELECT upper(k) AS k, min(n_nationkey) AS code FROM a GROUP BY ALL),
+    s AS (SELECT CASE s_suppkey % 3 WHEN 0 THEN n_name WHEN 1 THEN 'REPUBLIC OF ' || n_name ELSE r_name END AS k FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+    SELECT code AS n_nationkey, count(*) AS suppliers FROM s JOIN f ON upper(s.k) = f.k GROUP BY ALL""",
+)
+def alias_lists(spark, sf_dir):
+    """Places with several names; a name that several claim (the region's) goes to the first of them."""
+    n = M.table(spark, sf_dir, "nation").join(M.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    dim = n.select("n_nationkey", "n_name", "r_name", F.array("n_name", F.concat(F.lit("Republic  of "), "n_name"), F.lower("r_name")).alias("aliases"))
+    table = X.alias_table(dim, "n_nationkey", "aliases", "n_nationkey")
+    s = M.table(spark, sf_dir, "supplier").join(dim.withColumnRenamed("n_nationkey", "nk"), F.col("s_nationkey") == F.col("nk"))
+    kind = F.col("s_suppkey") % 3
+    name = F.when(kind == 0, F.initcap("n_name")).when(kind == 1, F.concat(F.lit(" république of "), F.lower("n_name"))).otherwise(F.col("r_name"))
+    named = s.select(F.replace(name, F.lit("république"), F.lit("républic")).alias("name"))
+    return X.by_alias(named, "name", table, "inner").groupBy("n_nationkey").agg(F.count(F.lit(1)).alias("suppliers"))
+
+
 @query(
     "j14_code_remap",
     "SELECT CASE c_mktsegment[1:2] WHEN 'AU' THEN '01' WHEN 'BU' THEN '02' WHEN 'FU' THEN '03' WHEN 'HO' THEN '04' END AS code, count(*) AS n FROM customer WHERE c_mktsegment[1:2] <> 'MA' GROUP BY ALL",
