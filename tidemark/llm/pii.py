@@ -13,7 +13,7 @@ DEMO_KEY = "not a secret"
 MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 DATE = r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z])"
 ADDRESS = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z])(?!\.[0-9])"
-PHONE = r"(?<![0-9A-Za-z])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])"
+PHONE = r"(?<![0-9A-Za-z])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
 CARD = r"(?<![0-9A-Za-z])(?:[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5}|[0-9]{13,19})(?![0-9A-Za-z])"
 PATTERN = "|".join((MAIL, DATE, ADDRESS, PHONE, CARD))
 #: Dates from the first of 1900 over 270 * 270 days, to August 2099, are permuted among themselves.
@@ -99,12 +99,12 @@ def _card(m: Column, key: str, forward: bool) -> Column:
 
 
 def _phone(m: Column, key: str, forward: bool) -> Column:
-    """North American numbers: area and exchange keep a first digit of 2 to 9."""
+    """The ten digits of North American numbers: the area code and the other seven."""
 
     def change(d):
         d = F.right(d, F.lit(10))
-        moved = feistel(F.substring(d, 1, 3).cast("bigint") - 200, (F.substring(d, 4, 3).cast("bigint") - 200) * 10_000 + F.substring(d, 7, 4).cast("bigint"), F.lit(800), F.lit(8_000_000), key, "phone", forward)
-        ten = _let(moved, lambda x: F.concat((x["l"] + 200).cast("string"), (F.floor(x["r"] / 10_000) + 200).cast("string"), _padded(x["r"] % 10_000, F.lit(4))))
+        moved = feistel(F.substring(d, 1, 3).cast("bigint"), F.substring(d, 4, 7).cast("bigint"), F.lit(1_000), F.lit(10_000_000), key, "phone", forward)
+        ten = _let(moved, lambda x: F.concat(_padded(x["l"], F.lit(3)), _padded(x["r"], F.lit(7))))
         return _refill(m, F.concat(F.when(m.startswith("+1"), F.lit("1")).otherwise(F.lit("")), ten))
 
     return _let(_digits(m), change)
@@ -168,7 +168,7 @@ def _mail(m: Column, key: str, forward: bool) -> Column:
 
 
 def kind_of(m: Column) -> Column:
-    """The kind of a match that is valid, else null: check digits, number plans, ranges and calendar decide."""
+    """The kind of a match that is valid, else null: check digits, ranges and the calendar decide."""
     octets = F.forall(F.split(m, r"\."), lambda o: o.cast("int") <= 255)
     day = _day(m)
     return (
@@ -183,7 +183,7 @@ def kind_of(m: Column) -> Column:
 def pseudonyms(docs: DataFrame, key: str = DEMO_KEY, forward: bool = True) -> DataFrame:
     """doc_id, text, and the number of values of each kind that were permuted, of every row of ``docs``.
 
-    Card numbers with a right check digit, North American telephone numbers,
+    Card numbers with a right check digit, numbers written as North American telephones,
     IPv4 addresses, calendar dates from 1900 to August 2099 and the local parts
     of mail addresses become others of the same format.  A value, however it is
     written, always becomes the same one, in every document, and the key turns
