@@ -142,3 +142,18 @@ def test_hysteresis_over_several_batches_reports_late_rows(spark, tmp_path):
         spark.conf.set(PROVIDER, before)
     got = sorted((r.month, r.verdict, r.rule_id, r.held_by_hysteresis, r.late) for r in out.collect())
     assert got == [(1, "hot", "hot", False, False), (2, "cold", "hot", True, False), (2, "late", None, False, True), (3, "cold", "cold", False, False), (4, "hot", "hot", False, False), (5, "cold", "hot", True, False)]
+
+
+def test_rows_behind_the_watermark_are_counted(spark, tmp_path):
+    from tidemark.streaming import streams
+
+    dropped = []
+    for at in ("2001-01-10", "2001-01-20", "2001-01-02"):
+        row = spark.sql(f"SELECT TIMESTAMP '{at} 05:00:00' AS ts, 'k' AS k, 1.0D AS value")
+        row.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(row.schema).parquet(f"{tmp_path}/in")
+        out = streams.closed_buckets(stream, "ts", "1 day", "1 day", ["k"], "value")
+        job = out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+        job.awaitTermination()
+        dropped.append(streams.dropped_as_late(job))
+    assert dropped == [0, 0, 1]

@@ -25,6 +25,11 @@ def closed_buckets(stream: DataFrame, time: str, width: str, delay: str, keys: S
     )
 
 
+def dropped_as_late(job) -> int:
+    """Rows of a streaming query that came behind the watermark and were left out, over its recent batches."""
+    return sum(op["numRowsDroppedByWatermark"] for p in job.recentProgress for op in p["stateOperators"])
+
+
 def first_seen(stream: DataFrame, time: str, delay: str, keys: Sequence[str]) -> DataFrame:
     """First row per key within the watermark."""
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
