@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_rows
 from tidemark.session import cut_lineage
 
+#: Names that many contents have are looked for in every ``HOT_SAMPLE``-th document: at most
+#: ``HOT_NAMES``, in ``HOT_CONTENTS`` sampled contents each.  They decide how work is dealt, not its result.
+HOT_SAMPLE, HOT_NAMES, HOT_CONTENTS = 32, 1000, 100
+SALTS = 64
 #: Odd multipliers of the two window hashes that together name a window.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -81,6 +85,11 @@ def samples(units: np.ndarray, window: int, gram: int) -> np.ndarray:
     return (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
+def everywhere(hashes: np.ndarray, starts: list[int]) -> np.ndarray:
+    """Whether the window at each place of a text is one of those at ``starts``."""
+    return np.isin(hashes, hashes[np.array(starts, np.int64)])
+
+
 def packed(docs: DataFrame, measure: Callable[[str | None], tuple[int, bytes]], rows: int = 256) -> DataFrame:
     """(doc_id, c, n, sha, z) of each row: content hash, size, digest and compressed text."""
 
@@ -99,11 +108,18 @@ def unpack(z: bytes) -> str:
     return zstandard.ZstdDecompressor().decompress(z).decode() if z else ""
 
 
-def repeated_samples(docs: DataFrame, units, measure, window: int, gram: int, rows: int) -> DataFrame:
-    """(c, names): of each content the names of its samples that some other content has too.
+def hot_names(docs: DataFrame, units, measure, window: int, gram: int, rows: int) -> np.ndarray:
+    """The sample names that most contents have, from every ``HOT_SAMPLE``-th document; sorted, a bounded number."""
+    part = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SAMPLE)) == 0)
+    each = sample_names(part, units, measure, window, gram, rows).distinct()
+    counts = each.groupBy("name").agg(F.count("*").alias("n")).filter(F.col("n") >= HOT_CONTENTS)
+    found = counts.orderBy(F.col("n").desc(), "name").limit(HOT_NAMES).collect()
+    return np.sort(np.array([r["name"] for r in found], np.int64))
 
-    One shuffle of the samples by name; copies of a content count as one.
-    """
+
+def sample_names(docs: DataFrame, units, measure, window: int, gram: int, rows: int, hot: np.ndarray | None = None) -> DataFrame:
+    """(name, c) of the samples of each text; with ``hot`` names also ``salt``: 0, of a hot name 1 or more by content."""
+    salted = hot is not None and len(hot) > 0
 
     def run(cols):
         name, c = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -114,10 +130,24 @@ def repeated_samples(docs: DataFrame, units, measure, window: int, gram: int, ro
                 found = np.unique(window_hash(u, gram)[at])
                 name.append(found)
                 c.append(np.full(len(found), xxhash.xxh3_64_intdigest(measure(text)[1]) - 2**63))
-        return {"name": np.concatenate(name).view(np.int64), "c": np.concatenate(c)}
+        out = {"name": np.concatenate(name).view(np.int64), "c": np.concatenate(c)}
+        if salted:
+            out["salt"] = np.where(np.isin(out["name"], hot), 1 + out["c"] % SALTS, 0).astype(np.int32)
+        return out
 
-    each = map_rows(docs.select(F.col("text").cast("string")), "name bigint, c bigint", run, rows)
-    apart = each.withColumn("low", F.expr("min(c) OVER (PARTITION BY name)")).withColumn("high", F.expr("max(c) OVER (PARTITION BY name)")).filter("low < high")
+    return map_rows(docs.select(F.col("text").cast("string")), "name bigint, c bigint" + ", salt int" * salted, run, rows)
+
+
+def repeated_samples(docs: DataFrame, units, measure, window: int, gram: int, rows: int, hot: np.ndarray = np.zeros(0, np.int64)) -> DataFrame:
+    """(c, names): of each content the names of its samples that some other content has too.
+
+    One shuffle of the samples by name; copies of a content count as one.  A hot
+    name is known to repeat, so its rows are dealt by salt.
+    """
+    each = sample_names(docs, units, measure, window, gram, rows, hot)
+    of = "PARTITION BY name, salt" if len(hot) else "PARTITION BY name"
+    apart = each.withColumn("low", F.expr(f"min(c) OVER ({of})")).withColumn("high", F.expr(f"max(c) OVER ({of})"))
+    apart = apart.filter("salt > 0 OR low < high" if len(hot) else "low < high")
     # a content has as many names as its text has samples at most
     return apart.groupBy("c").agg(F.collect_set("name").alias("names"))
 

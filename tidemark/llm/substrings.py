@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, words_of
-from tidemark.llm.repeats import BASES, candidates, packed, repeated_samples, samples, split_copies, unpack, window_hash, word_units
+from tidemark.llm.repeats import BASES, candidates, everywhere, hot_names, packed, repeated_samples, samples, split_copies, unpack, window_hash, word_units
 from tidemark.session import cut_lineage
 
 WINDOW = 13
@@ -21,8 +22,8 @@ def measure(text: str | None) -> tuple[int, bytes]:
     return len(words), b" ".join(words)
 
 
-def levels(window: int, first: int = 7) -> list[int]:
-    """Lengths from ``first``, doubled until ``window``; 13 is reached in one step from 7."""
+def levels(window: int, first: int = 8) -> list[int]:
+    """Lengths from ``first``, doubled until ``window``; 13 is reached in one step from 8."""
     out = [min(first, window)]
     while out[-1] < window:
         out.append(min(2 * out[-1], window))
@@ -62,7 +63,10 @@ def _alive(cols, level: int, window: int):
 
 
 def repeated_windows(docs: DataFrame, stats: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Candidate texts (doc_id, c, z) and the windows (doc_id, c, starts) that a smaller doc_id has as well.
+    """Candidate texts (doc_id, c, z) and the windows (doc_id, tag, starts) that a smaller doc_id has as well.
+
+    ``tag`` is the upper half of ``c``; it travels in one number with the start.
+    A window that a text repeats travels once, by its first start.
 
     At each level every window stands by one run of that many words in it (its
     sample); runs found in a single text end the windows that stand by them, and
@@ -70,7 +74,8 @@ def repeated_windows(docs: DataFrame, stats: DataFrame, window: int = WINDOW) ->
     named by 128 bits or no window is left.
     """
     ladder = levels(window)
-    names = repeated_samples(docs, word_units, measure, window, ladder[0], ROWS)
+    hot = hot_names(docs, word_units, measure, window, ladder[0], ROWS)
+    names = repeated_samples(docs, word_units, measure, window, ladder[0], ROWS, hot)
     found = candidates(docs, stats, names, measure, ROWS).withColumn("alive", F.lit(None).cast("array<int>"))
     for before, level in zip(ladder, ladder[1:-1]):
 
@@ -81,17 +86,33 @@ def repeated_windows(docs: DataFrame, stats: DataFrame, window: int = WINDOW) ->
         found = _survivors(longer, level, window)
     last = ladder[-2] if len(ladder) > 1 else ladder[0]
 
-    def full(cols):
-        parts = {"h": [], "g": [], "doc_id": [], "c": [], "start": []}
+    def full(cols, of_hot=None):
+        """The windows still alive; of those that stand by a hot name in the first level only these or only the others."""
+        parts = {"h": [], "g": [], "doc_id": [], "at": []}
+        if of_hot and len(ladder) == 2:  # the names at hand are those of the first level
+            some = [i for i, names in enumerate(cols["names"]) if np.isin(names, hot).any()]
+            cols = {k: [v[i] for i in some] for k, v in cols.items()}
         for doc_id, c, (u, at) in zip(cols["doc_id"], cols["c"], _alive(cols, last, window)):
-            for key, value in zip(parts, (window_hash(u, window)[at].view(np.int64), window_hash(u, window, BASES[1])[at].view(np.int64), np.full(len(at), doc_id), np.full(len(at), c), at)):
+            if of_hot is not None:
+                by = window_hash(u, ladder[0])[samples(u, window, ladder[0])[at]].view(np.int64)
+                at = at[np.isin(by, hot) == of_hot]
+            h, first = np.unique(window_hash(u, window)[at], return_index=True)
+            at = at[first]
+            for key, value in zip(parts, (h.view(np.int64), window_hash(u, window, BASES[1])[at].view(np.int64), np.full(len(at), doc_id), (c >> 32 << 32) + at)):
                 parts[key].append(value)
         return {k: np.concatenate([np.zeros(0, np.int64), *v]) for k, v in parts.items()}
 
-    each = map_rows(found, "h bigint, g bigint, doc_id bigint, c bigint, start int", full, ROWS)
-    later = each.withColumn("least", F.expr("min(doc_id) OVER (PARTITION BY h, g)")).filter("doc_id > least")
+    schema = "h bigint, g bigint, doc_id bigint, at bigint"
+    each = map_rows(found, schema, partial(full, of_hot=False) if len(hot) else full, ROWS)
+    later = each.withColumn("least", F.expr("min(doc_id) OVER (PARTITION BY h, g)")).filter("doc_id > least").drop("least")
+    if len(hot):
+        # the least document is combined before the shuffle, and adaptive execution splits what joins it
+        common = map_rows(found, schema, partial(full, of_hot=True), ROWS)
+        least = common.groupBy("h", "g").agg(F.min("doc_id").alias("least"))
+        later = later.unionByName(common.join(least, ["h", "g"]).filter("doc_id > least").drop("least"))
     # bounded by the words of one text
-    return found.select("doc_id", "c", "z"), later.groupBy("doc_id", "c").agg(F.collect_set("start").alias("starts"))
+    starts = F.collect_set((F.col("at") - F.shiftleft(F.shiftright("at", 32), 32)).cast("int")).alias("starts")
+    return found.select("doc_id", "c", "z"), later.groupBy("doc_id", F.shiftright("at", 32).alias("tag")).agg(starts)
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -112,7 +133,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for z, starts in zip(cols["z"], cols["starts"]):
             words = words_of(unpack(z))
             gone = np.zeros(len(words) + 1, np.int64)
-            starts = np.array(starts, np.int64)
+            starts = np.flatnonzero(everywhere(window_hash(word_units(unpack(z)), window), starts))
             np.add.at(gone, starts, 1)
             np.add.at(gone, starts + window, -1)
             gone = np.cumsum(gone)[:-1] > 0
@@ -120,7 +141,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             sha.append(hashlib.sha256(b" ".join(w for w, g in zip(words, gone.tolist()) if not g)).hexdigest())
         return {"doc_id": cols["doc_id"], "c": cols["c"], "removed": removed, "kept": sha}
 
-    changed = map_rows(texts.join(later, ["doc_id", "c"]), "doc_id bigint, c bigint, removed bigint, kept string", cut, ROWS).dropDuplicates(["doc_id", "c"])
+    tagged = texts.withColumn("tag", F.shiftright("c", 32)).join(later, ["doc_id", "tag"])
+    changed = map_rows(tagged, "doc_id bigint, c bigint, removed bigint, kept string", cut, ROWS).dropDuplicates(["doc_id", "c"])
     whole = F.col("copy") & (F.col("n") >= window)
     out = stats.join(changed, ["doc_id", "c"], "left")
     return out.select(
