@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 
 from tidemark.functions.frames import empty, plain
 
-#: Blocks of candidates; a task holds one of them.
-BLOCKS = 64
-
 
 def nearest(
     candidates: DataFrame,
@@ -23,7 +20,7 @@ def nearest(
     candidate_id: Sequence[str],
     payload: Sequence[str] = (),
     embargo: int | None = None,
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
     slices: int = 1,
 ) -> DataFrame:
     """The ``k`` candidates closest to each target by Euclidean distance.
@@ -34,9 +31,12 @@ def nearest(
     best ``k``.  So a task holds at most one block and one slice, a shuffle
     carries ``k`` rows per target and block, and the result is exact.
 
+    By default there are as many blocks as shuffle partitions and one slice.
+
     With ``embargo`` both sides carry ``place`` and ``month``: candidates of the
     target's own place within that many months are left out.
     """
+    blocks = blocks or int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = ["place", "month"] if embargo is not None else []
     ids = list(dict.fromkeys([*candidate_id, *own]))
     dealt = candidates.select(
