@@ -339,12 +339,12 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 def segment_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(seg, code): the segments that customers have, numbered from 1 in order, a missing one last.
 
-    A dimension: distinct names, reduced on the map side before they are numbered.
+    A declared dimension: the distinct names, few by their nature, are listed once.
     """
-    names = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("seg")).distinct()
-    listed = names.agg(F.sort_array(F.collect_list("seg")).alias("known"), F.count_if(F.col("seg").isNull()).alias("missing"))
-    every = F.when(F.col("missing") > 0, F.concat("known", F.array(F.lit(None).cast("string")))).otherwise(F.col("known"))
-    return listed.select(F.posexplode(every).alias("pos", "seg")).select("seg", (F.col("pos") + 1).alias("code"))
+    names = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("seg")).distinct().collect()
+    ordered = sorted((r["seg"] for r in names), key=lambda seg: (seg is None, seg or ""))
+    rows = [(seg, code) for code, seg in enumerate(ordered, 1)]
+    return literal_table(spark, "seg string, code int", rows) if rows else spark.createDataFrame([], "seg string, code int")
 
 
 def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
