@@ -7,6 +7,7 @@ import unicodedata
 import zlib
 from bisect import bisect_left
 from collections import Counter, defaultdict
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from tidemark.session import cut_lineage
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Exchanges tried at most; each handles all bins of two classes at once.
-EXCHANGES = 20_000
+EXCHANGES = 10_000
 #: Encoded words that a worker process keeps; it starts anew when full.
 CACHE = 1_000_000
 #: Pieces of one length are ranked in so many independent parts.
@@ -170,57 +171,90 @@ def _gives(pattern: tuple) -> list[tuple[int, tuple]]:
     return [(0, ()), *((a, (a,)) for a in one), *two.items()]
 
 
+class _Offers:
+    """What every open class can give in an exchange, as growing arrays."""
+
+    def __init__(self, capacity: int):
+        self.capacity, self.number = capacity, {}
+        self.patterns: list[tuple] = []
+        self.gifts: list[tuple] = []
+        self.bins = np.zeros(64, np.int64)  # of each class
+        self.size = 0
+        self.value, self.residual, self.owner = (np.zeros(1024, np.int64) for _ in range(3))
+
+    def put(self, pattern: tuple, n: int) -> None:
+        """``n`` more (or fewer) bins of a class."""
+        at = self.number.get(pattern)
+        if at is None:
+            at = self.number[pattern] = len(self.patterns)
+            self.patterns.append(pattern)
+            gives = _gives(pattern)
+            if at == len(self.bins):
+                self.bins = np.r_[self.bins, np.zeros(at, np.int64)]
+            while self.size + len(gives) > len(self.value):
+                self.value, self.residual, self.owner = (np.r_[x, np.zeros(len(x), np.int64)] for x in (self.value, self.residual, self.owner))
+            span = slice(self.size, self.size + len(gives))
+            self.value[span] = [v for v, _ in gives]
+            self.residual[span] = self.capacity - sum(pattern)
+            self.owner[span] = at
+            self.gifts += [items for _, items in gives]
+            self.size += len(gives)
+        self.bins[at] += n
+
+    def best(self, donor: tuple) -> tuple[int, int, int] | None:
+        """(item, other class, number of its gift) of the exchange that moves most into another bin, if squares grow."""
+        n, fill = self.size, sum(donor)
+        value, residual, owner = self.value[:n], self.residual[:n], self.owner[:n]
+        others = (self.bins[owner] > 0) & (owner != self.number[donor])
+        best, found = 0, None
+        for item in dict.fromkeys(donor):
+            gain = item - value
+            gain[(gain > residual) | (self.capacity - residual - fill + gain <= 0) | ~others] = 0
+            at = int(gain.argmax())
+            if gain[at] > best:
+                best, found = int(gain[at]), (item, int(owner[at]), at)
+        return found
+
+
 def local_search(bins: Counter, capacity: int, exchanges: int = EXCHANGES) -> Counter:
     """Exchange pieces between underfull bins so that the sum of squared fills grows until bins empty.
 
     The emptiest class gives: one of its pieces moves into another bin, or is
     exchanged for one or two smaller ones there, if the other bin has the room
     and the squares grow; as many bins as both classes have change at once.  A
-    class that can give no more is left.  Stops at the lower bound of bins.
+    class that can give no more is left until others have changed.  Stops at the lower bound of bins.
     """
     full = Counter({p: n for p, n in bins.items() if sum(p) == capacity})
-    open_bins = Counter({p: n for p, n in bins.items() if sum(p) < capacity})
-    least = -(-sum(sum(p) * n for p, n in bins.items()) // capacity)
+    offers = _Offers(capacity)
+    donors = []
+    for pattern, n in bins.items():
+        if sum(pattern) < capacity:
+            offers.put(pattern, n)
+            donors.append((sum(pattern), pattern))
+    heapify(donors)
     total = sum(bins.values())
-    value, residual, owner, gift = [], [], [], []  # what each open class can give, appended to
-
-    def offer(pattern):
-        for v, items in _gives(pattern):
-            value.append(v)
-            residual.append(capacity - sum(pattern))
-            owner.append(pattern)
-            gift.append(items)
-
-    for pattern in open_bins:
-        offer(pattern)
-    offered = set(open_bins)
-    arrays = np.array(value, np.int64), np.array(residual, np.int64)
-    stuck: set[tuple] = set()
+    least = -(-sum(sum(p) * n for p, n in bins.items()) // capacity)
+    changed = False
     for _ in range(exchanges):
-        donors = [p for p in open_bins if p not in stuck]
+        while donors and not offers.bins[offers.number[donors[0][1]]]:
+            heappop(donors)
+        if not donors and changed:  # what was stuck may give again
+            donors = [(sum(p), p) for p, i in offers.number.items() if offers.bins[i]]
+            heapify(donors)
+            changed = False
         if total <= least or not donors:
             break
-        donor = min(donors, key=lambda p: (sum(p), p))
-        fill = sum(donor)
-        if len(arrays[0]) < len(value):
-            arrays = np.array(value, np.int64), np.array(residual, np.int64)
-        best = None
-        for item in dict.fromkeys(donor):
-            gain = item - arrays[0]
-            grows = (capacity - arrays[1]) - fill + gain > 0
-            for at in np.flatnonzero((gain > 0) & (gain <= arrays[1]) & grows):
-                if owner[at] != donor and open_bins.get(owner[at]):
-                    if best is None or gain[at] > best[0]:
-                        best = (int(gain[at]), item, owner[at], gift[at])
-        if best is None:
-            stuck.add(donor)
+        donor = donors[0][1]
+        found = offers.best(donor)
+        if found is None:
+            heappop(donors)
             continue
-        _, item, other, given = best
-        n = min(open_bins[donor], open_bins[other])
-        for p in (donor, other):
-            open_bins[p] -= n
-            if not open_bins[p]:
-                del open_bins[p]
+        changed = True
+        item, at, gift = found
+        other, given = offers.patterns[at], offers.gifts[gift]
+        n = int(min(offers.bins[offers.number[donor]], offers.bins[at]))
+        offers.put(donor, -n)
+        offers.put(other, -n)
         for p in (_without(donor, item) + given, _without(other, *given) + (item,)):
             p = tuple(sorted(p, reverse=True))
             if not p:
@@ -228,11 +262,10 @@ def local_search(bins: Counter, capacity: int, exchanges: int = EXCHANGES) -> Co
             elif sum(p) == capacity:
                 full[p] += n
             else:
-                open_bins[p] += n
-                if p not in offered:
-                    offered.add(p)
-                    offer(p)
-    return full + open_bins
+                offers.put(p, n)
+                heappush(donors, (sum(p), p))
+    left = {p: int(offers.bins[i]) for p, i in offers.number.items() if offers.bins[i]}
+    return full + Counter(left)
 
 
 def slots(bins: Counter) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
