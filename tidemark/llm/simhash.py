@@ -18,6 +18,8 @@ from tidemark.session import cut_lineage
 SEED = 42
 #: Runs of one key shorter than this are compared pair by pair, longer ones by balls.
 SHORT_RUN = 48
+#: In dense runs whose links are checked afterwards, the members of other balls that a pivot is paired with.
+NEAREST = 8
 #: Bits of a key below the number of its variant; no segment is wider.
 KEY_BITS = 32
 #: A task holds at most this many fingerprints of one key; longer runs meet block by block.
@@ -124,7 +126,9 @@ def _ball_links(f: np.ndarray, k: int, radius: int) -> tuple[np.ndarray, np.ndar
     exactly what all pairs would: a member is linked once to each other ball it
     is near, and members of two balls still apart are compared if their pivots
     are within three times the distance.  With a smaller radius the links are
-    candidates for a check that follows: each member with every pivot within ``k``.
+    candidates for a check that follows: each member with its pivot, and each
+    pivot with the ``NEAREST`` members of other balls, so that they grow with the
+    members alone.
     """
     label = np.arange(len(f))
     home = np.full(len(f), -1)
@@ -140,14 +144,19 @@ def _ball_links(f: np.ndarray, k: int, radius: int) -> tuple[np.ndarray, np.ndar
         if home[p] >= 0:
             continue
         apart = _apart(f ^ f[p])
-        home[(apart <= radius) & (home < 0)] = len(pivots)
+        own = (apart <= radius) & (home < 0)
+        home[own] = len(pivots)
         pivots.append(p)
-        near = np.flatnonzero(apart <= k)
-        near = near[near != p]
         if radius < k:
+            others = np.where(own, k + 1, apart)
+            nearest = np.argpartition(others, NEAREST)[:NEAREST] if len(f) > NEAREST else np.arange(len(f))
+            near = np.r_[np.flatnonzero(own), nearest[others[nearest] <= k]]
+            near = near[near != p]
             left.extend([p] * len(near))
             right.extend(near)
             continue
+        near = np.flatnonzero(apart <= k)
+        near = near[near != p]
         for q in near:
             a, b = find(p), find(q)
             if a != b:
@@ -190,9 +199,11 @@ def _run_links(key: np.ndarray, f: np.ndarray, k: int, radius: int, cuts, once:
         left.append(at)
         right.append(at + d)
     for s, n in zip(start[length >= SHORT_RUN], length[length >= SHORT_RUN]):
-        a, b = _ball_links(f[s : s + n], k, radius)
-        left.append(s + a)
-        right.append(s + b)
+        # in the order of the fingerprints, so that one is a pivot in all of its keys or in few
+        order = np.lexsort(f[s : s + n].T)
+        a, b = _ball_links(f[s + order], k, radius)
+        left.append(s + order[a])
+        right.append(s + order[b])
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
