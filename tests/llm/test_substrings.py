@@ -72,8 +72,12 @@ def test_sorted_buckets_go_on_over_slabs():
     assert sorted(r["doc_id"] for r in runs) == list(range(1, n)) and all((r["start"], r["stop"]) == (0, 10) for r in runs)
 
 
+@pytest.mark.parametrize("hot", [False, True])
 @pytest.mark.parametrize("operator", [substrings.substring_dedup, suffixes.suffix_dedup])
-def test_repeated_rows_null_ids_and_empty_tables(corpus, spark, operator):
+def test_repeated_rows_null_ids_and_empty_tables(corpus, spark, operator, hot, monkeypatch):
+    if hot:
+        monkeypatch.setattr(repeats, "HOT_SAMPLE", 1)
+        monkeypatch.setattr(repeats, "HOT_CONTENTS", 1)
     long = " ".join(f"word{i}" for i in range(40))
     rows = [(1, long), (1, long), (2, long + " end"), (2, "other " + long), (None, long), (3, None), (4, "")]
     got = operator(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()

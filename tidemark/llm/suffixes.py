@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, pa_schema
-from tidemark.llm.repeats import BASES, _BYTE, byte_units, candidates, packed, repeated_samples, samples, split_copies, unpack, window_hash
+from tidemark.llm.repeats import BASES, _BYTE, byte_units, candidates, everywhere, hot_names, packed, repeated_samples, samples, split_copies, unpack, window_hash
 from tidemark.session import cut_lineage
 
 LENGTH = 50
@@ -30,30 +30,33 @@ def measure(text: str | None) -> tuple[int, bytes]:
     return len(raw), raw
 
 
-def suffixes(found: DataFrame, length: int, sample: int) -> DataFrame:
+def suffixes(found: DataFrame, length: int, sample: int, hot: np.ndarray, of_hot: bool = False) -> DataFrame:
     """Of candidate texts the suffixes by the cover sample they stand by: rows of neighbouring starts.
 
     All suffixes that stand by one sample are one row: the sample's name is
-    their bucket, ``context`` their bytes up to ``length``.
+    their bucket, ``context`` their bytes up to ``length``.  What a text repeats
+    is given once, where it comes first.  Those of ``hot`` names alone, or the others.
     """
 
     def run(cols):
         out = {k: [] for k in ("name", "doc_id", "c", "first", "count", "context")}
         for doc_id, c, z, names in zip(*(cols[k] for k in ("doc_id", "c", "z", "names"))):
+            if of_hot and not np.isin(names, hot).any():
+                continue
             raw = unpack(z).encode()
             u = _BYTE[np.frombuffer(raw, np.uint8)]
             at = samples(u, length, sample)
             begin = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
             name = window_hash(u, sample)[at[begin]].view(np.int64)
             count = np.diff(np.r_[begin, len(at)])
-            keep = np.isin(name, np.array(names, np.int64))
+            keep = np.isin(name, np.array(names, np.int64)) & (np.isin(name, hot) == of_hot)
+            given = set()
             for s, n, k in zip(begin[keep].tolist(), count[keep].tolist(), name[keep].tolist()):
-                out["name"].append(k)
-                out["first"].append(s)
-                out["count"].append(n)
-                out["context"].append(raw[s : s + n + length - 1])
-            out["doc_id"] += [doc_id] * int(keep.sum())
-            out["c"] += [c] * int(keep.sum())
+                context = raw[s : s + n + length - 1]
+                if context not in given:
+                    given.add(context)
+                    for key, value in zip(out, (k, doc_id, c, s, n, context)):
+                        out[key].append(value)
         return out
 
     return map_rows(found, _SUFFIXES, run, ROWS)
@@ -121,11 +124,27 @@ def _sort_buckets(length: int):
 
 def repeated_strings(docs: DataFrame, stats: DataFrame, length: int = LENGTH, sample: int = SAMPLE) -> tuple[DataFrame, DataFrame]:
     """Candidate texts (doc_id, c, z) and runs (doc_id, c, starts, stops) of starts whose string a smaller doc_id has."""
-    names = repeated_samples(docs, byte_units, measure, length, sample, ROWS)
+    hot = hot_names(docs, byte_units, measure, length, sample, ROWS)
+    names = repeated_samples(docs, byte_units, measure, length, sample, ROWS, hot)
     found = candidates(docs, stats, names, measure, ROWS)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = suffixes(found, length, sample).repartition(parts, "name").sortWithinPartitions("name", "doc_id")
-    runs = buckets.mapInArrow(_sort_buckets(length), _RUNS)
+    sort = lambda rows: rows.repartition(parts, "name").sortWithinPartitions("name", "doc_id").mapInArrow(_sort_buckets(length), _RUNS)
+    runs = sort(suffixes(found, length, sample, hot))
+    if len(hot):
+        # In a bucket of many documents equal rows are first reduced to the least of them (combined before
+        # the shuffle; adaptive execution splits what joins it): only that one has to be ordered with the others.
+        common = suffixes(found, length, sample, hot, True).withColumn("h", F.xxhash64("context")).withColumn("g", F.unhex(F.md5("context")))
+        same = ["name", "h", "g"]
+        first = F.min_by(F.struct("doc_id", "c", "first", "count", "context"), "doc_id").alias("r")
+        reps = cut_lineage(common.groupBy(*same).agg(first).select(*same, "r.*"))
+        others = common.drop("context").join(reps.select(*same, F.col("doc_id").alias("least")), same).filter("doc_id > least")
+        equal = others.select("doc_id", "c", F.col("first").alias("start"), (F.col("first") + F.col("count") - 1).alias("stop"))
+        ordered = reps.drop("h", "g")
+        several = stats.groupBy("doc_id").agg((F.min("c") < F.max("c")).alias("several")).filter("several")
+        if not several.isEmpty():  # other texts under the least doc_id are no later documents: they are ordered too
+            twins = common.join(reps.select(*same, F.col("doc_id").alias("least"), F.col("c").alias("taken")), same)
+            ordered = ordered.unionByName(twins.filter("doc_id = least AND c <> taken").select(*ordered.columns))
+        runs = runs.unionByName(equal).unionByName(sort(ordered))
     # bounded by the bytes of one text
     return found.select("doc_id", "c", "z"), runs.groupBy("doc_id", "c").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
 
@@ -148,9 +167,11 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, sample: int = SAMPLE) ->
         removed, spans, sha = [], [], []
         for z, starts, stops in zip(cols["z"], cols["starts"], cols["stops"]):
             raw = np.frombuffer(unpack(z).encode(), np.uint8)
+            at = np.concatenate([np.arange(a, b + 1) for a, b in zip(starts, stops)])
+            at = np.flatnonzero(everywhere(window_hash(_BYTE[raw], length), at))
             gone = np.zeros(len(raw) + 1, np.int64)
-            np.add.at(gone, np.array(starts, np.int64), 1)
-            np.add.at(gone, np.array(stops, np.int64) + length, -1)
+            np.add.at(gone, at, 1)
+            np.add.at(gone, at + length, -1)
             gone = np.cumsum(gone)[:-1] > 0
             removed.append(int(gone.sum()))
             spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
