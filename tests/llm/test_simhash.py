@@ -86,6 +86,28 @@ def test_similar_documents_by_shingles(corpus):
     assert all(truth[i] == truth[got[i]] for i in range(len(texts)))
 
 
+def jaccard_truth(texts, width=5):
+    shingles = [{tuple(t.split()[i : i + width]) for i in range(max(1, len(t.split()) - width + 1))} for t in texts]
+    return classes(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])])
+
+
+def test_every_pair_at_the_least_similarity_is_linked(corpus):
+    """Pairs at just 0.8, whose fingerprints often share no key, and sets that agree while their repeats differ."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for _ in range(150):
+        own = [f"w{x}" for x in rng.integers(0, 10**6, 94)]
+        texts += [" ".join(own), " ".join(own[10:] + [f"v{x}" for x in rng.integers(0, 10**6, 10)])]  # 80 of 100 shingles
+    for _ in range(20):
+        own = [f"w{x}" for x in rng.integers(0, 10**6, 60)]
+        loop = [f"u{x}" for x in rng.integers(0, 10**6, 5)]
+        texts += [" ".join(own + loop * 2), " ".join(own + loop * 60)]
+    truth = jaccard_truth(texts)
+    assert len(set(truth)) == 170
+    got = {r.doc_id: r.component_id for r in S.near_duplicates(corpus(texts), **S.SIMILAR).collect()}
+    assert [got[i] for i in range(len(texts))] == truth
+
+
 def test_null_ids_repeated_rows_and_empty_tables(spark, corpus):
     rows = [(5, "a b c d e"), (5, "a b c d e"), (None, "a b c d e"), (None, "quite another text than that"), (7, None), (9, "")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")

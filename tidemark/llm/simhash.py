@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import accumulate, repeat
 
@@ -24,6 +25,9 @@ NEAREST = 8
 KEY_BITS = 32
 #: A task holds at most this many fingerprints of one key; longer runs meet block by block.
 BLOCK = 16_384
+#: Shingles are counted in one of so many components; those found in ``COMMON`` or more of these, the
+#: most frequent ``COMMON_SHINGLES`` at most, come last in prefixes.
+SAMPLED, COMMON, COMMON_SHINGLES = 32, 3, 200_000
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -288,25 +292,41 @@ def fingerprint_links(fps: DataFrame, distance: int, radius: int | None = None,
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def similar(docs: DataFrame, pairs: DataFrame, width: int, jaccard: float) -> DataFrame:
-    """Those ``pairs`` (a, b) of doc_ids whose sets of word shingles have at least this Jaccard similarity.
+def _set_name(hashes: np.ndarray) -> tuple[int, int]:
+    """128 bits, as two signed longs, that name a set of shingle hashes."""
+    low, high = np.frombuffer(xxhash.xxh128_digest(hashes.tobytes()), np.int64)
+    return int(low), int(high)
+
+
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """(s1, s2, s) of every row: the 128-bit name of its shingle set and its sorted 64-bit hashes."""
+
+    def run(cols):
+        sets = [np.unique(shingle_hashes(t, width)) for t in cols["text"]]
+        names = [_set_name(x) for x in sets]
+        return {"s1": [a for a, _ in names], "s2": [b for _, b in names], "s": [x.tobytes() for x in sets]}
+
+    return map_rows(docs.select(F.col("text").cast("string")), "s1 bigint, s2 bigint, s binary", run)
 
-    Only documents of a pair are read again; their shingles travel as sorted 32-bit hashes.
-    """
-    named = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(named, "id", "left_semi")
 
-    def shingles(cols):
-        sets = [np.unique(shingle_hashes(t, width).astype(np.uint32)).tobytes() for t in cols["text"]]
-        return {"id": cols["id"], "s": sets}
+def _sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, s) of ``nodes`` (node, rep, s1, s2); only documents named by ``rep`` are read again."""
+    reps = nodes.select(F.col("rep").alias("doc_id")).distinct()
+    d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    wanted = d.join(reps, d["doc_id"].eqNullSafe(reps["doc_id"]), "left_semi")
+    return shingle_sets(wanted, width).groupBy("s1", "s2").agg(F.first("s").alias("s")).join(nodes.select("node", "s1", "s2"), ["s1", "s2"]).select("node", "s")
 
-    sets = map_rows(wanted, "id bigint, s binary", shingles).groupBy("id").agg(F.min("s").alias("s"))
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+
+def similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, jaccard: float) -> DataFrame:
+    """Those ``pairs`` (a, b) of nodes of ``classes`` whose sets of word shingles have at least this Jaccard similarity."""
+    named = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _sets_of(docs, classes.join(named, "node", "left_semi"), width)
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
 
     def check(cols):
         keep = []
         for i, (x, y) in enumerate(zip(cols["sa"], cols["sb"])):
-            x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             common = len(x) + len(y) - len(np.union1d(x, y))
             if common >= jaccard * (len(x) + len(y) - common):
                 keep.append(i)
@@ -315,31 +335,110 @@ def similar(docs: DataFrame, pairs: DataFrame, width: int, jaccard: float) -> Da
     return map_rows(both, "a bigint, b bigint", check)
 
 
+def _common_shingles(docs: DataFrame, classes: DataFrame, width: int) -> np.ndarray:
+    """Shingles that many components have, rarest first, counted in every ``SAMPLED``-th; they only order prefixes."""
+    some = classes.filter(f"node = label AND pmod(xxhash64(node), {SAMPLED}) = 0")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in batch.column("s").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(s, np.int64))], names=["h"])
+
+    seen = _sets_of(docs, some, width).select("s").mapInArrow(each, "h bigint").groupBy("h").agg(F.count("*").alias("n")).filter(f"n >= {COMMON}")
+    rows = seen.orderBy(F.desc("n"), "h").limit(COMMON_SHINGLES).collect()
+    return np.array([r.h for r in reversed(rows)], np.int64).view(np.uint64)
+
+
+def prefix_pairs(docs: DataFrame, classes: DataFrame, width: int, jaccard: float) -> DataFrame:
+    """Pairs (a, b) of nodes of different labels that hold every pair of at least this Jaccard similarity.
+
+    In any one order of all shingles, sets that similar share one among the
+    first n - ceil(jaccard n) + 1 of each.  The order is that of the hashes, with
+    the shingles of many components last, so that keys are rare.  Sizes and the
+    places of the shared shingle bound the overlap.
+    """
+    common = _common_shingles(docs, classes, width)
+    place = np.argsort(common)
+    ordered = common[place]
+
+    def keys(cols):
+        out = {"s1": [], "s2": [], "n": [], "keys": []}
+        for text in cols["text"]:
+            h = np.unique(shingle_hashes(text, width))
+            n = len(h)
+            rank = np.zeros(n, np.int64)
+            if len(ordered):
+                at = np.minimum(np.searchsorted(ordered, h), len(ordered) - 1)
+                rank = np.where(ordered[at] == h, place[at] + 1, 0)
+            first = h[np.lexsort((h, rank))][: n - math.ceil(jaccard * n - 1e-9) + 1]
+            for column, value in zip(out.values(), (*_set_name(h), n, first.view(np.int64))):
+                column.append(value)
+        return out
+
+    lists = map_rows(docs.select(F.col("text").cast("string")), "s1 bigint, s2 bigint, n int, keys array<bigint>", keys)
+    lists = lists.groupBy("s1", "s2").agg(F.first(F.struct("n", "keys")).alias("l")).join(classes.select("node", "label", "s1", "s2"), ["s1", "s2"])
+    prefix = lists.select("node", "label", "l.n", F.posexplode("l.keys").alias("at", "key"))
+    same = F.expr(
+        f"x.key = y.key AND x.node < y.node AND x.label <> y.label AND least(x.n, y.n) >= {jaccard}D * greatest(x.n, y.n) - 1e-6D"
+        f" AND 1 + least(x.at, y.at) + least(x.n - x.at, y.n - y.at) - 1 >= {jaccard / (1 + jaccard)}D * (x.n + y.n) - 1e-6D"
+    )
+    return prefix.alias("x").join(prefix.alias("y"), same).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def similar_documents(docs: DataFrame, width: int, distance: int, n_words: int, count: int | None, radius: int | None, jaccard: float, block: int = BLOCK) -> DataFrame:
+    """(doc_id, fp, ..., component_id) of every row, linked exactly where shingle sets have this Jaccard similarity.
+
+    Near fingerprints are candidates that join most of each group at little cost.
+    What they leave apart meets by prefixes of the sets (``prefix_pairs``), which
+    miss no pair, so the components are those of all similar pairs.
+    """
+    names = _names(n_words)
+
+    def run(cols):
+        fps = np.array([fingerprint(t, width, n_words) for t in cols["text"]], np.uint64).reshape(-1, n_words).view(np.int64)
+        sets = [_set_name(np.unique(shingle_hashes(t, width))) for t in cols["text"]]
+        return {"doc_id": cols["doc_id"], "s1": [a for a, _ in sets], "s2": [b for _, b in sets]} | {name: fps[:, i] for i, name in enumerate(names)}
+
+    schema = ", ".join(["doc_id bigint", "s1 bigint", "s2 bigint", *(f"{name} bigint" for name in names)])
+    prints = cut_lineage(map_rows(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), schema, run))
+    classes = prints.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.min(F.struct(*names)).alias("f")).select("s1", "s2", "rep", "f.*")
+    classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()))
+    near = cut_lineage(fingerprint_links(classes.select("node", *names), distance, radius, count, block))
+    links = cut_lineage(similar(docs, near, classes, width, jaccard))
+    labelled = cut_lineage(classes.select("node", "rep", "s1", "s2").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    rest = cut_lineage(prefix_pairs(docs, labelled, width, jaccard))
+    links = links.union(similar(docs, rest, classes, width, jaccard))
+    labelled = cut_lineage(labelled.drop("label").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    least = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
+    return prints.join(labelled.join(least, "label").select("s1", "s2", "component_id"), ["s1", "s2"]).select("doc_id", *names, "component_id")
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, n_words: int = 1, count: int | None = None, radius: int | None = None, jaccard: float | None = None, block: int = BLOCK) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``; fp1, ... with more words.
 
     Fingerprints of word shingles are linked when at most ``distance`` bits
     differ; the component is named by its smallest doc_id.  With ``jaccard``,
-    links are candidates and hold only if the shingle sets are that similar.
+    texts are linked exactly where their shingle sets are that similar
+    (``similar_documents``).
     Null and empty texts have fingerprint zero, linked like any other.  Equal
     texts share one fingerprint and are compared once.  Repeated rows come back
     as often as they are given.  Rows with a null doc_id name no component and
     belong to one only by an equal fingerprint.  Other columns are ignored.
     """
+    if jaccard is not None:
+        return similar_documents(docs, width, distance, n_words, count, radius, jaccard, block)
     names = _names(n_words)
     prints = cut_lineage(fingerprints(docs, width, n_words))
     classes = cut_lineage(prints.groupBy(*names).agg(F.min("doc_id").alias("node")))
     links = fingerprint_links(classes, distance, radius, count, block)
-    if jaccard is not None:
-        links = similar(docs, cut_lineage(links), width, jaccard)
     labels = components(links)
     named = classes.join(labels, "node", "left").select(*names, F.coalesce("label", "node").alias("component_id"))
     return prints.join(named, names).select("doc_id", *names, "component_id")
 
 
 #: For sets of five-word shingles with a Jaccard similarity of 0.8 or more: 128 bits in eight
-#: segments.  Of pairs at 0.8 exactly 93 % share a key, at 0.9 over 99 %; no two that differ
-#: by more than 36 bits are that similar but for one pair in 10^4.
+#: segments.  Of pairs at 0.8 exactly 93 % share a key, at 0.9 over 99 %; the prefixes of the
+#: sets find the others.
 SIMILAR = {"width": 5, "n_words": 2, "count": 8, "distance": 36, "radius": 12, "jaccard": 0.8}
 
 
