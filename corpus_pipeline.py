@@ -2,34 +2,63 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, packing, quality, secret_scan, simhash
-from tidemark.session import scratch_path
+from tidemark.session import cut_lineage, scratch_path
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` but for the rejected doc_ids; rows without a doc_id can't be named and stay."""
-    names = rejected.select(F.col("doc_id").alias("rejected_id")).distinct()
-    return docs.join(names, docs["doc_id"] == names["rejected_id"], "left_anti")
+#: Names a row of a stage's input while the stage runs.
+ROW = "_row_of_stage"
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row: the rank of its file and its place there; what is in no files is written first."""
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    except AnalysisException:
+        return _rows(cut_lineage(docs))
+    files = sorted(r._file for r in placed.select("_file").distinct().collect())
+    ranks = docs.sparkSession.createDataFrame(list(enumerate(files)), "_rank bigint, _file string")
+    return placed.join(F.broadcast(ranks), "_file").select(*docs.columns, F.expr("shiftleft(_rank, 40) + _place").alias(ROW))
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """``rows`` as the operators judge them, each under a doc_id of its own."""
+    return rows.withColumn("doc_id", F.col(ROW))
+
+
+def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``rows`` but for those whose keys are ``rejected``, whatever their doc_ids are."""
+    names = rejected.select(F.col("doc_id").alias("rejected_id"))
+    return rows.join(names, rows[ROW] == names["rejected_id"], "left_anti").drop(ROW)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or are outliers of their language and source go."""
-    return _without(docs, quality.quality(docs).filter("NOT kept"))
+    rows = _rows(docs)
+    return _without(rows, quality.quality(_named(rows)).filter("NOT kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (Jaccard 0.8 on five-word shingles) the document with the smallest doc_id stays."""
-    found = simhash.near_duplicates(docs, **simhash.SIMILAR)
-    return _without(docs, found.filter("doc_id <> component_id"))
+    """Of each group of near duplicates (Jaccard 0.8 on five-word shingles) the row with the smallest doc_id stays.
+
+    Among rows of that doc_id the first of the input stays; rows without a doc_id come after all others.
+    """
+    rows = _rows(docs)
+    found = simhash.near_duplicates(_named(rows), **simhash.SIMILAR).select(F.col("doc_id").alias(ROW), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"), ROW)
+    first = found.join(rows.select("doc_id", ROW), ROW).groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.join(first.select(F.col(f"first.{ROW}").alias("kept_row")), F.col(ROW) == F.col("kept_row"), "left_semi").drop(ROW)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a ten-word window of a benchmark item go."""
-    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found.filter("contaminated"))
+    rows = _rows(docs)
+    found = decontaminate.contamination(_named(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(rows, found.filter("contaminated"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,6 +52,18 @@ def test_stages_catch_what_is_planted_and_keep_clean_documents(spark, folder):
     assert sum(r.length for r in packed) == sum(len(packing.encode(t)) // 4 + 1 for t in texts.values())
 
 
+def test_rows_are_judged_one_by_one_whatever_their_doc_ids_are(spark, folder, tmp_path):
+    path, rows = folder
+    texts = {i: rows[i] for i in range(300)}
+    odd = [(None, rows[504]), (None, rows[502]), (None, rows[7]), (8, rows[8]), (8, rows[8]), (9, rows[504]), (10, rows[502])]
+    docs = spark.createDataFrame([(i, t, "en", "s0", len(t)) for i, t in [*texts.items(), *odd]], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, docs, path)
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    assert sorted((r.doc_id, r.text) for r in docs.collect()) == sorted(texts.items())
+
+
 def test_every_query_of_the_subpackage_is_registered():
     names = list(entry.queries())
     for n in range(1, 11):
