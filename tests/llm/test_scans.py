@@ -107,6 +107,20 @@ def brute_licence(passage, threshold):
     return best and (best[1], -best[0])
 
 
+def test_notices_are_found_across_paragraphs_lines_and_other_words():
+    known = licences.Templates()
+    find = lambda text: [(m[2], text[m[0] : m[1]]) for m in licences.matches(text, known)]
+    apache = licences.TEMPLATES["apache-2.0"][1]
+    other = " ".join(f"word{i}" for i in range(60))
+    parts = apache.replace(" You may obtain", "\n\nYou may obtain").replace(" Unless", "\n\nUnless")
+    for text in (f"{other}\n\n{parts}\n\n{other}", f"{other} {apache} {other}", "\n".join(f"{other} {apache} {other}".split())):
+        (name, span), = find(text)
+        assert name == "apache-2.0" and span.split()[0] == "Licensed" and span.split()[-1].startswith("License")
+    for name in ("gpl-3.0", "lgpl-3.0", "agpl-3.0"):
+        assert [n for n, _ in find(f"{other} " + licences.TEMPLATES[name][1].replace(" under", "\nunder"))] == [name]
+    assert find(other + " this program is free of the license and you may use it") == []
+
+
 def test_licences_equal_brute_force_and_find_planted(corpus):
     known = licences.Templates()
     mit = licences.TEMPLATES["mit"][2]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
@@ -34,7 +35,15 @@ TEMPLATES = {
         "This work is licensed under the GNU General Public License, version 2",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     ),
-    "lgpl-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3",),
+    "lgpl-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "lgpl-2.1": ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",),
+    "agpl-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",),
     "isc": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",),
     "bsd": (
@@ -69,6 +78,11 @@ class Templates:
         self.pairs = sorted(pairs, key=lambda p: (len(p[1]), p[0]))
         self.sizes = [len(b) for _, b in self.pairs]
         self.threshold = threshold
+        self.lengths = [0] * len(self.pairs)
+        for name, texts in (templates or TEMPLATES).items():
+            for t in texts:
+                n = self.pairs.index((name, bigrams(normalised(t))))
+                self.lengths[n] = max(self.lengths[n], len(normalised(t)))
         self.holders: dict[tuple, list[int]] = defaultdict(list)
         for n, (_, b) in enumerate(self.pairs):
             for x in b:
@@ -95,6 +109,28 @@ class Templates:
         return (min(found)[1], -min(found)[0]) if found and -min(found)[0] >= t else None
 
 
+def windows(spelt: list[str], shared: list[int], templates: Templates):
+    """(first, last) words of the windows of each template's own number of words that may match it, wherever lines and sentences end.
+
+    2 common / (a + b) >= t with a >= common takes at least b t / (2 - t) of the
+    template's bigrams, so windows start where a bigram of the template has so
+    many others of its bigrams close behind; they end with the last of them.
+    """
+    places: dict[int, list[int]] = defaultdict(list)
+    for i in shared:
+        for n in templates.holders[(spelt[i], spelt[i + 1] if i + 1 < len(spelt) else "")]:
+            places[n].append(i)
+    for n, hits in places.items():
+        least = max(1, math.ceil(templates.sizes[n] * templates.threshold / (2 - templates.threshold) - 1e-9))
+        if len(hits) < least:
+            continue
+        length = templates.lengths[n]
+        for i in range(len(hits) - least + 1):
+            if hits[i + least - 1] - hits[i] < length - 1:
+                stop = bisect_right(hits, hits[i] + length - 2) - 1
+                yield hits[i], hits[stop] + 2
+
+
 def passages(text: str):
     """(start, end) of the whole text, its paragraphs (at blank lines), lines and sentences; each once."""
     spans = {(0, len(text))} if text else set()
@@ -112,7 +148,7 @@ def passages(text: str):
 
 
 def matches(text: str | None, templates: Templates) -> list[tuple[int, int, str, float]]:
-    """(start, end, licence, coefficient) of the matching passages by start; none overlaps a better one.
+    """(start, end, licence, coefficient) of the matching passages and windows by start; none overlaps a better one.
 
     Of overlapping matches the one with the higher coefficient stays, then the earlier, then the longer.
     """
@@ -134,6 +170,11 @@ def matches(text: str | None, templates: Templates) -> list[tuple[int, int, str,
             if best:
                 # from the first word to the last
                 found.append((at[first], at[last - 1] + len(spelt[last - 1]), *best))
+    for first, last in set(windows(spelt, shared, templates)):
+        best = templates.best(spelt[first:last])
+        if best:
+            last = min(last, len(spelt))
+            found.append((at[first], at[last - 1] + len(spelt[last - 1]), *best))
     out: list[tuple[int, int, str, float]] = []
     for m in sorted(set(found), key=lambda m: (-m[3], m[0], -m[1])):
         if all(m[1] <= o[0] or m[0] >= o[1] for o in out):
@@ -144,8 +185,9 @@ def matches(text: str | None, templates: Templates) -> list[tuple[int, int, str,
 def licences(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_matches, licence, score and spans of every row of ``docs``.
 
-    Whole texts, paragraphs, lines and sentences are compared to every template
-    whose size allows ``threshold``.  ``licence`` and ``score`` are those of the
+    Whole texts, paragraphs, lines, sentences and, across all of these, windows of
+    each template's number of words are compared to every template whose size
+    allows ``threshold``.  ``licence`` and ``score`` are those of the
     best match, ``spans`` lists licence:start:end (code points) of all.  Null
     and empty texts match nothing; a null doc_id is kept; repeated rows come
     back as given; extra columns are ignored.
