@@ -354,8 +354,8 @@ def prefix_pairs(docs: DataFrame, classes: DataFrame, width: int, jaccard: float
 
     In any one order of all shingles, sets that similar share one among the
     first n - ceil(jaccard n) + 1 of each.  The order is that of the hashes, with
-    the shingles of many components last, so that keys are rare.  Sizes and the
-    places of the shared shingle bound the overlap.
+    the shingles of many components last, so that keys are rare.  Sizes, the number
+    of shared keys and the places of the last bound the overlap.
     """
     common = _common_shingles(docs, classes, width)
     place = np.argsort(common)
@@ -378,11 +378,14 @@ def prefix_pairs(docs: DataFrame, classes: DataFrame, width: int, jaccard: float
     lists = map_rows(docs.select(F.col("text").cast("string")), "s1 bigint, s2 bigint, n int, keys array<bigint>", keys)
     lists = lists.groupBy("s1", "s2").agg(F.first(F.struct("n", "keys")).alias("l")).join(classes.select("node", "label", "s1", "s2"), ["s1", "s2"])
     prefix = lists.select("node", "label", "l.n", F.posexplode("l.keys").alias("at", "key"))
-    same = F.expr(
-        f"x.key = y.key AND x.node < y.node AND x.label <> y.label AND least(x.n, y.n) >= {jaccard}D * greatest(x.n, y.n) - 1e-6D"
-        f" AND 1 + least(x.at, y.at) + least(x.n - x.at, y.n - y.at) - 1 >= {jaccard / (1 + jaccard)}D * (x.n + y.n) - 1e-6D"
-    )
-    return prefix.alias("x").join(prefix.alias("y"), same).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    same = F.expr(f"x.key = y.key AND x.node < y.node AND x.label <> y.label AND least(x.n, y.n) >= {jaccard}D * greatest(x.n, y.n) - 1e-6D")
+    met = prefix.alias("x").join(prefix.alias("y"), same).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m"), F.col("x.at").alias("i"), F.col("y.at").alias("j"))
+    pairs = met.groupBy("a", "b", "n", "m").agg(F.count("*").alias("c"), F.max("i").alias("i"), F.max("j").alias("j"))
+    # the prefix that ends first is compared whole, so only what follows it can be shared besides; after the last
+    # shared place no more than the shorter rest can
+    left = lambda n: F.ceil(jaccard * F.col(n) - 1e-9) - 1
+    after = F.least(F.greatest(left("n"), left("m")), F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) - 1)
+    return pairs.filter(F.col("c") + after >= jaccard / (1 + jaccard) * (F.col("n") + F.col("m")) - 1e-6).select("a", "b")
 
 
 def similar_documents(docs: DataFrame, width: int, distance: int, n_words: int, count: int | None, radius: int | None, jaccard: float, block: int = BLOCK) -> DataFrame:
