@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The identifier grammar of the eleven geography levels.
+# The identifier grammar of the eleven geography levels.  An
+# identifier made of a code beyond its width fits none of them.
 GEO_GRAMMAR = {
     "municipality": r"^mun-\d{5}$",
     "district": r"^dist-\d{5}-\d{2}$",
@@ -42,7 +43,9 @@ def geo_is_valid(geo_id, level) -> Column:
 
 
 def _padded(code, width: int) -> Column:
-    return F.lpad(_c(code).cast("string"), width, "0")
+    """``code`` with zeros in front, at least ``width`` long; a longer code is kept whole, so it never equals another."""
+    text = _c(code).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
 
 def municipality(code) -> Column:

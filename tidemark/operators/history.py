@@ -134,12 +134,30 @@ def scan_current(log: DataFrame) -> DataFrame:
     return current_view(log).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+#: Lanes of a digest, each 64 bits wide.
+LANES = 4
+_WHOLE = "18446744073709551616"  # 2 ** 64
+
+
+def _lanes(text: Column) -> list[Column]:
+    """The four 64-bit words of a row's SHA-256, as exact numbers."""
+    word = lambda i: F.conv(F.substring(F.sha2(text, 256), 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)")
+    return [word(i) for i in range(LANES)]
+
+
+def _summed(lanes: Sequence[Column]) -> Column:
+    """Each lane summed modulo 2^64, in hexadecimal, one behind the other."""
+    each = [F.pmod(F.coalesce(F.sum(lane), F.lit(0)).cast("decimal(38,0)"), F.expr(f"CAST({_WHOLE} AS DECIMAL(38,0))")) for lane in lanes]
+    return F.lower(F.concat(*[F.lpad(F.conv(x.cast("string"), 10, 16), 16, "0") for x in each]))
+
+
 def fingerprint(df: DataFrame, columns: Sequence[Column | str], keys: Sequence[str] = ()) -> DataFrame:
-    """Order-free digest of a set of rows.
+    """Order-free digest of a multiset of rows: their number and 256 bits.
 
-    Row hashes are folded with exclusive-or and a sum, both combinable on the
-    map side; no global sort is needed and any permutation gives the same
-    digest.  Numbers enter in their canonical text.
+    The four words of every row's SHA-256 are added modulo 2^64.  Sums combine
+    on the map side and any permutation gives the same digest; a repeated row
+    counts; digests of disjoint parts add up (:func:`add_fingerprints`).  Numbers
+    enter in their canonical text.
     """
     kinds = dict(df.dtypes)
     parts = [
@@ -149,12 +167,20 @@ def fingerprint(df: DataFrame, columns: Sequence[Column | str], keys: Sequence[s
         for c in columns
     ]
     text = F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
-    hashed = df.select(*keys, F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("bigint").alias("_h"))
-    return hashed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.bit_xor("_h").alias("xor_hash"),
-        F.sum(F.col("_h").cast("decimal(38,0)")).cast("string").alias("sum_hash"),
-    )
+    hashed = df.select(*keys, *[lane.alias(f"_w{i}") for i, lane in enumerate(_lanes(text))])
+    return hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), _summed([F.col(f"_w{i}") for i in range(LANES)]).alias("digest"))
+
+
+def add_fingerprints(added: DataFrame, removed: DataFrame | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """The digest of all rows behind the digests in ``added``, without those behind ``removed``.
+
+    A history that grows needs only the digest of what is new; taking rows away is as cheap.
+    """
+    signed = added.select(*keys, "rows", "digest", F.lit(1).alias("_sign"))
+    if removed is not None:
+        signed = signed.unionByName(removed.select(*keys, "rows", "digest", F.lit(-1).alias("_sign")))
+    lanes = [F.conv(F.substring("digest", 1 + 16 * i, 16), 16, 10).cast("decimal(20,0)") * F.col("_sign") for i in range(LANES)]
+    return signed.groupBy(*keys).agg(F.sum(F.col("rows") * F.col("_sign")).alias("rows"), _summed(lanes).alias("digest"))
 
 
 def periods_to_fetch(available: DataFrame, stored: DataFrame, recheck: int, key: str = "source_id") -> DataFrame:

@@ -8,7 +8,7 @@ from tidemark.functions.periods import month_of
 from tidemark.functions.stats import pearson, upper_median_by
 from tidemark.operators import indices, rollups, snapshots, vintage
 from tidemark.plans import model as M
-from tidemark.plans.catalog.base import R, REV, obs_sql, query, r
+from tidemark.plans.catalog.base import DIGEST, MUN, R, REV, obs_sql, query, r
 from tidemark.plans.catalog.joins import COLUMNS, DIFF, customer_snapshots, snapshot_sql
 from tidemark.session import literal_table
 
@@ -111,7 +111,7 @@ def ratio_to_base(spark, sf_dir):
 @query(
     "a10_stock_counts",
     f"""WITH {snapshot_sql('s', '1995-02-01')}, c AS (SELECT district, count(*) FILTER (WHERE state = 'O') AS open, count(*) FILTER (WHERE state = 'F') AS closed, count(*) FILTER (WHERE state = 'O' AND kind = '1-URGENT') AS marked_open FROM s GROUP BY district),
-    p AS (SELECT 'mun-' || lpad((n_nationkey + 1)::VARCHAR, 5, '0') AS district FROM nation UNION ALL SELECT 'mun-00099')
+    p AS (SELECT {MUN.replace('nk', 'n_nationkey')} AS district FROM nation UNION ALL SELECT 'mun-00099')
     SELECT district, coalesce(open, 0) AS open, coalesce(closed, 0) AS closed, coalesce(marked_open, 0) AS marked_open,
       {R('coalesce(100.0::DOUBLE * coalesce(closed, 0) / nullif(coalesce(open, 0) + coalesce(closed, 0), 0), 0)')} AS vacancy_rate FROM p LEFT JOIN c USING (district)""",
 )
@@ -171,12 +171,12 @@ def provisional_releases(spark, sf_dir):
 @query(
     "a14_pool_districts",
     obs_sql("segment_orders", "segment_ticket")
-    + f""", p0 AS (SELECT metric_id, substr(geo_id, 6, 5) AS place, pidx, avg(value) AS m, sum(value) AS s FROM obs GROUP BY ALL),
+    + f""", p0 AS (SELECT metric_id, split_part(geo_id, '-', 2) AS place, pidx, avg(value) AS m, sum(value) AS s FROM obs GROUP BY ALL),
     p AS (SELECT metric_id, place, pidx, CASE metric_id WHEN 'segment_ticket' THEN m ELSE s END AS value FROM p0)
     SELECT metric_id, place, pidx, {R('value', 6)} AS value FROM p WHERE (metric_id, place) IN (SELECT (metric_id, place) FROM p GROUP BY metric_id, place HAVING count(*) >= 8)""",
 )
 def pool_districts(spark, sf_dir):
-    parts = M.series(spark, sf_dir, ["segment_orders", "segment_ticket"]).withColumn("place", F.substring("geo_id", 6, 5))
+    parts = M.series(spark, sf_dir, ["segment_orders", "segment_ticket"]).withColumn("place", F.split_part("geo_id", F.lit("-"), F.lit(2)))
     how = F.when(F.col("metric_id") == "segment_ticket", "mean").otherwise("sum")
     return rollups.pool_parts(parts, ["metric_id", "place"], how).select("metric_id", "place", "pidx", r("value", 6))
 
@@ -209,9 +209,9 @@ def outcome_counts(spark, sf_dir):
 
 @query(
     "a20_vintage_fingerprint",
-    f"""WITH {REV}, h AS (SELECT ('0x' || substr(sha256(metric_id || '|' || geo_id || '|' || lpad((pidx // 12)::VARCHAR, 4, '0') || '-' || lpad((pidx % 12 + 1)::VARCHAR, 2, '0') || '|' || revision || '|' ||
-      CASE WHEN value = floor(value) THEN value::BIGINT::VARCHAR ELSE rtrim(rtrim(printf('%.6f', value), '0'), '.') END), 1, 15))::BIGINT AS h FROM rlog WHERE coalesce(published_at, observation_end + 60) <= DATE '2000-12-31')
-    SELECT count(*) AS rows, bit_xor(h) AS xor_hash, sum(h)::VARCHAR AS sum_hash FROM h""",
+    f"""WITH {REV}, h AS (SELECT sha256(metric_id || '|' || geo_id || '|' || lpad((pidx // 12)::VARCHAR, 4, '0') || '-' || lpad((pidx % 12 + 1)::VARCHAR, 2, '0') || '|' || revision || '|' ||
+      CASE WHEN value = floor(value) THEN value::BIGINT::VARCHAR ELSE rtrim(rtrim(printf('%.6f', value), '0'), '.') END) AS h FROM rlog WHERE coalesce(published_at, observation_end + 60) <= DATE '2000-12-31')
+    SELECT count(*) AS rows, {DIGEST} AS digest FROM h""",
 )
 def vintage_fingerprint(spark, sf_dir):
     dated = vintage.with_known_from(M.revision_log(spark, sf_dir), literal_table(spark, "source_id string, days int", M.LAGS))

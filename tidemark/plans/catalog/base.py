@@ -72,10 +72,17 @@ LM = """lm AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey
   GROUP BY ALL)"""
-MUN = "'mun-' || lpad((nk + 1)::VARCHAR, 5, '0')"
-PROV = "'prov-' || lpad((nk + 1)::VARCHAR, 2, '0')"
-CCAA = "'ccaa-' || lpad((rk + 1)::VARCHAR, 2, '0')"
-DIST = "'dist-' || lpad((nk + 1)::VARCHAR, 5, '0') || '-' || lpad(code::VARCHAR, 2, '0')"
+
+
+def padded(code: str, width: int) -> str:
+    """A code with zeros in front where it is shorter than ``width``; never cut."""
+    return f"printf('%0{width}d', {code})"
+
+
+MUN = f"'mun-' || {padded('(nk + 1)', 5)}"
+PROV = f"'prov-' || {padded('(nk + 1)', 2)}"
+CCAA = f"'ccaa-' || {padded('(rk + 1)', 2)}"
+DIST = f"'dist-' || {padded('(nk + 1)', 5)} || '-' || {padded('code', 2)}"
 
 _PARTS = {
     "orders_count": f"SELECT 'orders_count' AS metric_id, {MUN} AS geo_id, 'municipality' AS geo_level, 'monthly' AS cadence, m AS pidx, n AS value FROM nm",
@@ -112,6 +119,9 @@ REV = f"""rlog AS (
     GROUP BY ALL)
   WHERE value IS NOT NULL)"""
 
+#: Four words of a SHA-256 ``h``, each summed modulo 2^64, in hexadecimal.
+DIGEST = " || ".join(f"lpad(lower(to_hex((sum(('0x' || substr(h, {1 + 16 * i}, 16))::UBIGINT) % 18446744073709551616)::UBIGINT)), 16, '0')" for i in range(4))
+
 PERIOD_M = "lpad((pidx // 12)::VARCHAR, 4, '0') || '-' || lpad((pidx % 12 + 1)::VARCHAR, 2, '0')"
 PERIOD_ANY = (
     "CASE cadence WHEN 'annual' THEN pidx::VARCHAR WHEN 'quarterly' THEN (pidx // 4)::VARCHAR || '-Q' || (pidx % 4 + 1)::VARCHAR "
@@ -119,11 +129,11 @@ PERIOD_ANY = (
 )
 
 # Place of every geography that a city level can resolve to.
-BRIDGE = """bridge AS (
+BRIDGE = f"""bridge AS (
   SELECT lower(n_name) AS place, n_nationkey AS nk, n_regionkey AS rk, u.geo_level, CASE u.geo_level
-      WHEN 'municipality' THEN 'mun-' || lpad((n_nationkey + 1)::VARCHAR, 5, '0')
-      WHEN 'province' THEN 'prov-' || lpad((n_nationkey + 1)::VARCHAR, 2, '0')
-      WHEN 'ccaa' THEN 'ccaa-' || lpad((n_regionkey + 1)::VARCHAR, 2, '0') ELSE 'es' END AS geo_id
+      WHEN 'municipality' THEN {MUN.replace('nk', 'n_nationkey')}
+      WHEN 'province' THEN {PROV.replace('nk', 'n_nationkey')}
+      WHEN 'ccaa' THEN {CCAA.replace('rk', 'n_regionkey')} ELSE 'es' END AS geo_id
   FROM nation CROSS JOIN (VALUES ('municipality'), ('province'), ('ccaa'), ('nation')) AS u(geo_level))"""
 
 

@@ -68,10 +68,10 @@ def period_shift(spark, sf_dir):
 
 @query(
     "f6_f7_geo_identifiers",
-    """SELECT DISTINCT 'mun-' || lpad((c_nationkey + 1)::VARCHAR, 5, '0') AS municipality, 'municipality' AS l1,
-      'prov-' || lpad((c_nationkey + 1)::VARCHAR, 2, '0') AS province, 'province' AS l2,
-      'dist-' || lpad((c_nationkey + 1)::VARCHAR, 5, '0') || '-' || lpad((c_custkey % 21 + 1)::VARCHAR, 2, '0') AS district, 'district' AS l3,
-      'barrio-' || lpad((c_nationkey + 1)::VARCHAR, 5, '0') || '-' || lpad((c_custkey % 130)::VARCHAR, 3, '0') AS barrio, 'barrio' AS l4,
+    """SELECT DISTINCT 'mun-' || printf('%05d', c_nationkey + 1) AS municipality, 'municipality' AS l1,
+      'prov-' || printf('%02d', c_nationkey + 1) AS province, 'province' AS l2,
+      'dist-' || printf('%05d', c_nationkey + 1) || '-' || printf('%02d', c_custkey % 21 + 1) AS district, 'district' AS l3,
+      'barrio-' || printf('%05d', c_nationkey + 1) || '-' || printf('%03d', c_custkey % 130) AS barrio, 'barrio' AS l4,
       'apt-' || upper(c_mktsegment[1:3]) AS airport, 'airport' AS l5, 0 AS bad FROM customer""",
 )
 def geo_identifiers(spark, sf_dir):

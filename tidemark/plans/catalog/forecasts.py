@@ -228,12 +228,12 @@ def track_record(spark, sf_dir):
 @query(
     "m12_ranking_agreement",
     obs_sql("segment_ticket")
-    + f""", y AS (SELECT substr(geo_id, 6, 5) AS place, geo_id, avg(value) FILTER (WHERE pidx // 12 = 1998) AS a, avg(value) FILTER (WHERE pidx // 12 = 1999) AS b FROM obs GROUP BY ALL),
+    + f""", y AS (SELECT split_part(geo_id, '-', 2) AS place, geo_id, avg(value) FILTER (WHERE pidx // 12 = 1998) AS a, avg(value) FILTER (WHERE pidx // 12 = 1999) AS b FROM obs GROUP BY ALL),
     k AS (SELECT place, geo_id, rank() OVER (PARTITION BY place ORDER BY a)::DOUBLE AS ra, rank() OVER (PARTITION BY place ORDER BY b)::DOUBLE AS rb FROM y WHERE a IS NOT NULL AND b IS NOT NULL)
     SELECT place, count(*) AS items, {R('corr(ra, rb)')} AS spearman FROM k GROUP BY place HAVING count(*) >= 3""",
 )
 def ranking_agreement(spark, sf_dir):
-    obs = M.series(spark, sf_dir, ["segment_ticket"]).withColumn("place", F.substring("geo_id", 6, 5))
+    obs = M.series(spark, sf_dir, ["segment_ticket"]).withColumn("place", F.split_part("geo_id", F.lit("-"), F.lit(2)))
 
     def year(y):
         rows = obs.where(F.floor(F.col("pidx") / F.lit(12.0)) == y)

@@ -40,7 +40,7 @@ def place_resolution(spark, sf_dir):
     "j3_parts_of_place",
     obs_sql("segment_orders")
     + """ SELECT lower(n_name) AS place, geo_id, count(*) AS periods, sum(value)::DOUBLE AS orders FROM obs
-    JOIN nation ON substr(geo_id, 6, 5) = lpad((n_nationkey + 1)::VARCHAR, 5, '0') GROUP BY ALL""",
+    JOIN nation ON split_part(geo_id, '-', 2) = printf('%05d', n_nationkey + 1) GROUP BY ALL""",
 )
 def parts_of_place(spark, sf_dir):
     out = places.parts_of(M.series(spark, sf_dir, ["segment_orders"]), M.districts(spark, sf_dir))

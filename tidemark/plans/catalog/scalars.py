@@ -8,7 +8,7 @@ from tidemark.functions import periods as P, stats, text as X
 from tidemark.operators import series as S
 from tidemark.operators.history import fingerprint
 from tidemark.plans import model as M
-from tidemark.plans.catalog.base import MARKED, PLAIN, R, obs_sql, query, r
+from tidemark.plans.catalog.base import DIGEST, MARKED, PLAIN, R, obs_sql, query, r
 
 @query(
     "n1_n2_normalised_names",
@@ -192,8 +192,8 @@ def array_functions(spark, sf_dir):
 
 @query(
     "n14_a20_fingerprint",
-    """WITH h AS (SELECT o_orderstatus, ('0x' || substr(sha256(o_orderkey || '|' || o_custkey || '|' || o_orderpriority), 1, 15))::BIGINT AS h FROM orders)
-    SELECT o_orderstatus, count(*) AS rows, bit_xor(h) AS xor_hash, sum(h)::VARCHAR AS sum_hash FROM h GROUP BY ALL""",
+    f"""WITH h AS (SELECT o_orderstatus, sha256(o_orderkey || '|' || o_custkey || '|' || o_orderpriority) AS h FROM orders)
+    SELECT o_orderstatus, count(*) AS rows, {DIGEST} AS digest FROM h GROUP BY o_orderstatus""",
 )
 def fingerprints(spark, sf_dir):
     return fingerprint(M.table(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey", "o_orderpriority"], ["o_orderstatus"])

@@ -100,7 +100,7 @@ def headline(spark, sf_dir):
     obs_sql("segment_orders", "segment_ticket")
     + f""", n AS (SELECT o.metric_id, o.geo_id, o.pidx, o.value, 100.0::DOUBLE * (o.value - p.value) / abs(p.value) AS yoy, count(*) OVER (PARTITION BY o.metric_id, o.geo_id) AS points
       FROM obs o LEFT JOIN obs p ON p.metric_id = o.metric_id AND p.geo_id = o.geo_id AND p.pidx = o.pidx - 12 AND p.value <> 0 QUALIFY row_number() OVER (PARTITION BY o.metric_id, o.geo_id ORDER BY o.pidx DESC) = 1)
-    SELECT lower(n_name) AS place, metric_id, right(geo_id, 2) AS code, pidx, {R('value')} AS value, {R('yoy')} AS yoy, least(points, 96) AS points FROM n JOIN nation ON substr(geo_id, 6, 5) = lpad((n_nationkey + 1)::VARCHAR, 5, '0')""",
+    SELECT lower(n_name) AS place, metric_id, split_part(geo_id, '-', 3) AS code, pidx, {R('value')} AS value, {R('yoy')} AS yoy, least(points, 96) AS points FROM n JOIN nation ON split_part(geo_id, '-', 2) = printf('%05d', n_nationkey + 1)""",
 )
 def district_payload(spark, sf_dir):
     obs = M.series(spark, sf_dir, ["segment_orders", "segment_ticket"])
@@ -181,7 +181,7 @@ DESK = (
     obs_sql(*DESK_METRICS)
     + f""", {BRIDGE}, {values_sql('dir', 'metric_id, direction', [(m[0], m[7]) for m in M.METRICS])},
   ser AS (SELECT b.place, o.metric_id, o.pidx, o.value FROM obs o JOIN bridge b USING (geo_level, geo_id)
-    UNION ALL SELECT lower(n_name), metric_id, pidx, CASE metric_id WHEN 'segment_ticket' THEN avg(value) ELSE sum(value) END FROM obs JOIN nation ON geo_level = 'district' AND substr(geo_id, 6, 5) = lpad((n_nationkey + 1)::VARCHAR, 5, '0') GROUP BY n_name, metric_id, pidx),
+    UNION ALL SELECT lower(n_name), metric_id, pidx, CASE metric_id WHEN 'segment_ticket' THEN avg(value) ELSE sum(value) END FROM obs JOIN nation ON geo_level = 'district' AND split_part(geo_id, '-', 2) = printf('%05d', n_nationkey + 1) GROUP BY n_name, metric_id, pidx),
   p AS (SELECT *, count(value) OVER w AS n, avg(value) OVER w AS mu, stddev_pop(value) OVER w AS sd FROM ser WINDOW w AS (PARTITION BY place, metric_id ORDER BY pidx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
   z AS (SELECT place, metric_id, pidx, value, CASE WHEN n >= 24 AND sd <> 0 THEN greatest(-4.0, least(4.0, (value - mu) / sd)) END AS z FROM p), {_PHI},
   ix AS (SELECT d.*, CASE WHEN direction < 0 THEN 100 - pct ELSE pct END AS idx FROM d JOIN dir USING (metric_id)),
@@ -281,11 +281,11 @@ def brief(spark, sf_dir):
     "q11_district_report",
     obs_sql("segment_ticket", "segment_orders")
     + f""", l AS (SELECT geo_id, arg_max(value, pidx) FILTER (WHERE metric_id = 'segment_ticket') AS ticket, arg_max(value, pidx) FILTER (WHERE metric_id = 'segment_orders') AS orders FROM obs GROUP BY geo_id)
-    SELECT geo_id, {R('ticket')} AS ticket, {R('orders')} AS orders, row_number() OVER (PARTITION BY substr(geo_id, 6, 5) ORDER BY ticket DESC, geo_id) AS rank, count(*) OVER (PARTITION BY substr(geo_id, 6, 5)) AS of FROM l""",
+    SELECT geo_id, {R('ticket')} AS ticket, {R('orders')} AS orders, row_number() OVER (PARTITION BY split_part(geo_id, '-', 2) ORDER BY ticket DESC, geo_id) AS rank, count(*) OVER (PARTITION BY split_part(geo_id, '-', 2)) AS of FROM l""",
 )
 def district_report(spark, sf_dir):
     obs = M.series(spark, sf_dir, ["segment_ticket", "segment_orders"])
-    table = D.wide_latest(obs, {"segment_ticket": "ticket", "segment_orders": "orders"}, "ticket").withColumn("parent", F.substring("geo_id", 6, 5))
+    table = D.wide_latest(obs, {"segment_ticket": "ticket", "segment_orders": "orders"}, "ticket").withColumn("parent", F.split_part("geo_id", F.lit("-"), F.lit(2)))
     out = D.district_report(table, "parent", "ticket", "geo_id")
     return out.select("geo_id", r("ticket"), r("orders"), F.col("rank").cast("bigint").alias("rank"), "of")
 
@@ -326,7 +326,7 @@ def manifest(spark, sf_dir):
     f"""WITH {snapshot_sql('a', '1996-03-01')}, {snapshot_sql('b', '1996-04-01')}, {DIFF}, {FLOWS},
     st AS (SELECT district, count(*) FILTER (WHERE state = 'O') AS open, count(*) FILTER (WHERE state = 'F') AS closed, count(*) FILTER (WHERE state = 'O' AND kind LIKE '1%') AS marked_open FROM b GROUP BY district),
     fl AS (SELECT district, sum(o)::BIGINT AS openings, sum(c)::BIGINT AS closures, sum(mo)::BIGINT AS marked_openings, sum(mc)::BIGINT AS marked_closures FROM f GROUP BY district),
-    p AS (SELECT 'mun-' || lpad((n_nationkey + 1)::VARCHAR, 5, '0') AS district FROM nation)
+    p AS (SELECT 'mun-' || printf('%05d', n_nationkey + 1) AS district FROM nation)
     SELECT district, coalesce(open, 0) AS open, coalesce(closed, 0) AS closed, coalesce(marked_open, 0) AS marked_open, {R('coalesce(100.0::DOUBLE * coalesce(closed, 0) / nullif(coalesce(open, 0) + coalesce(closed, 0), 0), 0)')} AS vacancy_rate,
       coalesce(openings, 0) AS openings, coalesce(closures, 0) AS closures, coalesce(marked_openings, 0) AS marked_openings, coalesce(marked_closures, 0) AS marked_closures FROM p LEFT JOIN st USING (district) LEFT JOIN fl USING (district)""",
 )

@@ -61,9 +61,10 @@ def robust_outlier(spark, sf_dir):
     return out.select("metric_id", "geo_id", "pidx", r("score"), (F.col("score") >= 3.5).cast("int").alias("suspect"))
 
 
-YOY = """y AS (SELECT o.*, 100.0::DOUBLE * (o.value - p.value) / abs(p.value) AS yoy FROM obs o JOIN obs p
-    ON o.metric_id = p.metric_id AND o.geo_id = p.geo_id AND p.pidx = o.pidx
-      - CASE o.cadence WHEN 'monthly' THEN 12 WHEN 'quarterly' THEN 4 ELSE 1 END WHERE p.value <> 0)"""
+YOY = """y AS (SELECT *, 100.0::DOUBLE * (value - prior) / abs(prior) AS yoy FROM (
+    SELECT *, first_value(value) OVER (PARTITION BY metric_id, geo_id, cadence ORDER BY pidx
+      RANGE BETWEEN back PRECEDING AND back PRECEDING) AS prior
+    FROM (SELECT *, CASE cadence WHEN 'monthly' THEN 12 WHEN 'quarterly' THEN 4 ELSE 1 END AS back FROM obs)) WHERE prior <> 0)"""
 
 
 @query(
@@ -189,9 +190,8 @@ def error_quantiles(spark, sf_dir):
     w = S.series_window()
     prefix = w.rowsBetween(Window.unboundedPreceding, 0)
     err = M.series(spark, sf_dir, ["revenue"]).withColumn("err", F.col("value") - F.lag("value", 3).over(w))
-    q = F.percentile("err", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).over(prefix)
     up = F.avg(F.when(F.col("err") > 0, 1.0).when(F.col("err").isNotNull(), 0.0)).over(prefix)
-    out = err.withColumns({"q": q, "share_up": up}).where(F.col("q").isNotNull())
+    out = S.with_prefix_quantiles(err.withColumn("share_up", up), {"q": "err"}, [0.1, 0.5, 0.9]).where(F.col("q").isNotNull())
     return out.select(
         "geo_id",
         "pidx",
@@ -204,11 +204,11 @@ def error_quantiles(spark, sf_dir):
     "w17_district_rank",
     obs_sql("segment_ticket")
     + f""", l AS (SELECT geo_id, arg_max(value, pidx) AS value FROM obs GROUP BY geo_id)
-    SELECT geo_id, substr(geo_id, 6, 5) AS parent, {R('value')} AS ticket,
-      row_number() OVER (PARTITION BY substr(geo_id, 6, 5) ORDER BY value DESC, geo_id) AS position FROM l""",
+    SELECT geo_id, split_part(geo_id, '-', 2) AS parent, {R('value')} AS ticket,
+      row_number() OVER (PARTITION BY split_part(geo_id, '-', 2) ORDER BY value DESC, geo_id) AS position FROM l""",
 )
 def district_rank(spark, sf_dir):
-    newest = S.latest(M.series(spark, sf_dir, ["segment_ticket"])).withColumn("parent", F.substring("geo_id", 6, 5))
+    newest = S.latest(M.series(spark, sf_dir, ["segment_ticket"])).withColumn("parent", F.split_part("geo_id", F.lit("-"), F.lit(2)))
     order = Window.partitionBy("parent").orderBy(F.col("value").desc(), "geo_id")
     return newest.select("geo_id", "parent", r(F.col("value")).alias("ticket"), F.row_number().over(order).cast("bigint").alias("position"))
 
