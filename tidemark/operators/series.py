@@ -9,13 +9,17 @@ specification: one exchange and one sort serve all of them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_left, insort
+from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
-from tidemark.functions.frames import join_null_safe
+from tidemark.functions.frames import join_null_safe, plain
 from tidemark.functions.periods import MIN_HISTORY, STEPS_PER_YEAR, by_cadence, first_month, last_month
 from tidemark.functions.stats import clip
 from tidemark.schema import SERIES_KEY
@@ -53,6 +57,73 @@ def rolling(value: str, n: int, w: WindowSpec, how: str = "mean") -> Column:
     return F.when(F.count(value).over(frame) == n, total)
 
 
+class OrderedBlocks:
+    """Numbers in order, in blocks of bounded size: adding one and reading some by rank costs little at any length."""
+
+    def __init__(self, size: int = 1024):
+        self.size, self.blocks, self.tops, self.n = size, [[]], [], 0
+
+    def add(self, x: float) -> None:
+        at = min(bisect_left(self.tops, x), len(self.blocks) - 1)
+        block = self.blocks[at]
+        insort(block, x)
+        self.n += 1
+        if len(block) >= 2 * self.size:
+            half = len(block) // 2
+            self.blocks[at : at + 1] = [block[:half], block[half:]]
+            self.tops[at : at + 1] = [block[half - 1], block[-1]]
+        elif at < len(self.tops):
+            self.tops[at] = block[-1]
+        else:
+            self.tops.append(block[-1])
+
+    def at(self, ranks: Sequence[int]) -> list[float]:
+        """The numbers at ascending ranks, in one walk over the blocks."""
+        out, before = [], 0
+        blocks = iter(self.blocks)
+        block = next(blocks)
+        for rank in ranks:
+            while rank - before >= len(block):
+                before += len(block)
+                block = next(blocks)
+            out.append(block[rank - before])
+        return out
+
+
+def prefix_quantiles(values: np.ndarray, levels: Sequence[float]) -> list[list[float] | None]:
+    """Interpolated quantiles of all present values up to each place; NULL before the first.
+
+    NaN counts as missing.  The order statistics are carried along, so n places
+    cost about n log n.
+    """
+    held, out, last = OrderedBlocks(), [], None
+    for x in np.asarray(values, float).tolist():
+        if x == x:
+            held.add(x)
+            places = [(held.n - 1) * q for q in levels]
+            ranks = sorted({r for p in places for r in (int(p), min(int(p) + 1, held.n - 1))})
+            found = dict(zip(ranks, held.at(ranks)))
+            last = []
+            for p in places:
+                low, high = int(p), min(int(p) + 1, held.n - 1)
+                last.append(found[low] if p == low else (low + 1 - p) * found[low] + (p - low) * found[high])
+        out.append(last)
+    return out
+
+
+def with_prefix_quantiles(df: DataFrame, columns: Mapping[str, str], levels: Sequence[float], keys: Sequence[str] = SERIES_KEY, order: str = "pidx") -> DataFrame:
+    """Add arrays of quantiles of a column over its row and all rows before it, by new name and column."""
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.ArrayType(T.DoubleType())) for n in columns]])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pdf.sort_values(order, kind="stable").reset_index(drop=True)
+        for new, column in columns.items():
+            out[new] = prefix_quantiles(out[column].to_numpy(dtype=float), levels)
+        return plain(out)
+
+    return df.groupBy(*keys).applyInPandas(run, schema)
+
+
 def expanding_z(value: str, w: WindowSpec, min_history: Column | int, bound: float = 4.0) -> Column:
     """Score against all strictly earlier rows (population spread), clipped."""
     past = w.rowsBetween(Window.unboundedPreceding, -1)
