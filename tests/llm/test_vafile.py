@@ -29,8 +29,8 @@ def rows_of(df):
 @pytest.fixture(scope="module")
 def points():
     rng = np.random.default_rng(2)
-    middles = rng.normal(0, 0.15, (9, 64))
-    rows = [(i, (middles[i % 9] + rng.normal(0, 0.04, 64)).tolist()) for i in range(400)]
+    middles = rng.normal(0, 0.5, (9, 64))
+    rows = [(i, (middles[i % 9] + rng.normal(0, 0.1, 64)).tolist()) for i in range(400)]
     rows += [(400 + i, rows[7][1]) for i in range(40)]  # one very common vector
     rows += [(7, rows[7][1]), (None, rows[8][1]), (None, rows[9][1]), (7, rows[1][1])]
     bad = [None, [], [0.1] * 63, [0.1] * 65, [None, *[0.1] * 63], [float("nan"), *[0.1] * 63], [float("-inf"), *[0.1] * 63]]
@@ -58,7 +58,11 @@ def test_few_equal_and_no_vectors(spark, points):
 
 
 def test_full_vectors_are_read_only_where_intervals_overlap(spark, points):
-    file = V.VaFile(frame(spark, points))
+    # distinct vectors of which no dimension has more values than cells, so only equal distances overlap
+    rng = np.random.default_rng(3)
+    middles = rng.uniform(-0.4, 0.4, (9, 64))
+    apart = [(i, np.clip(middles[i % 9] + rng.normal(0, 0.04, 64), -0.49, 0.49).tolist()) for i in range(400)]
+    file = V.VaFile(frame(spark, apart))
     centroids = V.cluster(file)
     assert len(centroids) == 16
     assert file.fetched[0] < 0.2 * file.size and file.fetched[2] < 0.2 * file.size

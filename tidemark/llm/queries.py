@@ -89,15 +89,15 @@ def _centroid_rounds(k: int = vafile.CENTROIDS, rounds: int = vafile.ROUNDS, dim
     for i in range(rounds + 1):
         steps.append(f"""
 a{i} AS MATERIALIZED (SELECT r, any_value(vec_id) AS vec_id, any_value(q) AS q, min(d * 64 + k) % 64 AS k, min(d) AS d FROM (
-    SELECT r, vec_id, q, k, list_sum(list_transform(list_zip(q, c), z -> (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM kept, c{i}) GROUP BY r)""")
+    SELECT r, vec_id, q, k, list_sum(list_transform(list_zip(q, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM kept, c{i}) GROUP BY r)""")
         if i < rounds:
             steps.append(f"""
 s{i} AS (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
     SELECT k, i, sum(q[i])::BIGINT AS s, count(*) AS n FROM a{i}, range(1, {dimensions + 1}) t(i) GROUP BY k, i) GROUP BY k),
 c{i + 1} AS MATERIALIZED (SELECT c{i}.k, coalesce(s{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN s{i} ON c{i}.k = s{i}.k)""")
     return f"""
-WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> floor({vafile.SCALE} * x::DOUBLE)::BIGINT) AS q
-    FROM embeddings WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, x -> isfinite(x::DOUBLE))) = {dimensions}),
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({vafile.SCALE} * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda x: isfinite(x::DOUBLE))) = {dimensions}),
 c0 AS MATERIALIZED (SELECT k, c FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), q) - 1 AS k, q AS c FROM kept) WHERE k < {k}),
 {",".join(steps)}
 SELECT vec_id, a{rounds}.k::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a{rounds}.k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,

@@ -21,8 +21,6 @@ BITS = 6
 LARGEST = 1 << 26
 #: Vectors compared at once.
 TOGETHER = 4_096
-#: Accuracy of the quantiles that bound the cells; they decide how often intervals overlap, not the result.
-ACCURACY = 500
 
 _STATE = "row bigint, cells binary, cluster int, mask int"
 _SUMS = "cluster int, n bigint, sums array<bigint>"
@@ -55,14 +53,32 @@ def boundaries(vectors: DataFrame, bits: int = BITS, dimensions: int = DIMENSION
     """For each dimension the first values of its cells and, last, what is beyond all: (dimensions, cells + 1).
 
     The ends are the exact least and greatest values, so a cell's values are
-    known to lie in it.  Half of the cells follow the quantiles.
+    known to lie in it.  Half of the cells follow the mean quantiles of slices of
+    the vectors; they decide how often intervals overlap, not the result.
     """
     half = 1 << bits - 1
     at = [i / half for i in range(1, half)]
-    each = [F.array(F.min(F.col("q")[d]), F.max(F.col("q")[d])) for d in range(dimensions)]
-    inner = [F.percentile_approx(F.col("q")[d], at, ACCURACY) for d in range(dimensions)]
-    row = vectors.agg(F.array(*each), F.array(*inner)).first()
-    return np.array([cut_range(low, high, middle, 1 << bits) for (low, high), middle in zip(row[0], row[1])], np.int64)
+    schema = "d int, low bigint, high bigint, middle array<double>"
+
+    def run(batches):
+        low = high = middle = None
+        n = 0
+        for batch in _slices(batches):
+            q = _matrix(batch.column("q"), dimensions)
+            low = q.min(axis=0) if low is None else np.minimum(low, q.min(axis=0))
+            high = q.max(axis=0) if high is None else np.maximum(high, q.max(axis=0))
+            found = np.quantile(q, at, axis=0).T
+            middle = found if middle is None else middle + found
+            n += 1
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(range(dimensions), pa.int32()), pa.array(low), pa.array(high), pa.array((middle / n).tolist(), pa.list_(pa.float64()))], schema=pa_schema(schema))
+
+    each = cut_lineage(vectors.select("q").mapInArrow(run, schema))  # a row for each task and dimension
+    ends = each.groupBy("d").agg(F.min("low").alias("low"), F.max("high").alias("high")).orderBy("d").collect()
+    middles: dict[int, list[int]] = {}
+    for r in each.select("d", F.posexplode("middle").alias("i", "v")).groupBy("d", "i").agg(F.avg("v").alias("v")).collect():
+        middles.setdefault(r["d"], []).append(round(r["v"]))
+    return np.array([cut_range(r["low"], r["high"], middles[r["d"]], 1 << bits) for r in ends], np.int64)
 
 
 def cells_of(q: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -116,7 +132,7 @@ def _matrix(column: pa.Array, dimensions: int) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), dimensions).astype(np.int64)
 
 
-def _sums(cluster: np.ndarray, q: np.ndarray, weight: int, k: int, held: dict) -> None:
+def _sums(cluster: np.ndarray, q: np.ndarray, weight: int, held: dict) -> None:
     for c in np.unique(cluster).tolist():
         own = cluster == c
         n, s = held.get(c, (0, 0))
@@ -131,13 +147,16 @@ def _give_sums(held: dict) -> pa.RecordBatch:
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, TOGETHER):
-            yield batch.slice(at, TOGETHER)
+            yield batch.slice(at, TOGETHER)  # never empty
 
 
-def _collected(rows: DataFrame, k: int) -> dict[int, tuple[int, list[int]]]:
+def _collected(rows: DataFrame) -> dict[int, tuple[int, list[int]]]:
     """Count and sums of each cluster; ``rows`` has at most one row a task and cluster."""
-    total = rows.groupBy("cluster").agg(F.sum("n").alias("n"), *(F.sum(F.col("sums")[d]).alias(f"s{d}") for d in range(DIMENSIONS)))
-    return {r["cluster"]: (r["n"], [r[f"s{d}"] for d in range(DIMENSIONS)]) for r in total.collect()}
+    each = rows.select("cluster", F.posexplode(F.concat(F.array("n"), F.col("sums"))).alias("at", "v")).groupBy("cluster", "at").agg(F.sum("v").alias("v"))
+    out: dict[int, list[int]] = {}
+    for r in each.orderBy("cluster", "at").collect():
+        out.setdefault(r["cluster"], []).append(r["v"])
+    return {c: (v[0], v[1:]) for c, v in out.items()}
 
 
 class VaFile:
@@ -199,12 +218,12 @@ class VaFile:
             for batch in _slices(batches):
                 q = _matrix(batch.column("q"), DIMENSIONS)
                 old, new = (batch.column(n).to_numpy() for n in ("cluster", "new"))
-                _sums(new, q, 1, k, held)
-                _sums(old[old >= 0], q[old >= 0], -1, k, held)
+                _sums(new, q, 1, held)
+                _sums(old[old >= 0], q[old >= 0], -1, held)
             if held:
                 yield _give_sums(held)
 
-        gains = _collected(full.filter("new <> cluster").select("cluster", "new", "q").mapInArrow(moved, _SUMS), k)
+        gains = _collected(full.filter("new <> cluster").select("cluster", "new", "q").mapInArrow(moved, _SUMS))
         settled = bounded.join(full.select("row", F.col("new").alias("read")), "row", "left")
         return settled.select("row", "cells", F.coalesce("read", "new").alias("cluster"), F.lit(0).alias("mask")), gains
 
@@ -222,7 +241,7 @@ class VaFile:
                 possible = candidates(cells, tables)
                 overlaps += int((possible.sum(axis=1) > 1).sum())
                 new = nearest(q, centroids, possible)
-                _sums(new, q, 1, k, held)
+                _sums(new, q, 1, held)
                 n = len(new)
                 nothing = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.int64())]
                 yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(pack_cells(cells), pa.binary()), pa.array(new.astype(np.int32)), pa.array(np.zeros(n, np.int32)), *nothing], schema=pa_schema(schema))
@@ -235,7 +254,7 @@ class VaFile:
         both = cut_lineage(self.vectors.select("row", "q").mapInArrow(run, schema))
         sums = both.filter("row IS NULL")
         self.fetched.append(sums.agg(F.sum("overlaps")).first()[0] or 0)
-        return both.filter("row IS NOT NULL").select("row", "cells", "cluster", "mask"), _collected(sums.select("cluster", "n", "sums"), k)
+        return both.filter("row IS NOT NULL").select("row", "cells", "cluster", "mask"), _collected(sums.select("cluster", "n", "sums"))
 
     def assigned(self, centroids: np.ndarray) -> DataFrame:
         """(key, cluster, distance) of every vector; each is read in full, as its exact distance is asked for."""
