@@ -24,13 +24,15 @@ def library():
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from("ab'sltre <|>.,!0é²ªßİΣſ́\xa0\x1c\x85\t\n\r"), st.characters(max_codepoint=0x2FF)), max_size=40))
 def test_ids_equal_the_library(library, text):
-    assert T.encoder()(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+    assert T.encoder()([text]) == [np.array(library.encode(text, add_special_tokens=False).ids, "<u2").tobytes()]
 
 
 def test_ids_of_known_cases(library, monkeypatch):
-    monkeypatch.setattr(T, "CACHE", 5)
-    for text in ["It's we'LL <|endoftext|> ok", "a  b\n\n c \n", "''s 's", "日本 text", "x" * 300 + " " * 40, "", "½ 12²a"]:
-        assert T.encoder()(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+    texts = ["It's we'LL <|endoftext|> ok", "a  b\n\n c \n", None, "''s 's", "日本 text", "x" * 300 + " " * 40, "", "½ 12²a", "a b a b"]
+    want = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    monkeypatch.setattr(T, "CACHE", 8)
+    assert T.encoder()(texts) == want
+    assert [T.encoder()([t])[0] for t in texts * 2] == want * 2
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])

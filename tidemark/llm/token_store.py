@@ -29,10 +29,11 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import xxhash
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, pa_schema
+from tidemark.llm.common import pa_schema
 from tidemark.llm.perfect_hash import PerfectHash, fingerprints
 from tidemark.session import cut_lineage, scratch_path
 
@@ -43,8 +44,10 @@ END = 2
 SHARD_BYTES = 128 << 20
 #: Keys of a bucket of the index, on average.
 BUCKET_KEYS = 500_000
-#: Encoded pieces that a worker process keeps; it starts anew when full.
+#: Encoded pieces that a worker process keeps: half of them in use, half from before.
 CACHE = 1_000_000
+#: Texts encoded together.
+TOGETHER = 256
 #: Ids read from a shard at once.
 SPAN_BYTES = 8 << 20
 #: Shards that one task may close; their number is a shard's low bits.
@@ -75,40 +78,40 @@ class ByteEncoder:
         self.plain = re.compile("[\t-\r -~\xa1-\xac\xae-ſ]*")
         # Fixed value: the vocabulary's published pattern, with its classes spelled out for these characters.
         self.pattern = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^\s{letters}{numbers}]+|\s+(?!\S)|\s+")
-        self.word = re.compile(rf" [{letters}]+")
+        # the vocabulary writes printable bytes as themselves and the others as the characters from 256 on, in order
+        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = [b for b in range(256) if b not in set(printable)]
+        self.spelling = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _learn(self, new: list[str]) -> None:
-        """Pieces that begin with a blank stay apart when joined and are encoded together, others one by one."""
-        words = [p for p in new if self.word.fullmatch(p)]
-        if words:
-            joined = self.library.encode("".join(words), add_special_tokens=False)
-            ids = np.array(joined.ids, self.kind)
-            ends = np.searchsorted(np.array(joined.word_ids), np.arange(len(words) + 1)) * self.kind.itemsize
-            raw = ids.tobytes()
-            self.known.update(zip(words, map(raw.__getitem__, map(slice, ends[:-1].tolist(), ends[1:].tolist()))))
+    def _learn(self, new: set[str]) -> None:
+        """The merges of each piece, as the library does them on the vocabulary's own spelling of bytes."""
+        if len(self.known) + len(new) > CACHE // 2:
+            self.before, self.known = self.known, {}
+        tokenize, known, before = self.library.model.tokenize, self.known, self.before
         for piece in new:
-            if piece not in self.known:
-                self.known[piece] = self.whole(piece)
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.plain.fullmatch(text) or any(s in text for s in self.special):
-            return self.whole(text)
-        pieces = self.pattern.findall(text)
-        try:
-            return b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-            if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-                new = list(dict.fromkeys(pieces))
-            self._learn(new)
-            return b"".join(map(self.known.__getitem__, pieces))
+            ids = before.get(piece)
+            if ids is None:
+                spelled = piece.encode().decode("latin-1").translate(self.spelling)
+                ids = np.array([t.id for t in tokenize(spelled)], self.kind).tobytes()
+            known[piece] = ids
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text; what is new in any of them is learnt together."""
+        split = [self.pattern.findall(t) if t and self.plain.fullmatch(t) and not any(s in t for s in self.special) else None for t in texts]
+        get = self.known.get
+        found = [list(map(get, pieces)) if pieces else None for pieces in split]
+        open_ = [i for i, ids in enumerate(found) if ids and None in ids]
+        if open_:
+            self._learn({p for i in open_ for p, ids in zip(split[i], found[i]) if ids is None})
+            get, before = self.known.get, self.before
+            for i in open_:
+                found[i] = [ids or get(p) or before[p] for p, ids in zip(split[i], found[i])]
+        return [b"".join(ids) if ids else self.whole(t) if t else b"" for t, ids in zip(texts, found)]
 
 
 _encoders: dict[str, ByteEncoder] = {}
@@ -154,26 +157,27 @@ def key_hashes(key: int | str | None) -> tuple[int, int]:
     return xxhash.xxh64_intdigest(raw, 42), xxhash.xxh64_intdigest(raw, one)
 
 
-def encoded(docs: DataFrame, key: str, tokenizer: str, end: int) -> DataFrame:
-    """(key, ids, n, row): of every row the ids with ``end`` behind them, as bytes; ``row`` is a number of its own."""
+def placed(docs: DataFrame, key: str) -> DataFrame:
+    """(key, text, file, place) of every row; what does not come from files is written first.
 
-    def run(cols):
-        encode = encoder(tokenizer)
-        last = np.array([end], encode.kind).tobytes()
-        ids = [encode(text) + last for text in cols["text"]]
-        return {"key": cols["key"], "ids": ids, "n": [len(x) // encode.kind.itemsize for x in ids]}
-
-    kind = dict(docs.select(key).dtypes)[key]
-    kind = "string" if kind == "string" else "bigint"
-    rows = docs.select(F.col(key).cast(kind).alias("key"), F.col("text").cast("string").alias("text"))
-    return map_rows(rows, f"key {kind}, ids binary, n bigint", run).withColumn("row", F.monotonically_increasing_id())
+    File and place tell equal rows apart in the same way whenever a task runs.
+    """
+    kind = "string" if dict(docs.select(key).dtypes)[key] == "string" else "bigint"
+    rows = [F.col(key).cast(kind).alias("key"), F.col("text").cast("string").alias("text")]
+    try:
+        return docs.select(*rows, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    except AnalysisException:
+        written = cut_lineage(docs.select(*rows))
+        return written.select("key", "text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
 
 
-def _shard_writer(path: str, kind: str, width: int, shard_bytes: int):
-    """Over sorted rows (key, ids): writes shards and gives (key, shard, entry, at, n) of every document."""
+def _shard_writer(path: str, kind: str, tokenizer: str, end: int, shard_bytes: int):
+    """Over sorted rows (key, text): encodes, writes shards and gives (key, shard, entry, at, n) of every document."""
     schema = pa_schema(f"key {kind}, shard bigint, entry bigint, at bigint, n bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(tokenizer)
+        width, last = encode.kind.itemsize, np.array([end], encode.kind).tobytes()
         files, root = _files(path)
         shard = TaskContext.get().partitionId() * ROLLS
         out = part = None
@@ -185,23 +189,25 @@ def _shard_writer(path: str, kind: str, width: int, shard_bytes: int):
             out.close()
             files.move(part, f"{root}/{shard_name(shard)}")
 
-        for batch in batches:
-            found = {"key": batch.column("key"), "shard": [], "entry": [], "at": [], "n": []}
-            for ids in batch.column("ids"):
-                raw = ids.as_buffer()
-                if out is not None and at * width >= shard_bytes and shard % ROLLS < ROLLS - 1:
-                    close()
-                    out, shard = None, shard + 1
-                if out is None:
-                    part = f"{root}/{shard_name(shard)}.{uuid.uuid4().hex}.part"
-                    out = files.open_output_stream(part)
-                    at, starts = 0, []
-                out.write(raw)
-                for name, value in zip(("shard", "entry", "at", "n"), (shard, len(starts), at, raw.size // width)):
-                    found[name].append(value)
-                starts.append(at)
-                at += raw.size // width
-            yield pa.RecordBatch.from_arrays([found["key"], *(pa.array(found[f.name], f.type) for f in list(schema)[1:])], schema=schema)
+        for whole in batches:
+            for low in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(low, TOGETHER)
+                found = {"key": batch.column("key"), "shard": [], "entry": [], "at": [], "n": []}
+                for raw in encode(batch.column("text").to_pylist()):
+                    raw += last
+                    if out is not None and at * width >= shard_bytes and shard % ROLLS < ROLLS - 1:
+                        close()
+                        out, shard = None, shard + 1
+                    if out is None:
+                        part = f"{root}/{shard_name(shard)}.{uuid.uuid4().hex}.part"
+                        out = files.open_output_stream(part)
+                        at, starts = 0, []
+                    out.write(raw)
+                    for name, value in zip(("shard", "entry", "at", "n"), (shard, len(starts), at, len(raw) // width)):
+                        found[name].append(value)
+                    starts.append(at)
+                    at += len(raw) // width
+                yield pa.RecordBatch.from_arrays([found["key"], *(pa.array(found[f.name], f.type) for f in list(schema)[1:])], schema=schema)
         if out is not None:
             close()
 
@@ -251,23 +257,23 @@ def write_store(docs: DataFrame, path: str, key: str = "doc_id", tokenizer: str
     Rows are in ascending order of ``key``, null keys last; rows that repeat a
     key follow each other in any order and are found together.  Null and empty texts are
     the ending id alone.  Extra columns are ignored; an empty table gives a
-    store without shards.  Ids are encoded once, then dealt by ranges of
-    (key, row), so a key that many rows repeat is split as well; no task holds
-    more than the documents it is writing, or one bucket of the index.
+    store without shards.  Texts are dealt by ranges of key and place in the
+    input, so a key that many rows repeat is split as well, and encoded where
+    their shard is written; no task holds more than the texts it is encoding, or
+    one bucket of the index.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = cut_lineage(encoded(docs, key, tokenizer, end))
-    kind = rows.schema["key"].dataType.simpleString()
-    width = encoder(tokenizer).kind.itemsize
-    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = placed(docs, key)
+    kind, width = rows.schema["key"].dataType.simpleString(), encoder(tokenizer).kind.itemsize
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     files, root = _files(path)
     for folder in ("shards", "index"):
         files.create_dir(f"{root}/{folder}", recursive=True)
-    order = [F.asc_nulls_last("key"), F.asc("row")]
-    dealt = rows.repartitionByRange(max(parts, -(-total * width // shard_bytes)), *order).sortWithinPartitions(*order)
-    entries = dealt.select("key", "ids").mapInArrow(_shard_writer(path, kind, width, shard_bytes), f"key {kind}, shard bigint, entry bigint, at bigint, n bigint")
-    entries = cut_lineage(entries)
+    order = [F.asc_nulls_last("key"), F.asc("file"), F.asc("place")]
+    dealt = rows.repartitionByRange(max(parts, -(-total // shard_bytes)), *order).sortWithinPartitions(*order)
+    writer = _shard_writer(path, kind, tokenizer, end, shard_bytes)
+    entries = cut_lineage(dealt.select("key", "text").mapInArrow(writer, f"key {kind}, shard bigint, entry bigint, at bigint, n bigint"))
     # one row a shard
     bases = entries.groupBy("shard").agg(F.sum("n").alias("ids")).selectExpr("shard", "sum(ids) OVER (ORDER BY shard) - ids AS base")
     first = F.min_by(F.struct("entry", "at", "n"), "entry").alias("p")
