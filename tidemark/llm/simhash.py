@@ -19,8 +19,10 @@ from tidemark.session import cut_lineage
 SEED = 42
 #: Runs of one key shorter than this are compared pair by pair, longer ones by balls.
 SHORT_RUN = 48
-#: In dense runs whose links are checked afterwards, the members of other balls that a pivot is paired with.
-NEAREST = 8
+#: In dense runs whose links are checked afterwards a pivot takes what is within this part of the distance.
+NEAR = 2 / 3
+#: Pairs of one pivot that a task checks with one copy of the pivot's set.
+DEALT = 4_096
 #: Bits of a key below the number of its variant; no segment is wider.
 KEY_BITS = 32
 #: A task holds at most this many fingerprints of one key; longer runs meet block by block.
@@ -122,17 +124,12 @@ def _first_variant(x: np.ndarray, cuts: list[tuple[int, int, int]]) -> np.ndarra
     return out
 
 
-def _ball_links(f: np.ndarray, k: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (positions) of a dense run that stand for all of its pairs within ``k`` bits.
+def _ball_links(f: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (positions) of a dense run that connect exactly what all of its pairs within ``k`` bits would.
 
-    Pivots are chosen greedily, every member within ``radius`` of one.  With
-    ``radius`` equal to ``k`` distance alone decides, and the links connect
-    exactly what all pairs would: a member is linked once to each other ball it
-    is near, and members of two balls still apart are compared if their pivots
-    are within three times the distance.  With a smaller radius the links are
-    candidates for a check that follows: each member with its pivot, and each
-    pivot with the ``NEAREST`` members of other balls, so that they grow with the
-    members alone.
+    Pivots are chosen greedily, every member within ``k`` of one.  A member is
+    linked once to each other ball it is near, and members of two balls still
+    apart are compared if their pivots are within three times the distance.
     """
     label = np.arange(len(f))
     home = np.full(len(f), -1)
@@ -148,17 +145,8 @@ def _ball_links(f: np.ndarray, k: int, radius: int) -> tuple[np.ndarray, np.ndar
         if home[p] >= 0:
             continue
         apart = _apart(f ^ f[p])
-        own = (apart <= radius) & (home < 0)
-        home[own] = len(pivots)
+        home[(apart <= k) & (home < 0)] = len(pivots)
         pivots.append(p)
-        if radius < k:
-            others = np.where(own, k + 1, apart)
-            nearest = np.argpartition(others, NEAREST)[:NEAREST] if len(f) > NEAREST else np.arange(len(f))
-            near = np.r_[np.flatnonzero(own), nearest[others[nearest] <= k]]
-            near = near[near != p]
-            left.extend([p] * len(near))
-            right.extend(near)
-            continue
         near = np.flatnonzero(apart <= k)
         near = near[near != p]
         for q in near:
@@ -167,27 +155,56 @@ def _ball_links(f: np.ndarray, k: int, radius: int) -> tuple[np.ndarray, np.ndar
                 label[b] = a
                 left.append(p)
                 right.append(q)
-    if radius == k:
-        order = np.argsort(home, kind="stable")
-        bounds = np.searchsorted(home[order], np.arange(len(pivots) + 1))
-        pivots = np.array(pivots)
-        for i, p in enumerate(pivots):
-            for j in i + 1 + np.flatnonzero(_apart(f[pivots[i + 1 :]] ^ f[p]) <= 3 * k):
-                if find(p) == find(pivots[j]):
-                    continue
-                mine, other = order[bounds[i] : bounds[i + 1]], order[bounds[j] : bounds[j + 1]]
-                for a in mine:
-                    hit = np.flatnonzero(_apart(f[other] ^ f[a]) <= k)
-                    if len(hit):
-                        label[find(other[hit[0]])] = find(a)
-                        left.append(a)
-                        right.append(other[hit[0]])
-                        break
+    order = np.argsort(home, kind="stable")
+    bounds = np.searchsorted(home[order], np.arange(len(pivots) + 1))
+    pivots = np.array(pivots)
+    for i, p in enumerate(pivots):
+        for j in i + 1 + np.flatnonzero(_apart(f[pivots[i + 1 :]] ^ f[p]) <= 3 * k):
+            if find(p) == find(pivots[j]):
+                continue
+            mine, other = order[bounds[i] : bounds[i + 1]], order[bounds[j] : bounds[j + 1]]
+            for a in mine:
+                hit = np.flatnonzero(_apart(f[other] ^ f[a]) <= k)
+                if len(hit):
+                    label[find(other[hit[0]])] = find(a)
+                    left.append(a)
+                    right.append(other[hit[0]])
+                    break
     return np.array(left, np.int64), np.array(right, np.int64)
 
 
-def _run_links(key: np.ndarray, f: np.ndarray, k: int, radius: int, cuts, once: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Links (positions) within runs of equal ``key``; with ``once`` a short-run pair only at its first shared variant."""
+def _star_links(f: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate links (positions) of a dense run whose links are checked afterwards: they grow with its members alone.
+
+    Pivots are chosen greedily; every member within ``NEAR`` of ``k`` is paired with its
+    pivot and with the centre of the pivot's ball, the member nearest to the
+    bits that most have (where all are changed copies of one text, that text).
+    """
+    left, right = [], []
+    free = np.ones(len(f), bool)
+    for p in range(len(f)):
+        if not free[p]:
+            continue
+        own = np.flatnonzero(free & (_apart(f ^ f[p]) <= NEAR * k))
+        free[own] = False
+        centres = {p}
+        if len(own) > 2:
+            bits = np.unpackbits(f[own].view(np.uint8), axis=1)
+            most = np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(own)).view(np.uint64)
+            centres.add(int(own[_apart(f[own] ^ most).argmin()]))
+        for c in sorted(centres):
+            others = own[own != c]
+            left.append(np.full(len(others), c))
+            right.append(others)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
+
+
+def _run_links(key: np.ndarray, f: np.ndarray, k: int, checked: bool, cuts, once: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Links (positions) within runs of equal ``key``; with ``once`` a short-run pair only at its first shared variant.
+
+    If links are ``checked`` afterwards, dense runs give stars, at their first shared variant as well.
+    """
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     length = np.diff(np.r_[start, len(key)])
     left, right = [], []
@@ -205,9 +222,13 @@ def _run_links(key: np.ndarray, f: np.ndarray, k: int, radius: int, cuts, once:
     for s, n in zip(start[length >= SHORT_RUN], length[length >= SHORT_RUN]):
         # in the order of the fingerprints, so that one is a pivot in all of its keys or in few
         order = np.lexsort(f[s : s + n].T)
-        a, b = _ball_links(f[s + order], k, radius)
-        left.append(s + order[a])
-        right.append(s + order[b])
+        a, b = (_star_links if checked else _ball_links)(f[s + order], k)
+        a, b = s + order[a], s + order[b]
+        if checked and once:
+            first = _first_variant(f[a] ^ f[b], cuts) == key[a] >> KEY_BITS
+            a, b = a[first], b[first]
+        left.append(a)
+        right.append(b)
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
@@ -216,7 +237,7 @@ def _link_schema(names: list[str]) -> str:
     return "block int, a bigint, b bigint, " + ", ".join(f"{n} bigint" for n in names)
 
 
-def _link_sorted(names: list[str], k: int, radius: int, cuts, block: int, once: bool = True):
+def _link_sorted(names: list[str], k: int, checked: bool, cuts, block: int, once: bool = True):
     """Over rows (key, node, fp...) sorted by key: links (block -1) and, of keys longer than ``block``, the members (block, key, node, fp...)."""
     schema = pa_schema(_link_schema(names))
 
@@ -225,7 +246,7 @@ def _link_sorted(names: list[str], k: int, radius: int, cuts, block: int, once:
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def done(key, node, f):
-        a, b = _run_links(key, f, k, radius, cuts, once)
+        a, b = _run_links(key, f, k, checked, cuts, once)
         yield out(-1, node[a], node[b], np.zeros((len(a), len(names)), np.uint64))
 
     def give(key, node, f, part):
@@ -255,20 +276,20 @@ def _link_sorted(names: list[str], k: int, radius: int, cuts, block: int, once:
     return run
 
 
-def fingerprint_links(fps: DataFrame, distance: int, radius: int | None = None, count: int | None = None, block: int = BLOCK) -> DataFrame:
+def fingerprint_links(fps: DataFrame, distance: int, checked: bool = False, count: int | None = None, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between nodes of distinct fingerprints (node, fp, ...) within ``distance`` bits.
 
     Every fingerprint is indexed under each segment with each of its bits left
     out.  With the default number of segments, fingerprints within the distance
     share a key, as some segment differs by at most one bit.  Rows of a key meet
     by the equality of the key and are verified on all bits.  Dense keys yield
-    links that stand for all pairs (``_ball_links``).  Keys with more than
+    links that stand for all pairs (``_ball_links``) or, if links are ``checked``
+    by other means afterwards, candidates (``_star_links``).  Keys with more than
     ``block`` fingerprints are dealt in pairs of blocks, so that no task holds
     more than two blocks.
     """
     names = [c for c in fps.columns if c != "node"]
     cuts = segments(distance, 64 * len(names), count)
-    radius = distance if radius is None else radius
     n_keys = 64 * len(names)
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -281,7 +302,7 @@ def fingerprint_links(fps: DataFrame, distance: int, radius: int | None = None,
                 yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(np.tile(c, n_keys)) for c in cols)], names=["key", "node", *names])
 
     keyed = fps.filter("node IS NOT NULL").select("node", *names).mapInArrow(index, "key bigint, node bigint, " + ", ".join(f"{n} bigint" for n in names))
-    link = lambda rows, size, once: rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_link_sorted(names, distance, radius, cuts, size, once), _link_schema(names))
+    link = lambda rows, size, once: rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_link_sorted(names, distance, checked, cuts, size, once), _link_schema(names))
     found = cut_lineage(link(keyed, block, True))
     members = found.filter("block >= 0").select(F.col("a").alias("key"), "block", F.col("b").alias("node"), *names)
     blocks = members.groupBy("key").agg((F.max("block") + 1).alias("n"))
@@ -318,21 +339,37 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 
 
 def similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, jaccard: float) -> DataFrame:
-    """Those ``pairs`` (a, b) of nodes of ``classes`` whose sets of word shingles have at least this Jaccard similarity."""
-    named = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = _sets_of(docs, classes.join(named, "node", "left_semi"), width)
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+    """Those ``pairs`` (a, b) of nodes of ``classes`` whose sets of word shingles have at least this Jaccard similarity.
 
-    def check(cols):
-        keep = []
-        for i, (x, y) in enumerate(zip(cols["sa"], cols["sb"])):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(x) + len(y) - len(np.union1d(x, y))
-            if common >= jaccard * (len(x) + len(y) - common):
-                keep.append(i)
-        return {"a": [cols["a"][i] for i in keep], "b": [cols["b"][i] for i in keep]}
+    Pairs are dealt by ``a``, in parts of about ``DEALT``: the set of ``a``
+    travels once a part, and a task holds one such set while those of ``b`` pass.
+    """
+    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / DEALT).cast("int").alias("parts"))
+    dealt = cut_lineage(pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")))
+    named = dealt.select(F.col("a").alias("node")).union(dealt.select(F.col("b").alias("node"))).distinct()
+    sets = cut_lineage(_sets_of(docs, classes.join(named, "node", "left_semi"), width))
+    heads = dealt.select("a", "part").distinct().join(sets.select(F.col("node").alias("a"), "s"), "a").select("a", "part", F.lit(None).cast("bigint").alias("b"), "s")
+    members = dealt.join(sets.select(F.col("node").alias("b"), "s"), "b").select("a", "part", "b", "s")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, x = None, None
+        for batch in batches:
+            keep_a, keep_b = [], []
+            for a, b, s in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("s")):
+                y = np.frombuffer(s.as_buffer(), np.uint64)
+                if b is None:
+                    here, x = a, y.copy()
+                    continue
+                assert here == a
+                common = len(x) + len(y) - len(np.union1d(x, y))
+                if common >= jaccard * (len(x) + len(y) - common):
+                    keep_a.append(a)
+                    keep_b.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(keep_a, pa.int64()), pa.array(keep_b, pa.int64())], names=["a", "b"])
 
-    return map_rows(both, "a bigint, b bigint", check)
+    rows = heads.unionByName(members).repartition(parts, "a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
+    return rows.select("a", "b", "s").mapInArrow(check, "a bigint, b bigint")
 
 
 def _common_shingles(docs: DataFrame, classes: DataFrame, width: int) -> np.ndarray:
@@ -350,12 +387,13 @@ def _common_shingles(docs: DataFrame, classes: DataFrame, width: int) -> np.ndar
 
 
 def prefix_pairs(docs: DataFrame, classes: DataFrame, width: int, jaccard: float) -> DataFrame:
-    """Pairs (a, b) of nodes of different labels that hold every pair of at least this Jaccard similarity.
+    """Pairs (a, b, label ``to`` of b, shared keys c) of nodes of different labels: every pair of at least this Jaccard similarity is among them.
 
     In any one order of all shingles, sets that similar share one among the
     first n - ceil(jaccard n) + 1 of each.  The order is that of the hashes, with
     the shingles of many components last, so that keys are rare.  Sizes, the number
-    of shared keys and the places of the last bound the overlap.
+    of shared keys and the places of the last bound the overlap; what cannot be
+    similar by the place of a shared key alone never leaves the join.
     """
     common = _common_shingles(docs, classes, width)
     place = np.argsort(common)
@@ -377,18 +415,25 @@ def prefix_pairs(docs: DataFrame, classes: DataFrame, width: int, jaccard: float
 
     lists = map_rows(docs.select(F.col("text").cast("string")), "s1 bigint, s2 bigint, n int, keys array<bigint>", keys)
     lists = lists.groupBy("s1", "s2").agg(F.first(F.struct("n", "keys")).alias("l")).join(classes.select("node", "label", "s1", "s2"), ["s1", "s2"])
-    prefix = lists.select("node", "label", "l.n", F.posexplode("l.keys").alias("at", "key"))
-    same = F.expr(f"x.key = y.key AND x.node < y.node AND x.label <> y.label AND least(x.n, y.n) >= {jaccard}D * greatest(x.n, y.n) - 1e-6D")
-    met = prefix.alias("x").join(prefix.alias("y"), same).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m"), F.col("x.at").alias("i"), F.col("y.at").alias("j"))
-    pairs = met.groupBy("a", "b", "n", "m").agg(F.count("*").alias("c"), F.max("i").alias("i"), F.max("j").alias("j"))
-    # the prefix that ends first is compared whole, so only what follows it can be shared besides; after the last
-    # shared place no more than the shorter rest can
-    left = lambda n: F.ceil(jaccard * F.col(n) - 1e-9) - 1
-    after = F.least(F.greatest(left("n"), left("m")), F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) - 1)
-    return pairs.filter(F.col("c") + after >= jaccard / (1 + jaccard) * (F.col("n") + F.col("m")) - 1e-6).select("a", "b")
-
-
-def similar_documents(docs: DataFrame, width: int, distance: int, n_words: int, count: int | None, radius: int | None, jaccard: float, block: int = BLOCK) -> DataFrame:
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    prefix = lists.select("node", "label", "l.n", F.posexplode("l.keys").alias("at", "key")).repartition(parts, "key")
+    # of a key all of one component nothing is left; of the others the members of its largest one meet no two of their own
+    sizes = prefix.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.count("*").alias("labels"))
+    live = cut_lineage(prefix.join(sizes.filter("labels > 1").drop("labels"), "key"))
+    x = live.filter("label <> most").alias("x")
+    need = F.lit(jaccard / (1 + jaccard)) * (F.col("x.n") + F.col("y.n")) - 1e-6
+    same = F.expr(f"x.key = y.key AND x.label <> y.label AND (y.label = y.most OR x.node < y.node) AND least(x.n, y.n) >= {jaccard}D * greatest(x.n, y.n) - 1e-6D")
+    # after a shared place no more than the shorter rest can be shared: the first one of a similar pair leaves enough,
+    # and all that come before one that does are seen here
+    rest = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    met = x.join(live.alias("y"), same & (rest >= need))
+    names = [F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m"), F.col("y.label").alias("to")]
+    pairs = met.select(*names, F.col("x.at").alias("i"), F.col("y.at").alias("j")).groupBy("a", "b", "n", "m", "to").agg(F.count("*").alias("c"), F.max("i").alias("i"), F.max("j").alias("j"))
+    after = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) - 1
+    return pairs.filter(F.col("c") + after >= jaccard / (1 + jaccard) * (F.col("n") + F.col("m")) - 1e-6).select("a", "b", "to", "c")
+
+
+def similar_documents(docs: DataFrame, width: int, distance: int, n_words: int, count: int | None, jaccard: float, block: int = BLOCK) -> DataFrame:
     """(doc_id, fp, ..., component_id) of every row, linked exactly where shingle sets have this Jaccard similarity.
 
     Near fingerprints are candidates that join most of each group at little cost.
@@ -406,17 +451,28 @@ def similar_documents(docs: DataFrame, width: int, distance: int, n_words: int,
     prints = cut_lineage(map_rows(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), schema, run))
     classes = prints.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.min(F.struct(*names)).alias("f")).select("s1", "s2", "rep", "f.*")
     classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()))
-    near = cut_lineage(fingerprint_links(classes.select("node", *names), distance, radius, count, block))
+    near = cut_lineage(fingerprint_links(classes.select("node", *names), distance, True, count, block))
     links = cut_lineage(similar(docs, near, classes, width, jaccard))
-    labelled = cut_lineage(classes.select("node", "rep", "s1", "s2").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    nodes = classes.select("node", "rep", "s1", "s2")
+
+    def label(links: DataFrame) -> DataFrame:
+        return cut_lineage(nodes.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node")))
+
+    labelled = label(links)
     rest = cut_lineage(prefix_pairs(docs, labelled, width, jaccard))
-    links = links.union(similar(docs, rest, classes, width, jaccard))
-    labelled = cut_lineage(labelled.drop("label").join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    # of each node and component first the pair that shares most: where it is similar, the others need no check
+    best = rest.groupBy("a", "to").agg(F.max_by("b", F.struct("c", "b")).alias("b")).select("a", "b")
+    links = cut_lineage(links.union(similar(docs, best, classes, width, jaccard)))
+    labelled = label(links)
+    of = lambda n: labelled.select(F.col("node").alias(n), F.col("label").alias(f"{n}_label"))
+    apart = rest.join(of("a"), "a").join(of("b"), "b").filter("a_label <> b_label").select("a", "b").join(best, ["a", "b"], "left_anti")
+    links = links.union(similar(docs, apart, classes, width, jaccard))
+    labelled = label(links)
     least = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
     return prints.join(labelled.join(least, "label").select("s1", "s2", "component_id"), ["s1", "s2"]).select("doc_id", *names, "component_id")
 
 
-def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, n_words: int = 1, count: int | None = None, radius: int | None = None, jaccard: float | None = None, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, n_words: int = 1, count: int | None = None, jaccard: float | None = None, block: int = BLOCK) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``; fp1, ... with more words.
 
     Fingerprints of word shingles are linked when at most ``distance`` bits
@@ -429,11 +485,11 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, n_words:
     belong to one only by an equal fingerprint.  Other columns are ignored.
     """
     if jaccard is not None:
-        return similar_documents(docs, width, distance, n_words, count, radius, jaccard, block)
+        return similar_documents(docs, width, distance, n_words, count, jaccard, block)
     names = _names(n_words)
     prints = cut_lineage(fingerprints(docs, width, n_words))
     classes = cut_lineage(prints.groupBy(*names).agg(F.min("doc_id").alias("node")))
-    links = fingerprint_links(classes, distance, radius, count, block)
+    links = fingerprint_links(classes, distance, False, count, block)
     labels = components(links)
     named = classes.join(labels, "node", "left").select(*names, F.coalesce("label", "node").alias("component_id"))
     return prints.join(named, names).select("doc_id", *names, "component_id")
@@ -442,7 +498,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, n_words:
 #: For sets of five-word shingles with a Jaccard similarity of 0.8 or more: 128 bits in eight
 #: segments.  Of pairs at 0.8 exactly 93 % share a key, at 0.9 over 99 %; the prefixes of the
 #: sets find the others.
-SIMILAR = {"width": 5, "n_words": 2, "count": 8, "distance": 36, "radius": 12, "jaccard": 0.8}
+SIMILAR = {"width": 5, "n_words": 2, "count": 8, "distance": 36, "jaccard": 0.8}
 
 
 def hex_print() -> F.Column:
