@@ -146,3 +146,29 @@ def test_null_source_is_wrong_source(spark):
     records = spark.createDataFrame(rows, "metric_id string, geo_id string, geo_level string, period string, value double, unit string, source_id string")
     got = {r["source_id"]: r["reason"] for r in with_reason(records, metrics).collect()}
     assert got == {None: "wrong_source", "s": None}
+
+
+def test_a_batch_reads_only_its_months_of_the_stored_log(spark):
+    log = records(spark, [("m", "mun-00001", f"{y}-{m:02d}", float(m), 12 * y + m) for y in (2024, 2025) for m in range(1, 13)])
+    path = scratch_path(spark, "log")
+    H.write_log(log, path)
+    batch = records(spark, [("m", "mun-00001", "2025-03", 9.0, 1), ("m", "mun-00001", "2026-01", 1.0, 2)])
+    decided = H.merge_stored(path, batch, True)
+    assert {r.period: (r.action, r.prior_value, r.revision) for r in decided.collect()} == {"2025-03": ("revised", 3.0, 1), "2026-01": ("added", None, 0)}
+    schema = log.withColumn("stored", F.lit("")).schema
+    read = H.touched_log(spark.read.schema(schema).parquet(path), batch)
+    assert "PartitionFilters: [" in (plan := read._jdf.queryExecution().executedPlan().toString()) and "2025-03" in plan
+    assert read.select(F.input_file_name().alias("f")).distinct().count() == 1 and read.count() == 1
+
+
+def test_later_rows_win_on_any_number_of_partitions(spark, tmp_path):
+    for name, value in (("a", 1.0), ("b", 2.0)):
+        rows = [("m", "mun-00001", "2026-01", value + i / 10) for i in range(5)]
+        spark.createDataFrame(rows, "metric_id string, geo_id string, period string, value double").coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    for partitions in (1, 7):
+        raw = spark.read.parquet(f"{tmp_path}/a", f"{tmp_path}/b").withColumns({"unit": F.lit("u"), "source_id": F.lit("s")})
+        rec = H.canonicalise(raw, "2026-08-01").repartition(partitions)
+        assert rec.select("seq").distinct().count() == 10
+        assert H.current_view(rec).first()["value"] == 2.4 and H.first_in_batch(rec).first()["value"] == 1.0
+    again = H.canonicalise(raw, "2026-08-01", batch=3)
+    assert again.agg(F.min("seq")).first()[0] > rec.agg(F.max("seq")).first()[0]

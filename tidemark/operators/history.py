@@ -4,22 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.geo import geo_level_of
 from tidemark.functions.periods import cadence_of, period_end, pidx_of_period
 from tidemark.functions.text import canonical_number, same_value
 from tidemark.schema import OBS_COLUMNS, OBS_KEY, OBSERVATION
+from tidemark.session import cut_lineage
 
 
-def canonicalise(df: DataFrame, fetched_at: str) -> DataFrame:
+def with_ingest_order(df: DataFrame, batch: int = 0) -> DataFrame:
+    """Add ``seq``: the place of each row in its batch, by file (in order of path) and row of the file.
+
+    The same on every run and for any number of partitions; rows of a higher
+    ``batch`` come later.  A frame that is not read from files is written first.
+    Up to 2047 batches of a million files of four thousand million rows.
+    """
+    columns = [F.col(c) for c in df.columns if c != "seq"]
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    try:
+        placed = df.select(*columns, *place)
+    except AnalysisException:
+        placed = cut_lineage(df.select(*columns)).select(*columns, *place)
+    # one row a file
+    files = placed.select("_file").distinct().withColumn("_rank", F.row_number().over(Window.orderBy("_file")) - 1)
+    number = (F.lit(batch).cast("bigint") * (1 << 20) + F.col("_rank")) * (1 << 32) + F.col("_row")
+    return placed.join(files, "_file").withColumn("seq", number).drop("_file", "_row", "_rank")
+
+
+def canonicalise(df: DataFrame, fetched_at: str, batch: int = 0) -> DataFrame:
     """Fill derived columns of raw records and cast them to the fixed schema.
 
     Expects at least metric, geography, period, value, unit and source; the
-    remaining columns are inferred where absent.  ``fetched_at`` is an argument
-    so that a replay gives the same rows.
+    remaining columns are inferred where absent, ``seq`` from the place in the
+    input (:func:`with_ingest_order`).  ``fetched_at`` and the number of the
+    ``batch`` are arguments so that a replay gives the same rows.
     """
+    if "seq" not in df.columns:
+        df = with_ingest_order(df, batch)
 
     def given(name: str, default: Column) -> Column:
         return F.coalesce(F.col(name), default) if name in df.columns else default
@@ -34,8 +59,7 @@ def canonicalise(df: DataFrame, fetched_at: str) -> DataFrame:
         "fetched_at": given("fetched_at", F.lit(fetched_at)),
         "quality_flag": given("quality_flag", F.lit("ok")),
         "revision": given("revision", F.lit(0)),
-        # the same on every run, whatever the order of files: rows tell their own order
-        "seq": given("seq", F.xxhash64(*[F.col(c).cast("string") for c in sorted(df.columns)])),
+        "seq": F.col("seq"),
     }
     return df.select(
         *[filled.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in OBSERVATION]
@@ -92,6 +116,31 @@ def merge(log: DataFrame, batch: DataFrame, revisions_allowed: Column | bool, ke
     )
 
 
+def stored_month(end: Column | str = "observation_end") -> Column:
+    """The partition of a stored log in which an observation lies."""
+    return F.date_format(end, "yyyy-MM")
+
+
+def write_log(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """Add rows to a stored log, one folder a month; rows without an end of period share a folder."""
+    rows.withColumn("stored", stored_month()).repartition("stored", F.pmod(F.xxhash64(*OBS_KEY), F.lit(8))).sortWithinPartitions(
+        "stored", *OBS_KEY
+    ).write.mode(mode).partitionBy("stored").parquet(path)
+
+
+def touched_log(log: DataFrame, batch: DataFrame) -> DataFrame:
+    """Of a log stored by month (read with its column ``stored``) the months that a batch has: a filter on folders."""
+    months = [r[0] for r in batch.select(stored_month()).distinct().collect()]  # as many as months, never as rows
+    known = F.col("stored").isin([m for m in months if m is not None])
+    return log.where(known | F.col("stored").isNull() if None in months else known).drop("stored")
+
+
+def merge_stored(path: str, batch: DataFrame, revisions_allowed: Column | bool) -> DataFrame:
+    """:func:`merge` of a batch into the log stored in ``path``: only the months of the batch are read."""
+    schema = StructType([*OBSERVATION.fields, StructField("stored", StringType())])
+    return merge(touched_log(batch.sparkSession.read.schema(schema).parquet(path), batch), batch, revisions_allowed)
+
+
 def appended(decisions: DataFrame) -> DataFrame:
     """Rows to append to the history."""
     return decisions.where(F.col("action").isin("added", "revised")).select(*OBS_COLUMNS)

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.periods import month_of
 from tidemark.functions.stats import pearson, upper_median_by
-from tidemark.operators import indices, rollups, snapshots, vintage
+from tidemark.operators import history, indices, rollups, snapshots, vintage
 from tidemark.plans import model as M
 from tidemark.plans.catalog.base import DIGEST, MUN, R, REV, obs_sql, query, r
 from tidemark.plans.catalog.joins import COLUMNS, DIFF, customer_snapshots, snapshot_sql
-from tidemark.session import literal_table
+from tidemark.session import cut_lineage, literal_table
 
 _MONTH = "(year(o_orderdate) * 12 + month(o_orderdate) - 1)::INTEGER"
 
@@ -207,6 +207,18 @@ def outcome_counts(spark, sf_dir):
     return seen.groupBy("geo_id", "basis").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("revision") > 0).alias("revisions"))
 
 
+@query(
+    "a19_basis_and_revisions",
+    f"""WITH {REV}, v AS (SELECT * FROM rlog WHERE coalesce(published_at, observation_end + 60) <= DATE '2000-12-31')
+    SELECT CASE WHEN published_at IS NULL THEN 'declared_lag' ELSE 'published_at' END AS basis, count(*) AS rows, (SELECT count(*) FROM v WHERE revision > 0) AS revisions, (SELECT count(*) FROM v) AS visible FROM v GROUP BY 1""",
+)
+def basis_and_revisions(spark, sf_dir):
+    dated = cut_lineage(vintage.with_known_from(M.revision_log(spark, sf_dir), literal_table(spark, "source_id string, days int", M.LAGS)))
+    counts = history.revision_count(vintage.visible(dated, "2000-12-31"))
+    out = vintage.basis_summary(dated, "2000-12-31")
+    return out.withColumns({"revisions": counts.select("revisions").scalar(), "visible": counts.select("rows").scalar()})
+
+
 @query(
     "a20_vintage_fingerprint",
     f"""WITH {REV}, h AS (SELECT sha256(metric_id || '|' || geo_id || '|' || lpad((pidx // 12)::VARCHAR, 4, '0') || '-' || lpad((pidx % 12 + 1)::VARCHAR, 2, '0') || '|' || revision || '|' ||

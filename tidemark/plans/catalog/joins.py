@@ -10,7 +10,7 @@ from tidemark.operators.leadlag import aligned, lag_table, with_split
 from tidemark.operators.neighbours import nearest
 from tidemark.plans import model as M
 from tidemark.plans.catalog.base import BRIDGE, MARKED, MUN, PLAIN, R, REV, obs_sql, query, r, values_sql
-from tidemark.session import cut_lineage, literal_table
+from tidemark.session import cut_lineage, literal_table, scratch_path
 
 
 @query(
@@ -102,7 +102,10 @@ _MERGE = f"""WITH {REV}, o AS (SELECT * FROM rlog WHERE revision = 0 AND pidx <
     _MERGE.replace("@other", "revised") + " SELECT geo_id, pidx, value, prior_value, action, (action = 'revised')::INTEGER AS revision FROM j",
 )
 def merge_with_revisions(spark, sf_dir):
-    out = history.merge(*_batch(spark, sf_dir), True)
+    log, batch = _batch(spark, sf_dir)
+    path = scratch_path(spark, "log")
+    history.write_log(log, path)
+    out = history.merge_stored(path, batch, True)
     return out.select("geo_id", "pidx", "value", "prior_value", "action", "revision")
 
 

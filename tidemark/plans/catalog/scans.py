@@ -228,8 +228,8 @@ def sensor_days_to_long(spark, sf_dir):
 @query(
     "s14_derived_documents",
     obs_sql("revenue", "orders_count")
-    + f""" SELECT geo_id AS place, metric_id, arg_max({PERIOD_M}, pidx) AS period, arg_max(value, pidx) AS value, count(*) AS points
-    FROM obs GROUP BY ALL""",
+    + f""" SELECT geo_id AS place, metric_id, arg_max({PERIOD_M}, pidx) AS period, arg_max(value, pidx) AS value, count(*) AS points,
+      min({PERIOD_M}) AS first_period, {R('sum(value)', 1)} AS total FROM obs GROUP BY ALL""",
 )
 def derived_documents(spark, sf_dir):
     path = scratch_path(spark, "documents")
@@ -246,8 +246,9 @@ def derived_documents(spark, sf_dir):
     )
     back = spark.read.schema(schema).json(path)
     return back.select("place", F.inline("metrics")).select(
-        "place", "metric_id", "latest.period", "latest.value", F.size("series").cast("bigint").alias("points")
-    )
+        "place", "metric_id", "latest.period", "latest.value", F.size("series").cast("bigint").alias("points"),
+        F.array_min(F.transform("series", lambda x: x["period"])).alias("first_period"), r(F.aggregate("series", F.lit(0.0), lambda a, x: a + x["value"]), 1).alias("total"),
+    )
 
 
 @query(

@@ -10,10 +10,12 @@ from tidemark.plans import dashboards as D
 from tidemark.plans import model as M
 from tidemark.plans.catalog import forecasts as FQ
 from tidemark.plans.catalog import signals as SQ
-from tidemark.plans.catalog.base import BRIDGE, DIST, PERIOD_M, R, obs_sql, query, r, values_sql
+from tidemark.plans.catalog import streams as _streams  # noqa: F401  its SQL is shown in a document
+from tidemark.plans.catalog.base import BRIDGE, DIST, ORACLE, PERIOD_M, R, obs_sql, query, r, values_sql
 from tidemark.plans.catalog.joins import COLUMNS, DIFF, customer_snapshots, snapshot_sql
 from tidemark.plans.catalog.aggregates import FLOWS
-from tidemark.session import cut_lineage, literal_table
+from tidemark.session import cut_lineage, literal_table, scratch_path
+from tidemark.sources import sinks
 from tidemark.sources.dims import SOURCE_SCHEMA
 
 AS_OF = "2001-09-15"
@@ -29,6 +31,20 @@ def bridge(spark, sf_dir):
     return places.bridge(M.places(spark, sf_dir))
 
 
+def tail_columns(column: str = "series"):
+    """Length, first period and sum of a tail, and the sum of its values by their place: its contents in four numbers."""
+    value = lambda x: F.coalesce(x["value"], F.lit(0.0))
+    placed = F.transform(column, lambda x, i: value(x) * (i + 1))
+    return [
+        F.size(column).cast("bigint").alias("tail_length"), F.array_min(F.transform(column, lambda x: x["pidx"])).alias("tail_from"),
+        r(F.aggregate(column, F.lit(0.0), lambda a, x: a + value(x)), 1).alias("tail_sum"), r(F.aggregate(placed, F.lit(0.0), lambda a, x: a + x), 0).alias("tail_weighted"),
+    ]
+
+
+TAILS = f"""tails AS (SELECT metric_id, geo_id, count(*) AS tail_length, min(pidx) AS tail_from, {R('sum(value)', 1)} AS tail_sum, {R('sum(value * spot)', 0)} AS tail_weighted FROM (
+    SELECT *, row_number() OVER (PARTITION BY metric_id, geo_id ORDER BY pidx) AS spot FROM (SELECT * FROM obs QUALIFY row_number() OVER (PARTITION BY metric_id, geo_id ORDER BY pidx DESC) <= 96)) GROUP BY ALL)"""
+
+
 def cards(spark, sf_dir):
     obs = cut_lineage(M.series(spark, sf_dir, CITY_METRICS))
     return D.metric_cards(obs, M.registry(spark), sources(spark), bridge(spark, sf_dir), AS_OF, CADENCES)
@@ -57,15 +73,15 @@ CARDS = (
 @query(
     "q1_metric_cards",
     CARDS
-    + f""" SELECT place, metric_id, geo_id, label, section, pidx, {R('value')} AS value, {R('yoy')} AS yoy, {R('outlier_score')} AS outlier_score, provisional::INTEGER AS provisional, suspect::INTEGER AS suspect, oe::VARCHAR AS observation_end,
-    staleness_days, fresh, (SELECT least(count(*), 96) FROM obs WHERE obs.metric_id = card.metric_id AND obs.geo_id = card.geo_id) AS tail_length FROM card""",
+    + f""", {TAILS} SELECT place, metric_id, geo_id, label, section, pidx, {R('value')} AS value, {R('yoy')} AS yoy, {R('outlier_score')} AS outlier_score, provisional::INTEGER AS provisional, suspect::INTEGER AS suspect, oe::VARCHAR AS observation_end,
+    staleness_days, fresh, tail_length, tail_from, tail_sum, tail_weighted FROM card JOIN tails USING (metric_id, geo_id)""",
 )
 def metric_cards(spark, sf_dir):
     out = cards(spark, sf_dir)
     return out.select(
         "place", "metric_id", "geo_id", "label", "section", "pidx", r("value"), r("yoy"), r("outlier_score"),
         F.col("provisional").cast("int").alias("provisional"), F.col("suspect").cast("int").alias("suspect"),
-        F.col("observation_end").cast("string").alias("observation_end"), "staleness_days", "fresh", F.size("series").cast("bigint").alias("tail_length"),
+        F.col("observation_end").cast("string").alias("observation_end"), "staleness_days", "fresh", *tail_columns(),
     )
 
 
@@ -98,14 +114,14 @@ def headline(spark, sf_dir):
 @query(
     "q3_district_payload",
     obs_sql("segment_orders", "segment_ticket")
-    + f""", n AS (SELECT o.metric_id, o.geo_id, o.pidx, o.value, 100.0::DOUBLE * (o.value - p.value) / abs(p.value) AS yoy, count(*) OVER (PARTITION BY o.metric_id, o.geo_id) AS points
+    + f""", {TAILS}, n AS (SELECT o.metric_id, o.geo_id, o.pidx, o.value, 100.0::DOUBLE * (o.value - p.value) / abs(p.value) AS yoy
       FROM obs o LEFT JOIN obs p ON p.metric_id = o.metric_id AND p.geo_id = o.geo_id AND p.pidx = o.pidx - 12 AND p.value <> 0 QUALIFY row_number() OVER (PARTITION BY o.metric_id, o.geo_id ORDER BY o.pidx DESC) = 1)
-    SELECT lower(n_name) AS place, metric_id, split_part(geo_id, '-', 3) AS code, pidx, {R('value')} AS value, {R('yoy')} AS yoy, least(points, 96) AS points FROM n JOIN nation ON split_part(geo_id, '-', 2) = printf('%05d', n_nationkey + 1)""",
+    SELECT lower(n_name) AS place, metric_id, split_part(geo_id, '-', 3) AS code, pidx, {R('value')} AS value, {R('yoy')} AS yoy, tail_length, tail_from, tail_sum, tail_weighted FROM n JOIN tails USING (metric_id, geo_id) JOIN nation ON split_part(geo_id, '-', 2) = printf('%05d', n_nationkey + 1)""",
 )
 def district_payload(spark, sf_dir):
     obs = M.series(spark, sf_dir, ["segment_orders", "segment_ticket"])
     out = D.district_payload(obs, M.districts(spark, sf_dir))
-    return out.select("place", "metric_id", "code", "pidx", r("value"), r("yoy"), F.size("series").cast("bigint").alias("points"))
+    return out.select("place", "metric_id", "code", "pidx", r("value"), r("yoy"), *tail_columns())
 
 
 # --- City document and standings --------------------------------------------------------
@@ -299,16 +315,21 @@ def district_report(spark, sf_dir):
       (status = 'failed' OR DATE '2001-08-20' - latest > 25)::INTEGER AS needs_attention FROM b JOIN f USING (source_id)""",
 )
 def source_health(spark, sf_dir):
+    out = order_sources(spark, sf_dir)
+    return out.select(
+        "source_id", "status", "last_success", F.col("latest_observation").cast("string").alias("latest_observation"), "succeeded", "failed",
+        "consecutive_failures", "staleness_days", F.col("fresh").cast("int").alias("fresh"), F.col("needs_attention").cast("int").alias("needs_attention"),
+    )
+
+
+def order_sources(spark, sf_dir):
+    """Health of the sources of orders: each priority is one, each month a run."""
     o = M.table(spark, sf_dir, "orders")
     runs = o.groupBy(F.col("o_orderpriority").alias("source_id"), month_of("o_orderdate").alias("run")).agg(
         F.when(F.count(F.lit(1)) % 3 == 0, "failed").otherwise("ok").alias("status"), F.max("o_orderdate").cast("date").alias("latest_observation")
     )
     ages = o.select(F.col("o_orderpriority").alias("source_id")).distinct().withColumn("max_age_days", F.lit(25))
-    out = D.source_health(runs, ages, "2001-08-20")
-    return out.select(
-        "source_id", "status", "last_success", F.col("latest_observation").cast("string").alias("latest_observation"), "succeeded", "failed",
-        "consecutive_failures", "staleness_days", F.col("fresh").cast("int").alias("fresh"), F.col("needs_attention").cast("int").alias("needs_attention"),
-    )
+    return D.source_health(runs, ages, "2001-08-20")
 
 
 @query(
@@ -356,3 +377,43 @@ def which_place_moved_most(spark, sf_dir):
     newest = S.latest(S.yoy(obs).select("metric_id", "geo_id", "pidx", "value", "yoy"))
     top = newest.orderBy(F.abs("yoy").desc(), "geo_id").limit(24)
     return top.select("geo_id", month_text("pidx").alias("period"), r("value", 2), r("yoy"))
+
+
+def _documents_sql() -> str:
+    """Entries of all documents, from the SQL of the views that they show."""
+    number = lambda x: f"{x}::DOUBLE"
+    recent = f"(SELECT *, row_number() OVER (PARTITION BY place ORDER BY month DESC) AS back FROM ({ORACLE['x5_hysteresis_stream']}))"
+    health = f"({ORACLE['q12_source_health']})"
+    parts = [
+        ("'place'", "place", "cards", "metric_id || ' ' || geo_id", "pidx", "value", "fresh", f"({ORACLE['q1_metric_cards']})"),
+        ("'place'", "place", "timeline", "place", "month", number("held"), "rule_id", f"{recent} WHERE back <= 36"),
+        ("'overview'", "'overview'", "timeline", "place", "month", number("held"), "rule_id", f"{recent} WHERE back <= 36"),
+        ("'overview'", "'overview'", "movers", "place || ' ' || metric_id || ' ' || geo_id", "pidx", "yoy", "NULL", f"({ORACLE['q5_overview_movers']})"),
+        ("'overview'", "'overview'", "headline", "metric_id || ' ' || geo_id", "0", "NULL", "sentence", f"({ORACLE['q5_o2_headline']})"),
+        ("'overview'", "'overview'", "attention", "source_id", "0", number("staleness_days"), "status", f"{health} WHERE needs_attention = 1"),
+        ("'sources'", "'sources'", "health", "source_id", "last_success", number("staleness_days"), "status", health),
+        ("'national'", "'national'", "places", "place", "composite_n", "composite", "top", f"({ORACLE['q8_national_cities']})"),
+        ("'signals'", "'signals'", "pairs", "signal || ' ' || outcome", '"leading"', "median_lag", "NULL", f"({ORACLE['a23_o10_q6_signals_page']})"),
+        ("'manifest'", "'manifest'", "counts", "metrics", "places", number("observations"), "NULL", f"({ORACLE['q13_a29_manifest']})"),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT {kind} AS kind, {name} AS name, '{part}' AS part, {item} AS item, ({at})::INTEGER AS at, ({value})::DOUBLE AS value, ({note})::VARCHAR AS note FROM {source}"
+        for kind, name, part, item, at, value, note, source in parts
+    )
+
+
+@query("s14_q5_documents", _documents_sql())
+def published_documents(spark, sf_dir):
+    """Documents of every kind, written and read back."""
+    path = scratch_path(spark, "published")
+    found = cut_lineage(cards(spark, sf_dir))  # places, movers and headline read it
+    documents = D.documents(
+        found, cut_lineage(SQ.timeline(spark, sf_dir)), cut_lineage(order_sources(spark, sf_dir)), D.national_cities(desk_entries(spark, sf_dir)),
+        SQ.lead_lag(spark, sf_dir), D.manifest(M.series(spark, sf_dir), M.places(spark, sf_dir)),
+    )
+    sinks.write_documents(documents, path, by="kind")
+    back = spark.read.schema(D.DOCUMENT).json(path)
+    flat = back.select("kind", "name", F.inline("parts")).select("kind", "name", "part", F.inline("entries"))
+    # the headline's change is in its sentence
+    value = F.when(F.col("part") != "headline", F.col("value"))
+    return flat.select("kind", "name", "part", "item", "at", r(value).alias("value"), "note")

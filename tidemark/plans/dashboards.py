@@ -7,8 +7,9 @@ arrays bounded by the calendar or by the declared metrics.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.periods import period_text, pidx_end, pretty_period
@@ -292,6 +293,47 @@ def census_month(
     return stock.join(flows, place, "left").select(*stock.columns, *[F.coalesce(c, F.lit(0)).alias(c) for c in flow_names])
 
 
+def _entries(rows: DataFrame, part: str, homes: Sequence[tuple[str, str | Column]], item, at=None, value=None, note=None, rank=None) -> DataFrame:
+    """Rows as entries of the ``part`` of every document in ``homes`` (kind, name): each row fans out to all of them."""
+    docs = F.array(*[F.struct(F.lit(kind).alias("kind"), (F.lit(name) if isinstance(name, str) else name).alias("name")) for kind, name in homes])
+    entry = F.struct(
+        (F.lit(0) if rank is None else _c(rank)).cast("bigint").alias("rank"), _c(item).cast("string").alias("item"),
+        (F.lit(0) if at is None else _c(at)).cast("int").alias("at"), (F.lit(None) if value is None else _c(value)).cast("double").alias("value"),
+        (F.lit(None) if note is None else _c(note)).cast("string").alias("note"),
+    )
+    return rows.select(docs.alias("docs"), entry.alias("entry")).select(F.inline("docs"), F.lit(part).alias("part"), "entry")
+
+
+DOCUMENT = "kind string, name string, parts array<struct<part:string,entries:array<struct<rank:bigint,item:string,at:int,value:double,note:string>>>>"
+
+
+def documents(cards: DataFrame, timeline: DataFrame, health: DataFrame, national: DataFrame, signals: DataFrame, totals: DataFrame) -> DataFrame:
+    """All published documents as (kind, name, parts): places, overview, national, signals, sources and manifest.
+
+    Every reading is an entry of one or more documents; one grouped pass over all
+    entries makes the documents of every kind.  A document holds as many
+    entries as there are metrics, places, sources and months, never facts.
+    """
+    place = F.col("place")
+    ranked = top_movers(cards).withColumn("rank", F.row_number().over(Window.orderBy(F.abs("yoy").desc(), "metric_id", "geo_id")))  # ``TOP_MOVERS`` rows
+    series_name = F.concat_ws(" ", "metric_id", "geo_id")
+    recent = timeline_tail(timeline)
+    pieces = [
+        _entries(cards, "cards", [("place", place)], series_name, "pidx", "value", "fresh"),
+        _entries(recent.withColumn("place", place), "timeline", [("place", place), ("overview", "overview")], "place", "month", F.col("held_by_hysteresis").cast("int"), "rule_id", "month"),
+        _entries(ranked, "movers", [("overview", "overview")], F.concat_ws(" ", "place", "metric_id", "geo_id"), "pidx", "yoy", None, "rank"),
+        _entries(headline(cards), "headline", [("overview", "overview")], series_name, None, "yoy", "sentence"),
+        _entries(health.where("needs_attention"), "attention", [("overview", "overview")], "source_id", None, "staleness_days", "status"),
+        _entries(health, "health", [("sources", "sources")], "source_id", "last_success", "staleness_days", "status"),
+        _entries(national, "places", [("national", "national")], "place", "composite_n", "composite", F.array_join(F.transform("top", lambda x: x["metric_id"]), ",")),
+        _entries(signals_page(signals), "pairs", [("signals", "signals")], F.concat_ws(" ", "signal", "outcome"), "leading", "median_lag", None),
+        _entries(totals, "counts", [("manifest", "manifest")], "metrics", "places", "observations", None, "series"),
+    ]
+    rows = reduce(DataFrame.unionByName, pieces)
+    parts = rows.groupBy("kind", "name", "part").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+    return parts.groupBy("kind", "name").agg(F.sort_array(F.collect_list(F.struct("part", "entries"))).alias("parts"))
+
+
 def signals_page(evidence: DataFrame) -> DataFrame:
     return leadlag.pair_summary(evidence).orderBy(F.col("leading").desc(), "signal")
 

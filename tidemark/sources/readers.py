@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.history import canonicalise
+from tidemark.operators.history import canonicalise, with_ingest_order
+from tidemark.schema import OBSERVATION
 
 HISTORY_TEXT = T.StructType(
     [
@@ -31,7 +32,8 @@ HISTORY_TEXT = T.StructType(
 def read_history(spark: SparkSession, root: str) -> DataFrame:
     """All history files below ``root`` (one CSV per source and metric)."""
     text = spark.read.schema(HISTORY_TEXT).option("header", True).csv(f"{root.rstrip('/')}/*/*.csv")
-    typed = text.select(
+    typed = with_ingest_order(text).select(
+        "seq",
         "metric_id",
         "geo_id",
         F.nullif("geo_level", F.lit("")).alias("geo_level"),
@@ -47,8 +49,8 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, source_id: str | None = None, metric_id: str | None = None) -> DataFrame:
-    """The partitioned history table; the filters prune its directories."""
-    df = spark.read.parquet(path)
+    """The partitioned history table; the filters prune its directories.  Nothing is inferred, so a source named ``2024`` stays text."""
+    df = spark.read.schema(OBSERVATION).parquet(path)
     if source_id is not None:
         df = df.where(F.col("source_id") == source_id)
     if metric_id is not None:
