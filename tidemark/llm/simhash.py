@@ -319,27 +319,35 @@ def _set_name(hashes: np.ndarray) -> tuple[int, int]:
     return int(low), int(high)
 
 
-def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(s1, s2, s) of every row: the 128-bit name of its shingle set and its sorted 64-bit hashes."""
+def shingle_sets(docs: DataFrame, width: int, short: bool = False) -> DataFrame:
+    """(s1, s2, s) of every row: the 128-bit name of its shingle set and its sorted 64-bit hashes, or their first 16 bits."""
+    cut = (lambda x: (x >> np.uint64(48)).astype(np.uint16)) if short else lambda x: x
 
     def run(cols):
         sets = [np.unique(shingle_hashes(t, width)) for t in cols["text"]]
         names = [_set_name(x) for x in sets]
-        return {"s1": [a for a, _ in names], "s2": [b for _, b in names], "s": [x.tobytes() for x in sets]}
+        return {"s1": [a for a, _ in names], "s2": [b for _, b in names], "s": [cut(x).tobytes() for x in sets]}
 
     return map_rows(docs.select(F.col("text").cast("string")), "s1 bigint, s2 bigint, s binary", run)
 
 
-def _sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+def _sets_of(docs: DataFrame, nodes: DataFrame, width: int, short: bool = False) -> DataFrame:
     """(node, s) of ``nodes`` (node, rep, s1, s2); only documents named by ``rep`` are read again."""
     reps = nodes.select(F.col("rep").alias("doc_id")).distinct()
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     wanted = d.join(reps, d["doc_id"].eqNullSafe(reps["doc_id"]), "left_semi")
-    return shingle_sets(wanted, width).groupBy("s1", "s2").agg(F.first("s").alias("s")).join(nodes.select("node", "s1", "s2"), ["s1", "s2"]).select("node", "s")
+    return shingle_sets(wanted, width, short).groupBy("s1", "s2").agg(F.first("s").alias("s")).join(nodes.select("node", "s1", "s2"), ["s1", "s2"]).select("node", "s")
 
 
-def similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, jaccard: float) -> DataFrame:
-    """Those ``pairs`` (a, b) of nodes of ``classes`` whose sets of word shingles have at least this Jaccard similarity.
+def _told_apart(x: np.ndarray) -> np.ndarray:
+    """Sorted values as distinct ones: each with the number of equal values before it."""
+    first = np.r_[True, x[1:] != x[:-1]] if len(x) else np.zeros(0, bool)
+    at = np.arange(len(x))
+    return x.astype(np.uint64) << np.uint64(32) | (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)
+
+
+def _checked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, jaccard: float, short: bool) -> DataFrame:
+    """Those ``pairs`` (a, b) whose sets, or ``short`` forms of them, have at least this Jaccard similarity.
 
     Pairs are dealt by ``a``, in parts of about ``DEALT``: the set of ``a``
     travels once a part, and a task holds one such set while those of ``b`` pass.
@@ -347,19 +355,20 @@ def similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, j
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / DEALT).cast("int").alias("parts"))
     dealt = cut_lineage(pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")))
     named = dealt.select(F.col("a").alias("node")).union(dealt.select(F.col("b").alias("node"))).distinct()
-    sets = cut_lineage(_sets_of(docs, classes.join(named, "node", "left_semi"), width))
+    sets = cut_lineage(_sets_of(docs, classes.join(named, "node", "left_semi"), width, short))
     heads = dealt.select("a", "part").distinct().join(sets.select(F.col("node").alias("a"), "s"), "a").select("a", "part", F.lit(None).cast("bigint").alias("b"), "s")
     members = dealt.join(sets.select(F.col("node").alias("b"), "s"), "b").select("a", "part", "b", "s")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    read = (lambda s: _told_apart(np.frombuffer(s.as_buffer(), np.uint16))) if short else lambda s: np.frombuffer(s.as_buffer(), np.uint64).copy()
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, x = None, None
         for batch in batches:
             keep_a, keep_b = [], []
             for a, b, s in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("s")):
-                y = np.frombuffer(s.as_buffer(), np.uint64)
+                y = read(s)
                 if b is None:
-                    here, x = a, y.copy()
+                    here, x = a, y
                     continue
                 assert here == a
                 common = len(x) + len(y) - len(np.union1d(x, y))
@@ -372,6 +381,15 @@ def similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, j
     return rows.select("a", "b", "s").mapInArrow(check, "a bigint, b bigint")
 
 
+def similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, jaccard: float) -> DataFrame:
+    """Those ``pairs`` (a, b) of nodes of ``classes`` whose sets of word shingles have at least this Jaccard similarity.
+
+    First by 16 bits of each hash, which can only make sets more similar, then
+    what is left by whole hashes.
+    """
+    return _checked(docs, cut_lineage(_checked(docs, pairs, classes, width, jaccard, True)), classes, width, jaccard, False)
+
+
 def _common_shingles(docs: DataFrame, classes: DataFrame, width: int) -> np.ndarray:
     """Shingles that many components have, rarest first, counted in every ``SAMPLED``-th; they only order prefixes."""
     some = classes.filter(f"node = label AND pmod(xxhash64(node), {SAMPLED}) = 0")
@@ -416,10 +434,13 @@ def prefix_pairs(docs: DataFrame, classes: DataFrame, width: int, jaccard: float
     lists = map_rows(docs.select(F.col("text").cast("string")), "s1 bigint, s2 bigint, n int, keys array<bigint>", keys)
     lists = lists.groupBy("s1", "s2").agg(F.first(F.struct("n", "keys")).alias("l")).join(classes.select("node", "label", "s1", "s2"), ["s1", "s2"])
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    prefix = lists.select("node", "label", "l.n", F.posexplode("l.keys").alias("at", "key")).repartition(parts, "key")
+    prefix = lists.select("node", "label", F.expr("shiftleft(CAST(l.n AS BIGINT), 32)").alias("n"), F.posexplode("l.keys").alias("at", "key"))
+    prefix = prefix.select("key", "node", "label", (F.col("n") + F.col("at")).alias("place")).repartition(parts, "key")
     # of a key all of one component nothing is left; of the others the members of its largest one meet no two of their own
-    sizes = prefix.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.count("*").alias("labels"))
-    live = cut_lineage(prefix.join(sizes.filter("labels > 1").drop("labels"), "key"))
+    apart = prefix.withColumn("low", F.expr("min(label) OVER (PARTITION BY key)")).withColumn("high", F.expr("max(label) OVER (PARTITION BY key)")).filter("low < high")
+    apart = cut_lineage(apart.select("key", "node", "label", F.shiftright("place", 32).cast("int").alias("n"), F.expr("CAST(place & 4294967295 AS INT)").alias("at")))
+    most = apart.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("most"))
+    live = apart.join(most, "key")
     x = live.filter("label <> most").alias("x")
     need = F.lit(jaccard / (1 + jaccard)) * (F.col("x.n") + F.col("y.n")) - 1e-6
     same = F.expr(f"x.key = y.key AND x.label <> y.label AND (y.label = y.most OR x.node < y.node) AND least(x.n, y.n) >= {jaccard}D * greatest(x.n, y.n) - 1e-6D")
