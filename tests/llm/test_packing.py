@@ -106,3 +106,21 @@ def test_packed_sequences_are_gapless(corpus, library, prose, spark):
 
 def test_vocabulary_is_not_in_the_repository():
     assert not os.path.commonpath([P.tokenizer_path(), __file__]).endswith("repo")
+
+
+def test_equal_rows_without_ids_are_ranked_in_many_parts(spark):
+    rows = spark.createDataFrame([(None, "x")] * 3000, "doc_id bigint, text string").repartition(3)
+    cut = P.cut_lineage(P.pieces(rows))
+    ranked = P.ranked(cut).collect()
+    assert sorted(r["rank"] for r in ranked) == list(range(3000))
+    plan = P.ranked(cut)
+    assert sorted(plan.columns) == sorted([*cut.columns, "rank"])
+
+
+def test_local_search_ends_by_itself_with_thousands_of_classes():
+    rng = random.Random(2)
+    counts = Counter(rng.randint(200, 1900) for _ in range(6000))
+    bins = P.best_fit(counts, 2048)
+    after = P.local_search(bins, 2048)
+    plan_is_right(counts, after, 2048)
+    assert sum(after.values()) <= sum(bins.values())

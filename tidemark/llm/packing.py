@@ -19,12 +19,10 @@ from tidemark.session import cut_lineage
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: Exchanges tried at most; each handles all bins of two classes at once.
-EXCHANGES = 10_000
 #: Encoded words that a worker process keeps; it starts anew when full.
 CACHE = 1_000_000
-#: Pieces of one length are ranked in so many independent parts.
-RANK_PARTS = 256
+#: Pieces of one length are ranked in so many independent parts at least, of about ``PART_ROWS`` pieces.
+RANK_PARTS, PART_ROWS = 256, 100_000
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -216,13 +214,15 @@ class _Offers:
         return found
 
 
-def local_search(bins: Counter, capacity: int, exchanges: int = EXCHANGES) -> Counter:
+def local_search(bins: Counter, capacity: int) -> Counter:
     """Exchange pieces between underfull bins so that the sum of squared fills grows until bins empty.
 
     The emptiest class gives: one of its pieces moves into another bin, or is
     exchanged for one or two smaller ones there, if the other bin has the room
     and the squares grow; as many bins as both classes have change at once.  A
-    class that can give no more is left until others have changed.  Stops at the lower bound of bins.
+    class that can give no more is left until others have changed.  Ends when no
+    exchange helps or the lower bound of bins is reached; every exchange makes
+    the sum of squares larger, so it does end.
     """
     full = Counter({p: n for p, n in bins.items() if sum(p) == capacity})
     offers = _Offers(capacity)
@@ -235,7 +235,7 @@ def local_search(bins: Counter, capacity: int, exchanges: int = EXCHANGES) -> Co
     total = sum(bins.values())
     least = -(-sum(sum(p) * n for p, n in bins.items()) // capacity)
     changed = False
-    for _ in range(exchanges):
+    while True:
         while donors and not offers.bins[offers.number[donors[0][1]]]:
             heappop(donors)
         if not donors and changed:  # what was stuck may give again
@@ -287,14 +287,15 @@ def slots(bins: Counter) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def ranked(rows: DataFrame, parts: int = RANK_PARTS) -> DataFrame:
-    """``rank`` of each row within its length, counted from 0; no task orders all rows of a length."""
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)))
+    """``rank`` of each row of a written table within its length, counted from 0; no task orders all rows of a length."""
+    # a row's place in its file tells equal rows apart, in the same way whenever it is read
+    rows = rows.select("*", F.pmod(F.xxhash64("_metadata.file_path", "_metadata.row_index"), F.lit(parts)).alias("part"), F.col("_metadata.row_index").alias("place"))
     before = rows.groupBy("length", "part").agg(F.count("*").alias("n")).withColumn("before", F.expr("sum(n) OVER (PARTITION BY length ORDER BY part) - n"))
-    inside = rows.withColumn("rank", F.expr("row_number() OVER (PARTITION BY length, part ORDER BY doc_id, piece, ids_crc32) - 1"))
+    inside = rows.withColumn("rank", F.expr("row_number() OVER (PARTITION BY length, part ORDER BY place, doc_id, piece, ids_crc32) - 1")).drop("place")
     return inside.join(before.drop("n"), ["length", "part"]).withColumn("rank", F.col("rank") + F.col("before")).drop("part", "before")
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, exchanges: int = EXCHANGES) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of every row of ``docs``.
 
     Only the histogram of lengths, at most ``capacity`` counts, reaches the
@@ -305,7 +306,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
     """
     cut = cut_lineage(pieces(docs, capacity, tokenizer))
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan = slots(local_search(best_fit(counts, capacity), capacity, exchanges))
+    plan = slots(local_search(best_fit(counts, capacity), capacity))
     schema = PIECES + ", sequence_id bigint, offset bigint"
     names = [f.name for f in pa_schema(PIECES)]
 
@@ -321,4 +322,4 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
                 sequence[at], offset[at] = start[row] + rank[at] - first[row], place[row]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sequence), pa.array(offset)], schema=pa_schema(schema))
 
-    return ranked(cut).mapInArrow(place, schema)
+    return ranked(cut, max(RANK_PARTS, max(counts.values(), default=0) // PART_ROWS)).mapInArrow(place, schema)
