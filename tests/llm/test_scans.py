@@ -1,3 +1,4 @@
+import random
 import collections
 import hashlib
 import re
@@ -95,6 +96,36 @@ def test_contamination_of_empty_tables_and_without_broadcast(corpus, spark):
     assert sorted((r.doc_id or 0, r.n_words, r.n_hit) for r in got) == [(0, 11, 10), (7, 1, 0), (7, 11, 10)]
 
 
+def test_contamination_by_shuffles_of_long_texts_and_clashing_columns(spark):
+    """As with the broadcast set, also where Spark may broadcast nothing."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(rng.choices(words, k=14)), "h", 3) for i in range(30)] + [(50, "short one", "h", 3), (51, None, None, None)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string, gram string, doc int")
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 60)) + items[i % 30][1].split() * (i % 2)) for i in range(40)]
+    texts += [" ".join(rng.choices(words, k=8000) + ["short", "one"]), None, ""]
+    docs = spark.createDataFrame([(i, t, "h", 1) for i, t in enumerate(texts)], "doc_id bigint, text string, h string, w int").repartition(3)
+    want = {tuple(r) for r in decontaminate.contamination(docs, bench).collect()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {tuple(r) for r in decontaminate.contamination(docs, bench, set_rows=0).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == want and sum(r[5] for r in got) >= 20
+
+
+def test_many_notices_in_one_text_take_linear_time():
+    import time
+
+    kept = licences.Templates(None, licences.THRESHOLD)
+    notice = next(iter(licences.TEMPLATES.values()))[0]
+    start = time.process_time()
+    found = licences.matches("\n\n".join(f"{notice}\n\nother words {i}" for i in range(1500)), kept)
+    assert len(found) >= 1500 and time.process_time() - start < 30
+    assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+
+
 def brute_licence(passage, threshold):
     best = None
     own = licences.bigrams(licences.normalised(passage))

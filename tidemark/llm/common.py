@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A table is broadcast only when its counted rows stay below this bound.
-BROADCAST_ROWS = 200_000
+#: A table is broadcast only when its counted rows and their bytes, written as JSON, stay below these bounds.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 128 << 20
 
 
 def documents(spark, sf_dir: str) -> DataFrame:
@@ -18,8 +18,13 @@ def documents(spark, sf_dir: str) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``rows`` rows, else as it is (a shuffled join)."""
-    return F.broadcast(df) if df.count() <= rows else df
+    """``df`` with a broadcast hint if it has at most ``rows`` rows of bounded size, else as it is (a shuffled join)."""
+    return F.broadcast(df) if is_small(df, rows) else df
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    counted = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes")).first()
+    return counted["n"] <= rows and counted["bytes"] <= BROADCAST_BYTES
 
 
 def words_of(text: str | None) -> list[bytes]:

@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import broadcast_if_small
+from tidemark.llm.common import broadcast_if_small, is_small
 from tidemark.session import cut_lineage
 
 #: Words of a window.
@@ -49,10 +49,14 @@ def hits(docs: DataFrame, windows: DataFrame, set_rows: int = SET_ROWS) -> DataF
     # hash 0 stands for the document itself and finds the set's extra element
     zero = F.array(F.lit(0).cast("bigint"))
     split = F.transform(F.array(words(F.col("text"))), lambda w: F.struct(w.alias("w"), F.concat(zero, *(_windows(w, n) for n in lengths)).alias("hashes")))
-    hashed = docs.select("doc", F.inline(split))
-    each = hashed.select("doc", "w", F.posexplode("hashes").alias("pos", "h"))
+    hash_words = lambda rows: rows.select("doc", F.inline(split))
     keys = grams.select("h").union(docs.sparkSession.range(1).select(F.lit(0).cast("bigint"))).distinct()
-    found = each.join(broadcast_if_small(keys, set_rows), "h")
+    if is_small(keys, set_rows):
+        found = hash_words(docs).select("doc", "w", F.posexplode("hashes").alias("pos", "h")).join(F.broadcast(keys), "h")
+    else:  # only numbers are shuffled for every window; the words join what was found
+        numbered = cut_lineage(docs.select("doc", "text"))
+        found = hash_words(numbered).select("doc", F.posexplode("hashes").alias("pos", "h")).join(keys, "h")
+        found = found.join(hash_words(numbered).select("doc", "w"), "doc")
     at, before = F.lit(-1), F.lit(0)
     length = F.lit(0)
     for n in lengths:

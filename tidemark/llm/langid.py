@@ -6,7 +6,7 @@ import re
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import broadcast_if_small, map_rows
@@ -122,7 +122,10 @@ def _training(docs: DataFrame, per_language: int) -> tuple[np.ndarray, np.ndarra
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
     # about twice the sample passes the threshold, so that cutting it to size leaves no gap
     share = F.pmod("h", F.lit(1 << 40)) < F.lit(float(1 << 41)) * per_language / F.col("n")
-    near = rows.join(broadcast_if_small(counts), "lang").filter(share).select("lang", "h", "text")
+    # rows of one doc_id give one text, so that what is collected is bounded however often an id is repeated
+    near = rows.join(broadcast_if_small(counts), "lang").filter(share).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    near = near.withColumn("rank", rank).filter(F.col("rank") <= per_language).select("lang", "h", "text")
 
     def vectors(cols):
         out = []
@@ -137,7 +140,7 @@ def _training(docs: DataFrame, per_language: int) -> tuple[np.ndarray, np.ndarra
             out.append(np.array([features(p) for p in parts], np.float16).tobytes())
         return {"lang": cols["lang"], "h": cols["h"], "x": out}
 
-    found = map_rows(near, "lang string, h bigint, x binary", vectors, ROWS).toPandas().sort_values(["lang", "h"]).groupby("lang").head(per_language)
+    found = map_rows(near, "lang string, h bigint, x binary", vectors, ROWS).toPandas().sort_values(["lang", "h"])
     x = [np.frombuffer(v, np.float16).reshape(-1, DIMENSIONS).astype(np.float32) for v in found["x"]]
     langs = np.repeat(found["lang"].to_numpy(object), [len(v) for v in x])
     return np.concatenate([np.zeros((0, DIMENSIONS), np.float32), *x]), langs

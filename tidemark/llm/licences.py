@@ -175,11 +175,12 @@ def matches(text: str | None, templates: Templates) -> list[tuple[int, int, str,
         if best:
             last = min(last, len(spelt))
             found.append((at[first], at[last - 1] + len(spelt[last - 1]), *best))
-    out: list[tuple[int, int, str, float]] = []
+    out: list[tuple[int, int, str, float]] = []  # by start; as none overlap, only the neighbours can be in the way
     for m in sorted(set(found), key=lambda m: (-m[3], m[0], -m[1])):
-        if all(m[1] <= o[0] or m[0] >= o[1] for o in out):
-            out.append(m)
-    return sorted(out)
+        k = bisect_left(out, m[:1])
+        if (k == 0 or out[k - 1][1] <= m[0]) and (k == len(out) or out[k][0] >= m[1]):
+            out.insert(k, m)
+    return out
 
 
 def licences(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataFrame:
