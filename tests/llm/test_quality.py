@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from tidemark.llm import quality as Q
@@ -52,11 +54,16 @@ def test_outliers_go_and_clean_documents_stay(judged):
     assert by_id.loc[932, "kept"] and not by_id.loc[932, "base_failed"]
 
 
-def test_small_and_empty_tables_keep_what_passes(spark):
+def test_small_and_empty_tables_are_judged_by_the_same_rule(spark):
     schema = "doc_id bigint, text string, lang string, source string"
     assert Q.quality(spark.createDataFrame([], schema)).count() == 0
     one = Q.quality(spark.createDataFrame([(1, clean(random.Random(1), 60), "en", "s")], schema)).first()
-    assert one.kept and one.distance is None
+    assert one.kept and one.distance < 1
+    # a group of fifty is judged by its own shape and its language's, without a switch
+    rng = random.Random(3)
+    rows = [(i, clean(rng, 100), "en", "a" if i < 50 else "b") for i in range(600)] + [(700, " ".join(w + "$%&" for w in clean(rng, 120).split()), "en", "a")]
+    got = {r.doc_id: r.kept for r in Q.quality(spark.createDataFrame(rows, schema)).collect()}
+    assert not got.pop(700) and all(got.values())
 
 
 def test_estimate_resists_a_third_of_outliers(spark):
@@ -65,3 +72,27 @@ def test_estimate_resists_a_third_of_outliers(spark):
     df = spark.createDataFrame(rows, "scope string, " + ", ".join(f"x{i} double" for i in range(Q.P)))
     center = Q.minimum_covariance(df).first().center
     assert all(abs(c - j) < 0.3 for j, c in enumerate(center))
+
+
+def test_kept_equals_a_plain_estimate(spark):
+    """The pulled estimates, from the MCD estimates of the three levels, as plain matrices."""
+    rng = random.Random(8)
+    rows = [(i, clean(rng, rng.randint(55, 200)), "en" if i % 2 else "de", f"s{i % 3}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = {r.doc_id: r.distance for r in Q.quality(df).collect()}
+    stats = Q.base_statistics(df).select("doc_id", "lang", "source", *(x.alias(f"x{i}") for i, x in enumerate(Q.transformed()))).toPandas()
+    frames = [stats.assign(scope=s) for s in ("all", "lang " + stats["lang"], "group " + stats["lang"] + stats["source"])]
+    found = Q.minimum_covariance(spark.createDataFrame(pd.concat(frames))).collect()
+    of = {r.scope: r for r in found}
+    for r in stats.itertuples():
+        center, cov = None, np.diag(np.square(Q.PRIOR))
+        for scope in ("all", f"lang {r.lang}", f"group {r.lang}{r.source}"):
+            e = of[scope]
+            own = np.zeros((Q.P, Q.P))
+            for v, (i, j) in zip(e.precision, Q._PAIRS):
+                own[i, j] = own[j, i] = v
+            mine = np.array(e.center)
+            center = mine if center is None else (e.n * mine + Q.PULL * center) / (e.n + Q.PULL)
+            cov = (e.n * np.linalg.inv(own) + Q.PULL * cov) / (e.n + Q.PULL)
+        x = np.array([getattr(r, f"x{i}") for i in range(Q.P)])
+        assert got[r.doc_id] == pytest.approx((x - center) @ np.linalg.inv(cov) @ (x - center))

@@ -20,7 +20,7 @@ from tidemark.session import cut_lineage
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Encoded words that a worker process keeps; it starts anew when full.
-CACHE = 1_000_000
+CACHE = 400_000
 #: Pieces of one length are ranked in so many independent parts at least, of about ``PART_ROWS`` pieces.
 RANK_PARTS, PART_ROWS = 256, 100_000
 

@@ -15,14 +15,16 @@ from tidemark.session import cut_lineage
 
 STATS = "doc_id bigint, lang string, source string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_lines bigint, n_capitals bigint"
 #: Of each transformed statistic, in the order of ``transformed``, the least standard
-#: deviation: a statistic that hardly varies in a group must not reject for trifles,
-#: and length alone must never reject.
-FLOORS = (0.20, 0.06, 0.20, 0.20, 0.12, 1.50)
+#: deviation: a statistic that hardly varies in a group must not reject for trifles.
+FLOORS = (0.10, 0.03, 0.15, 0.15, 0.12, 0.75)
+#: The spreads that all documents are pulled towards; they matter where there are hardly any documents.
+PRIOR = tuple(3 * f for f in FLOORS)
 P = len(FLOORS)
 #: Share of a group that the determinant is minimised over.
 H = 0.75
-#: Groups with fewer documents use the estimate of their language, then of all documents.
-MIN_GROUP = 200
+#: A group's estimate is pulled towards its language's as by so many documents of it, a
+#: language's towards that of all documents, and this towards ``PRIOR``.
+PULL = 100
 #: A document is rejected beyond this quantile of its squared distance.
 QUANTILE = 0.9995
 STEPS = 5
@@ -174,15 +176,43 @@ def minimum_covariance(rows: DataFrame) -> DataFrame:
     return cut_lineage(_estimates(near.groupBy("scope", "start").agg(*_sums()).selectExpr(*_AS_ARRAYS), _consistency(0.975)))
 
 
-def quality(docs: DataFrame, quantile: float = QUANTILE, min_group: int = MIN_GROUP) -> DataFrame:
+_PULLED = "lang string, source string, center array<double>, precision array<double>"
+
+
+def _pulled(groups: DataFrame, pull: float) -> DataFrame:
+    """(lang, source, center, precision) of each group from the estimates e0 of all documents, e1 of its language, e2 of itself.
+
+    Estimates are weighted by the documents behind them, so the group's own
+    shape prevails as it grows; there is no size at which the rule changes.
+    """
+
+    def run(frames):
+        for pdf in frames:
+            center = np.zeros((len(pdf), P))
+            cov = np.tile(np.diag(np.square(PRIOR)), (len(pdf), 1, 1))
+            for level in range(3):
+                own = np.zeros((len(pdf), P, P))
+                flat = np.array(pdf[f"p{level}"].tolist(), float).reshape(len(pdf), len(_PAIRS))
+                for k, (i, j) in enumerate(_PAIRS):
+                    own[:, i, j] = own[:, j, i] = flat[:, k]
+                n = pdf[f"n{level}"].to_numpy(float)[:, None]
+                mine = np.array(pdf[f"c{level}"].tolist(), float).reshape(len(pdf), P)
+                center = mine if level == 0 else (n * mine + pull * center) / (n + pull)
+                cov = (n[:, :, None] * np.linalg.inv(own) + pull * cov) / (n[:, :, None] + pull)
+            inverse = np.linalg.inv(cov)
+            yield pd.DataFrame({"lang": pdf["lang"].astype(object), "source": pdf["source"].astype(object), "center": list(center), "precision": [[m[i, j] for i, j in _PAIRS] for m in inverse]})
+
+    return groups.mapInPandas(run, _PULLED)
+
+
+def quality(docs: DataFrame, quantile: float = QUANTILE, pull: float = PULL) -> DataFrame:
     """doc_id, the counts, base_failed, kept and distance of every row of ``docs``.
 
     Base rules fail documents of fewer than 50 words or with more than half of
     the words in repeated three-word windows.  The others are judged by the
     squared Mahalanobis distance of their transformed statistics from the robust
-    estimate of their language and source; groups of fewer than ``min_group``
-    documents take the estimate of the language, then that of all documents, and
-    if even these are fewer, every document that passes the base rules is kept.
+    estimate of their language and source, which small groups share with their
+    language and all documents (``PULL``).
     Null lang or source is a group of its own; null and empty texts have no words
     and fail; repeated rows are judged alike and count as often as given; extra
     columns are ignored.
@@ -193,20 +223,13 @@ def quality(docs: DataFrame, quantile: float = QUANTILE, min_group: int = MIN_GR
     key = lambda *cols: F.concat(*(F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in cols))
     stats = stats.withColumn("base_failed", failed).select("*", *(x.alias(f"x{i}") for i, x in enumerate(transformed())))
     passed = stats.filter(~F.col("base_failed"))
-    scopes = passed.groupBy("lang", "source").agg(F.count("*").alias("n")).withColumn("in_lang", F.expr("sum(n) OVER (PARTITION BY lang)"))
-    total = scopes.agg(F.sum("n")).first()[0] or 0
-    scope = F.when(F.col("n") >= min_group, F.concat(F.lit("group "), key("lang", "source"))).when(F.col("in_lang") >= min_group, F.concat(F.lit("lang "), key("lang")))
-    scopes = cut_lineage(scopes.select("lang", "source", F.coalesce(scope, F.lit("all")).alias("scope")))
-    scopes_of = scopes.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), "scope")
+    levels = [F.lit("all"), F.concat(F.lit("lang "), key("lang")), F.concat(F.lit("group "), key("lang", "source"))]
+    estimate = minimum_covariance(passed.withColumn("scope", F.explode(F.array(*levels)))).select("scope", "n", "center", "precision")
+    groups = passed.select("lang", "source").distinct().select("*", *(x.alias(f"s{i}") for i, x in enumerate(levels)))
+    for i in range(3):
+        groups = groups.join(estimate.select(F.col("scope").alias(f"s{i}"), F.col("n").cast("double").alias(f"n{i}"), F.col("center").alias(f"c{i}"), F.col("precision").alias(f"p{i}")), f"s{i}")
+    own = cut_lineage(_pulled(groups, pull)).select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), "center", "precision")
     same = F.expr("lang <=> g_lang AND source <=> g_source")
-    stats = stats.join(broadcast_if_small(scopes_of), same, "left").drop("g_lang", "g_source")
-    if total < min_group:
-        judged = stats.withColumn("distance", F.lit(None).cast("double"))
-    else:
-        needed = scopes.select("scope").distinct()
-        levels = F.array(F.concat(F.lit("group "), key("lang", "source")), F.concat(F.lit("lang "), key("lang")), F.lit("all"))
-        rows = passed.withColumn("scope", F.explode(levels)).join(broadcast_if_small(needed), "scope", "left_semi")
-        estimate = minimum_covariance(rows).select("scope", "center", "precision")
-        judged = stats.join(broadcast_if_small(estimate), "scope", "left").withColumn("distance", _distance())
+    judged = stats.join(broadcast_if_small(own), same, "left").withColumn("distance", _distance())
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= _chi2_quantile(quantile, P))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, pa_schema
+from tidemark.llm.common import broadcast_if_small, map_rows, pa_schema
 from tidemark.llm.components import components
 from tidemark.session import cut_lineage
 
@@ -333,7 +333,8 @@ def shingle_sets(docs: DataFrame, width: int, short: bool = False) -> DataFrame:
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, width: int, short: bool = False) -> DataFrame:
     """(node, s) of ``nodes`` (node, rep, s1, s2); only documents named by ``rep`` are read again."""
-    reps = nodes.select(F.col("rep").alias("doc_id")).distinct()
+    # written and counted, so that texts are not shuffled where few are wanted
+    reps = broadcast_if_small(cut_lineage(nodes.select(F.col("rep").alias("doc_id")).distinct()))
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     wanted = d.join(reps, d["doc_id"].eqNullSafe(reps["doc_id"]), "left_semi")
     return shingle_sets(wanted, width, short).groupBy("s1", "s2").agg(F.first("s").alias("s")).join(nodes.select("node", "s1", "s2"), ["s1", "s2"]).select("node", "s")
