@@ -18,6 +18,7 @@ CHECKED = [
     "w1_expanding_zscore", "w4_year_over_year", "w9_q4_regime_timeline", "a18_o4_signature_match", "l1_l2_l3_lead_lag", "m1_m2_m3_baselines",
     "m7_m8_issued_forecasts", "m10_m11_transition_probability", "q1_metric_cards", "q7_a14_desk_entries", "x1_closed_buckets", "x3_revision_merge_stream",
     "x5_hysteresis_stream", "s8_nested_timeline_json", "s16_append_scores", "j10_replay_changes", "a11_flow_counts", "w7_current_view", "q3_district_payload", "q5_o2_headline",
+    "a19_basis_and_revisions", "a20_vintage_fingerprint", "x4_late_rows_stream", "s14_q5_documents",
 ]
 
 
