@@ -172,3 +172,17 @@ def test_later_rows_win_on_any_number_of_partitions(spark, tmp_path):
         assert H.current_view(rec).first()["value"] == 2.4 and H.first_in_batch(rec).first()["value"] == 1.0
     again = H.canonicalise(raw, "2026-08-01", batch=3)
     assert again.agg(F.min("seq")).first()[0] > rec.agg(F.max("seq")).first()[0]
+
+
+def test_rows_of_text_files_keep_their_order(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")  # files are split
+    try:
+        for name, n in (("b", 700), ("a", 300)):
+            (tmp_path / f"{name}.csv").write_text("".join(f"{name},{i}\n" for i in range(n)))
+        text = spark.read.schema("f string, n int").csv(str(tmp_path))
+        assert text.rdd.getNumPartitions() > 2
+        rows = H.with_ingest_order(text).orderBy("seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(r.f, r.n) for r in rows] == [("a", i) for i in range(300)] + [("b", i) for i in range(700)]

@@ -24,11 +24,17 @@ def with_ingest_order(df: DataFrame, batch: int = 0) -> DataFrame:
     Up to 2047 batches of a million files of four thousand million rows.
     """
     columns = [F.col(c) for c in df.columns if c != "seq"]
-    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    file = F.col("_metadata.file_path").alias("_file")
     try:
-        placed = df.select(*columns, *place)
+        placed = df.select(*columns, file, F.col("_metadata.row_index").alias("_row"))
     except AnalysisException:
-        placed = cut_lineage(df.select(*columns)).select(*columns, *place)
+        try:  # text files: the place of the block in its file, and of the row in its block (a row has a byte at least)
+            numbered = df.select(*columns, file, F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+        except AnalysisException:
+            return with_ingest_order(cut_lineage(df.select(*columns)), batch)
+        numbered = cut_lineage(numbered)
+        blocks = numbered.groupBy("_file", "_block").agg(F.min("_id").alias("_first"))
+        placed = numbered.join(blocks, ["_file", "_block"]).withColumn("_row", F.col("_block") + F.col("_id") - F.col("_first")).drop("_block", "_id", "_first")
     # one row a file
     files = placed.select("_file").distinct().withColumn("_rank", F.row_number().over(Window.orderBy("_file")) - 1)
     number = (F.lit(batch).cast("bigint") * (1 << 20) + F.col("_rank")) * (1 << 32) + F.col("_row")

@@ -104,7 +104,7 @@ def overview_movers(spark, sf_dir):
     + f""", mv AS (SELECT * FROM card WHERE {ELIGIBLE} QUALIFY row_number() OVER (PARTITION BY metric_id, geo_id ORDER BY place) = 1)
     SELECT metric_id, geo_id, label || ' in ' || place || CASE WHEN yoy > 0 THEN ' rose ' ELSE ' fell ' END || round(abs(yoy))::BIGINT || '% over the year to ' ||
       CASE cadence WHEN 'monthly' THEN strftime(make_date((pidx // 12)::INTEGER, (pidx % 12 + 1)::INTEGER, 1), '%B %Y') WHEN 'quarterly' THEN 'Q' || (pidx % 4 + 1) || ' ' || (pidx // 4) ELSE pidx::VARCHAR END || '.' AS sentence,
-      CASE WHEN geo_level = 'municipality' THEN 'Published for the municipality itself.' ELSE 'Published at ' || geo_level || ' level.' END AS qualifier
+      CASE WHEN geo_level = 'municipality' THEN '{D.QUALIFIER_OF_CITY}' ELSE '{D.QUALIFIER_OF_LEVEL[0]}' || geo_level || '{D.QUALIFIER_OF_LEVEL[1]}' END AS qualifier
     FROM mv WHERE geo_level IN ('municipality', 'province') AND abs(yoy) >= 5 ORDER BY abs(yoy) DESC, metric_id, geo_id LIMIT 1""",
 )
 def headline(spark, sf_dir):

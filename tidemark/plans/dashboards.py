@@ -25,6 +25,9 @@ from tidemark.schema import SERIES_KEY
 ATTENTION = r"^(wiki_|news_|search_)"
 HEADLINE_LEVELS = ["municipality", "province"]
 SUSPECT = 3.5
+# The qualifiers below a headline.
+QUALIFIER_OF_CITY = "Published for the municipality itself."
+QUALIFIER_OF_LEVEL = ("Published at ", " level.")
 TAIL = 96
 SHORT_TAIL = 36
 TOP_MOVERS = 24
@@ -150,8 +153,8 @@ def headline(cards: DataFrame) -> DataFrame:
         F.min_by(F.struct("metric_id", "geo_id", "place", "label", "yoy", "period", "geo_level"), F.struct(-F.abs("yoy"), "metric_id", "geo_id")).alias("h")
     )
     flat = best.where(F.col("h").isNotNull()).select("h.*")
-    scope = F.when(F.col("geo_level") == "municipality", "Published for the municipality itself.").otherwise(
-        F.concat(F.lit("Published at "), "geo_level", F.lit(" level."))
+    scope = F.when(F.col("geo_level") == "municipality", QUALIFIER_OF_CITY).otherwise(
+        F.concat(F.lit(QUALIFIER_OF_LEVEL[0]), "geo_level", F.lit(QUALIFIER_OF_LEVEL[1]))
     )
     return flat.withColumns({"sentence": headline_sentence("label", "place", "yoy", "period"), "qualifier": scope})
 

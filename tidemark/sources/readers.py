@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tidemark.operators.history import canonicalise, with_ingest_order
 from tidemark.schema import OBSERVATION
 
+# The columns of a history file.
 HISTORY_TEXT = T.StructType(
     [
         T.StructField(c, T.StringType())
