@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, packing, quality, secret_scan, simhash
+from tidemark.llm.common import broadcast_if_small
 from tidemark.session import cut_lineage, scratch_path
 
 
@@ -31,8 +32,8 @@ def _rows(docs: DataFrame) -> tuple[DataFrame, str]:
         hidden = docs.columns
         written = cut_lineage(docs.toDF(*(f"c{i}" for i in range(len(hidden)))))
         placed = written.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(hidden)), F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(place))
-    # one row a file
-    ranks = placed.select(file).distinct().withColumn(rank, F.row_number().over(Window.orderBy(file)).cast("bigint"))
+    # one row a file; written, so that texts are not shuffled by their file to meet the few ranks
+    ranks = broadcast_if_small(cut_lineage(placed.select(file).distinct().withColumn(rank, F.row_number().over(Window.orderBy(file)).cast("bigint"))))
     return placed.join(ranks, file).select(*docs.columns, (F.shiftleft(rank, 40) + F.col(place)).alias(row)), row
 
 

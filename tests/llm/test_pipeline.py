@@ -122,3 +122,32 @@ def test_columns_of_any_name_pass_through_the_stages(spark, folder, tmp_path):
     kept = docs.collect()
     assert len(kept) >= 55 and all(r[n] == f"{n}{r.doc_id}" for r in kept for n in names)
     assert corpus_pipeline.best_fit_packing(spark, docs, path).count() >= len(kept)
+
+
+def test_texts_are_not_shuffled_for_the_keys_of_rows(spark, folder):
+    path, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if no estimate were small
+    try:
+        rows, row = corpus_pipeline._rows(docs)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert rows.select(row).distinct().count() == rows.count()
+
+
+def test_written_results_leave_no_shuffle_files(spark, tmp_path):
+    from tidemark import session
+
+    before = spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    try:
+        with session.shuffles_dropped(spark):
+            assert spark.conf.get(session.SHUFFLE_CLEANUP) == "true"
+            raise KeyError
+    except KeyError:
+        pass
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == before
+    sums = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+    written = session.cut_lineage(sums)
+    assert written.count() == sums.count() == session.cut_lineage(sums).count()

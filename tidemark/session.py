@@ -5,9 +5,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting by which a query's shuffle files go when it ends, not when the driver collects its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(app: str = "tidemark", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks; a cluster brings its own session."""
@@ -50,14 +55,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that start and end within leave no shuffle files; for results written, as nothing reads those again."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and continue from there.
 
     Used where a result is read several times: the work before it is done once
-    and survives the loss of executors, and later reads prune columns.
+    and survives the loss of executors, later reads prune columns, and its
+    shuffle files go at once.
     """
     path = scratch_path(df.sparkSession, "cut")
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
