@@ -100,3 +100,21 @@ def test_window_hash_by_doubling_and_samples_cover():
 
 def test_levels_double():
     assert substrings.levels(13) == [8, 13] and substrings.levels(50) == [8, 16, 32, 50] and substrings.levels(5) == [5]
+
+
+def test_window_hashes_go_on_over_blocks_and_need_no_mixing(monkeypatch):
+    u = np.random.default_rng(5).integers(0, 2**64, 500, dtype=np.uint64)
+    whole = repeats.window_hash(u, 20)
+    assert (repeats.mix(repeats.window_hash(u, 20, mixed=False)) == whole).all() and not len(repeats.window_hash(u[:19], 20))
+    monkeypatch.setattr(repeats, "BLOCK", 64)
+    repeats._powers.cache_clear()
+    assert (repeats.window_hash(u, 20) == whole).all()
+    repeats._powers.cache_clear()
+
+
+def test_strings_with_one_hash_alike_are_told_apart():
+    h, g, key = (np.array(x, np.uint64) for x in ([5, 5, 5, 1], [1, 2, 1, 1], [7, 7, 7, 7]))
+    order = suffixes._by_string(h, g, key)
+    assert sorted(order.tolist()) == [0, 1, 2, 3]
+    at = {i: n for n, i in enumerate(order.tolist())}
+    assert abs(at[0] - at[2]) == 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import cache
 
 import numpy as np
 import xxhash
@@ -18,14 +19,19 @@ from tidemark.session import cut_lineage
 #: ``HOT_NAMES``, in ``HOT_CONTENTS`` sampled contents each.  They decide how work is dealt, not its result.
 HOT_SAMPLE, HOT_NAMES, HOT_CONTENTS = 32, 1000, 100
 SALTS = 64
+#: Units whose window hashes are taken at once; the arrays for so many stay in a core's cache.
+BLOCK = 16_384
 #: Odd multipliers of the two window hashes that together name a window.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> np.uint64(30))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASES[0]))
@@ -42,21 +48,29 @@ def word_units(text: str | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def window_hash(units: np.ndarray, length: int, base: int = BASES[0]) -> np.ndarray:
-    """The polynomial hash modulo 2^64 of every run of ``length`` units, mixed; by doubling."""
-    n = max(0, len(units) - length + 1)
-    out, done = None, 0
-    part, size, power = units, 1, base
-    while True:
-        if length & size:
-            piece = part[done : done + n]
-            out = piece if out is None else out * np.uint64(power) + piece
-            done += size
-        if 2 * size > length:
-            break
-        part = part[: max(0, len(part) - size)] * np.uint64(power) + part[size:]
-        size, power = 2 * size, power * power % 2**64
-    return mix(out)
+@cache
+def _powers(base: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Modulo 2^64 the powers of an odd ``base`` from ``length`` - 1 on, and those of its inverse from 0 on."""
+    falling = np.full(BLOCK + length - 1, pow(base, -1, 2**64), np.uint64)
+    rising = np.full(BLOCK, base, np.uint64)
+    falling[0], rising[0] = 1, pow(base, length - 1, 2**64)
+    return np.cumprod(rising), np.cumprod(falling)
+
+
+def window_hash(units: np.ndarray, length: int, base: int = BASES[0], mixed: bool = True) -> np.ndarray:
+    """The polynomial hash modulo 2^64 of every run of ``length`` units, as differences of running sums.
+
+    Mixed, unless only asked for equality, which mixing does not change.
+    """
+    out = np.empty(max(0, len(units) - length + 1), np.uint64)
+    rising, falling = _powers(base, length)
+    for at in range(0, len(out), BLOCK):
+        part = units[at : at + BLOCK + length - 1]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * falling[: len(part)], out=sums[1:])
+        n = len(part) - length + 1
+        np.multiply(sums[length:] - sums[:n], rising[:n], out=out[at : at + n])
+    return mix(out) if mixed else out
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -69,39 +83,60 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def samples(units: np.ndarray, window: int, gram: int) -> np.ndarray:
+def samples(units: np.ndarray, window: int, gram: int, hashes: np.ndarray | None = None) -> np.ndarray:
     """For every window of ``window`` units the position of its sample: its least-hashed run of ``gram`` units.
 
     Equal windows have their sample at the same place, so the samples are a
     cover: whatever is repeated has a sample that is repeated.  Positions never
-    fall from one window to the next.
+    fall from one window to the next.  ``hashes`` are those of all runs, if at hand.
     """
     if len(units) < window:
         return np.zeros(0, np.int64)
     bits = np.uint64(int(len(units)).bit_length())
-    hashes = window_hash(units, gram)
+    hashes = window_hash(units, gram) if hashes is None else hashes
     ranked = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
     least = sliding_least(ranked, window - gram + 1)
     return (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
+def within(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are among the ``ordered`` values."""
+    if not len(ordered):
+        return np.zeros(len(x), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
+
+
 def everywhere(hashes: np.ndarray, starts: list[int]) -> np.ndarray:
     """Whether the window at each place of a text is one of those at ``starts``."""
-    return np.isin(hashes, hashes[np.array(starts, np.int64)])
+    out = np.zeros(len(hashes), bool)
+    out[np.array(starts, np.int64)] = True
+    ordered = np.sort(hashes)
+    # only a text that repeats a window has it elsewhere
+    return within(hashes, np.unique(hashes[out])) if (ordered[1:] == ordered[:-1]).any() else out
+
+
+def content_name(content: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(content) - 2**63
+
+
+def measured(docs: DataFrame, measure: Callable[[str | None], tuple[int, bytes]], rows: int = 256) -> DataFrame:
+    """(doc_id, c, n, sha) of each row: content hash, size and digest."""
+
+    def run(cols):
+        contents = [measure(text) for text in cols["text"]]
+        return {"doc_id": cols["doc_id"], "c": [content_name(x) for _, x in contents], "n": [n for n, _ in contents], "sha": [hashlib.sha256(x).hexdigest() for _, x in contents]}
+
+    return map_rows(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), "doc_id bigint, c bigint, n bigint, sha string", run, rows)
 
 
 def packed(docs: DataFrame, measure: Callable[[str | None], tuple[int, bytes]], rows: int = 256) -> DataFrame:
-    """(doc_id, c, n, sha, z) of each row: content hash, size, digest and compressed text."""
+    """(doc_id, c, z) of each row: content hash and compressed text."""
 
     def run(cols):
         z = zstandard.ZstdCompressor(level=1)
-        out = []
-        for doc_id, text in zip(cols["doc_id"], cols["text"]):
-            n, content = measure(text)
-            out.append((doc_id, xxhash.xxh3_64_intdigest(content) - 2**63, n, hashlib.sha256(content).hexdigest(), z.compress((text or "").encode())))
-        return dict(zip(("doc_id", "c", "n", "sha", "z"), list(zip(*out)) or [()] * 5))
+        return {"doc_id": cols["doc_id"], "c": [content_name(measure(t)[1]) for t in cols["text"]], "z": [z.compress((t or "").encode()) for t in cols["text"]]}
 
-    return map_rows(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), "doc_id bigint, c bigint, n bigint, sha string, z binary", run, rows)
+    return map_rows(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), "doc_id bigint, c bigint, z binary", run, rows)
 
 
 def unpack(z: bytes) -> str:
@@ -125,14 +160,15 @@ def sample_names(docs: DataFrame, units, measure, window: int, gram: int, rows:
         name, c = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for text in cols["text"]:
             u = units(text)
-            at = np.unique(samples(u, window, gram))
+            hashes = window_hash(u, gram)
+            at = samples(u, window, gram, hashes)
             if len(at):
-                found = np.unique(window_hash(u, gram)[at])
+                found = np.unique(hashes[at[np.r_[True, at[1:] != at[:-1]]]])
                 name.append(found)
-                c.append(np.full(len(found), xxhash.xxh3_64_intdigest(measure(text)[1]) - 2**63))
+                c.append(np.full(len(found), content_name(measure(text)[1])))
         out = {"name": np.concatenate(name).view(np.int64), "c": np.concatenate(c)}
         if salted:
-            out["salt"] = np.where(np.isin(out["name"], hot), 1 + out["c"] % SALTS, 0).astype(np.int32)
+            out["salt"] = np.where(within(out["name"], hot), 1 + out["c"] % SALTS, 0).astype(np.int32)
         return out
 
     return map_rows(docs.select(F.col("text").cast("string")), "name bigint, c bigint" + ", salt int" * salted, run, rows)
@@ -161,5 +197,4 @@ def split_copies(stats: DataFrame) -> DataFrame:
 def candidates(docs: DataFrame, stats: DataFrame, names: DataFrame, measure, rows: int) -> DataFrame:
     """(doc_id, c, z, names) of the rows that can share a window with another content: no copies, no null ids."""
     wanted = stats.filter("NOT copy AND doc_id IS NOT NULL").select("doc_id", "c").distinct().join(names, "c")
-    texts = packed(docs, measure, rows).select("doc_id", "c", "z")
-    return cut_lineage(texts.join(wanted, ["doc_id", "c"]))
+    return cut_lineage(packed(docs, measure, rows).join(wanted, ["doc_id", "c"]))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, words_of
-from tidemark.llm.repeats import BASES, candidates, everywhere, hot_names, packed, repeated_samples, samples, split_copies, unpack, window_hash, word_units
+from tidemark.llm.repeats import BASES, candidates, everywhere, hot_names, measured, repeated_samples, samples, split_copies, unpack, window_hash, word_units
 from tidemark.session import cut_lineage
 
 WINDOW = 13
@@ -124,7 +124,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     doc_id are left whole and take nothing from others; rows that repeat a doc_id
     are judged alike against smaller ids.  Extra columns are ignored.
     """
-    stats = cut_lineage(packed(docs, measure, ROWS).select("doc_id", "c", "n", "sha"))
+    stats = cut_lineage(measured(docs, measure, ROWS))
     stats = cut_lineage(split_copies(stats))
     texts, later = repeated_windows(docs, stats, window)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, pa_schema
-from tidemark.llm.repeats import BASES, _BYTE, byte_units, candidates, everywhere, hot_names, packed, repeated_samples, samples, split_copies, unpack, window_hash
+from tidemark.llm.repeats import BASES, _BYTE, byte_units, candidates, everywhere, hot_names, measured, repeated_samples, samples, split_copies, unpack, window_hash, within
 from tidemark.session import cut_lineage
 
 LENGTH = 50
@@ -39,31 +39,37 @@ def suffixes(found: DataFrame, length: int, sample: int, hot: np.ndarray, of_hot
     """
 
     def run(cols):
-        out = {k: [] for k in ("name", "doc_id", "c", "first", "count", "context")}
+        numbers = {k: [np.zeros(0, np.int64)] for k in ("name", "doc_id", "c", "first", "count")}
+        contexts = []
         for doc_id, c, z, names in zip(*(cols[k] for k in ("doc_id", "c", "z", "names"))):
-            if of_hot and not np.isin(names, hot).any():
+            names = np.sort(np.array(names, np.int64))
+            if of_hot and not within(names, hot).any():
                 continue
             raw = unpack(z).encode()
             u = _BYTE[np.frombuffer(raw, np.uint8)]
-            at = samples(u, length, sample)
+            hashes = window_hash(u, sample)
+            at = samples(u, length, sample, hashes)
             begin = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-            name = window_hash(u, sample)[at[begin]].view(np.int64)
-            count = np.diff(np.r_[begin, len(at)])
-            keep = np.isin(name, np.array(names, np.int64)) & (np.isin(name, hot) == of_hot)
-            given = set()
-            for s, n, k in zip(begin[keep].tolist(), count[keep].tolist(), name[keep].tolist()):
-                context = raw[s : s + n + length - 1]
-                if context not in given:
-                    given.add(context)
-                    for key, value in zip(out, (k, doc_id, c, s, n, context)):
-                        out[key].append(value)
-        return out
+            name = hashes[at[begin]].view(np.int64)
+            keep = within(name, names) & (within(name, hot) == of_hot)
+            name, first, count = name[keep], begin[keep], np.diff(np.r_[begin, len(at)])[keep]
+            found = [raw[s:e] for s, e in zip(first.tolist(), (first + count + (length - 1)).tolist())]
+            places = {}
+            for i, context in enumerate(found):
+                places.setdefault(context, i)
+            if len(places) < len(found):
+                once = np.array(list(places.values()))
+                name, first, count = name[once], first[once], count[once]
+            contexts += places
+            for column, value in zip(numbers.values(), (name, np.full(len(name), doc_id), np.full(len(name), c), first, count)):
+                column.append(value)
+        return {k: np.concatenate(v) for k, v in numbers.items()} | {"context": contexts}
 
     return map_rows(found, _SUFFIXES, run, ROWS)
 
 
 def _expand(batch: pa.RecordBatch, length: int):
-    """All suffixes of the rows of a batch: two hashes of ``length`` bytes, row number, start."""
+    """All suffixes of the rows of a batch, by row and start: two hashes of ``length`` bytes, row number, start."""
     first, count = (batch.column(n).to_numpy() for n in ("first", "count"))
     raw = np.frombuffer(b"".join(batch.column("context").to_pylist()), np.uint8)
     u = _BYTE[raw]
@@ -71,7 +77,19 @@ def _expand(batch: pa.RecordBatch, length: int):
     inside = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
     spans = count + length - 1
     at = np.repeat(np.cumsum(spans) - spans, count) + inside
-    return window_hash(u, length)[at], window_hash(u, length, BASES[1])[at], rows, first[rows] + inside
+    return window_hash(u, length, mixed=False)[at], window_hash(u, length, BASES[1], False)[at], rows, first[rows] + inside
+
+
+def _differ(*columns: np.ndarray) -> np.ndarray:
+    """Which rows, after the first, are unlike the one before them."""
+    return np.logical_or.reduce([x[1:] != x[:-1] for x in columns])
+
+
+def _by_string(h: np.ndarray, g: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """An order with equal (h, g, key) next to each other: by ``h`` alone where that tells them apart."""
+    order = np.argsort(h)
+    mixed = ~_differ(h[order]) & _differ(g[order], key[order])
+    return np.lexsort((g, h, key)) if mixed.any() else order
 
 
 def _sort_buckets(length: int):
@@ -79,7 +97,7 @@ def _sort_buckets(length: int):
 
     Equal strings stand by equal samples, so they meet in one bucket.  A bucket
     is put in order by the 128-bit names of its strings, equal ones next to each
-    other, smallest document first.  Of a bucket that goes on into the next slab
+    other.  Of a bucket that goes on into the next slab
     only its distinct strings with their smallest document are kept.
     """
     schema = pa_schema(_RUNS)
@@ -95,10 +113,10 @@ def _sort_buckets(length: int):
                 name, doc = batch.column("name").to_numpy(), batch.column("doc_id").to_numpy()
                 h, g, rows, start = _expand(batch, length)
                 key = name[rows]
-                order = np.lexsort((doc[rows], g, h, key))
-                h, g, key, rows, start = h[order], g[order], key[order], rows[order], start[order]
-                new = np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1]) | (key[1:] != key[:-1])]
-                least = doc[rows][np.flatnonzero(new)]
+                order = _by_string(h, g, key)
+                h, g, key, of = h[order], g[order], key[order], doc[rows[order]]
+                new = np.r_[True, _differ(h, g, key)]
+                least = np.minimum.reduceat(of, np.flatnonzero(new))
                 group = np.cumsum(new) - 1
                 if open_name is not None and name[0] == open_name:
                     for i in np.flatnonzero(new & (key == open_name)).tolist():
@@ -110,10 +128,8 @@ def _sort_buckets(length: int):
                 open_name = name[-1]
                 for i in np.flatnonzero(new & (key == open_name)).tolist():
                     seen.setdefault((h[i], g[i]), least[group[i]])
-                hit = doc[rows] > least[group]
+                hit = np.sort(order[of > least[group]])
                 rows, start = rows[hit], start[hit]
-                order = np.lexsort((start, rows))
-                rows, start = rows[order], start[order]
                 begin = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (start[1:] != start[:-1] + 1)]) if len(rows) else np.zeros(0, np.int64)
                 stop = start[np.r_[begin[1:], len(start)] - 1] if len(rows) else start
                 of = rows[begin]
@@ -159,7 +175,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, sample: int = SAMPLE) ->
     take nothing from others; rows that repeat a doc_id are judged alike against
     smaller ids.  Extra columns are ignored.
     """
-    stats = cut_lineage(packed(docs, measure, ROWS).select("doc_id", "c", "n", "sha"))
+    stats = cut_lineage(measured(docs, measure, ROWS))
     stats = cut_lineage(split_copies(stats))
     texts, later = repeated_strings(docs, stats, length, sample)
 
@@ -167,11 +183,12 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, sample: int = SAMPLE) ->
         removed, spans, sha = [], [], []
         for z, starts, stops in zip(cols["z"], cols["starts"], cols["stops"]):
             raw = np.frombuffer(unpack(z).encode(), np.uint8)
-            at = np.concatenate([np.arange(a, b + 1) for a, b in zip(starts, stops)])
+            starts, n = np.array(starts, np.int64), np.array(stops, np.int64) - starts + 1
+            at = np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
             at = np.flatnonzero(everywhere(window_hash(_BYTE[raw], length), at))
             gone = np.zeros(len(raw) + 1, np.int64)
-            np.add.at(gone, at, 1)
-            np.add.at(gone, at + length, -1)
+            gone[at] += 1
+            gone[at + length] -= 1
             gone = np.cumsum(gone)[:-1] > 0
             removed.append(int(gone.sum()))
             spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
