@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 import xxhash
 
+from tidemark.llm import components as C
 from tidemark.llm import simhash as S
 from tidemark.llm.components import components
 
@@ -121,3 +122,34 @@ def test_components_of_chains_and_hubs(spark):
     df = spark.createDataFrame(edges, "a bigint, b bigint")
     got = {r.node: r.label for r in components(df).collect()}
     assert got == {i: 40 for i in range(40, 71)} | {i: 100 for i in range(100, 160)} | {2: 2, 8: 2}
+
+
+def test_edges_that_are_stars_take_no_steps(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(C, "cut_lineage", lambda df, f=C.cut_lineage: written.append(1) or f(df))
+    edges = [(1, i) for i in range(2, 60)] + [(70, i) for i in range(71, 90)] + [(5, 1), (4, 4)]
+    got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {i: 1 for i in range(1, 60)} | {i: 70 for i in range(70, 90)}
+    assert len(written) == 1
+    # two stars that share a leaf, a leaf that is a centre, and a ring
+    odd = [(1, 9), (2, 9), (2, 8), (20, 21), (21, 22), (30, 31), (31, 32), (32, 33), (33, 30)]
+    got = {r.node: r.label for r in components(spark.createDataFrame(odd, "a bigint, b bigint")).collect()}
+    assert got == {1: 1, 2: 1, 8: 1, 9: 1} | {i: 20 for i in (20, 21, 22)} | {i: 30 for i in range(30, 34)}
+
+
+def test_no_queries_are_run_on_no_pairs(corpus, monkeypatch):
+    checked = []
+    monkeypatch.setattr(S, "_checked", lambda *args, f=S._checked: checked.append(1) or f(*args))
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(12)]
+    got = {r.doc_id: r.component_id for r in S.near_duplicates(corpus([*texts, texts[3]]), **S.SIMILAR).collect()}
+    assert got == {i: i for i in range(12)} | {12: 3}
+    assert not checked
+
+
+def test_later_links_join_components_by_their_labels(spark):
+    labelled = spark.createDataFrame([(i, i, 0, i, label) for i, label in enumerate([0, 0, 2, 2, 4, 5, 5, 7])], "node bigint, rep bigint, s1 bigint, s2 bigint, label bigint")
+    links = spark.createDataFrame([(3, 6), (1, 7), (2, 3)], "a bigint, b bigint")
+    out = S._joined(labelled, links)
+    assert out.columns == labelled.columns
+    assert [r.label for r in out.orderBy("node").collect()] == [0, 0, 2, 2, 4, 2, 2, 0]
+    assert [r.label for r in S._joined(labelled, links.limit(0)).orderBy("node").collect()] == [0, 0, 2, 2, 4, 5, 5, 7]

@@ -304,12 +304,13 @@ def fingerprint_links(fps: DataFrame, distance: int, checked: bool = False, coun
     keyed = fps.filter("node IS NOT NULL").select("node", *names).mapInArrow(index, "key bigint, node bigint, " + ", ".join(f"{n} bigint" for n in names))
     link = lambda rows, size, once: rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_link_sorted(names, distance, checked, cuts, size, once), _link_schema(names))
     found = cut_lineage(link(keyed, block, True))
+    links = found.filter("block < 0").select("a", "b")
     members = found.filter("block >= 0").select(F.col("a").alias("key"), "block", F.col("b").alias("node"), *names)
-    blocks = members.groupBy("key").agg((F.max("block") + 1).alias("n"))
-    cells = members.join(blocks, "key").withColumn("other", F.explode(F.expr("sequence(0, n - 1)"))).filter("other <> block")
-    cells = cells.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "node", *names)
-    across = link(cells, 4 * block, False)
-    links = found.filter("block < 0").select("a", "b").union(across.filter("block < 0").select("a", "b"))
+    if not members.isEmpty():
+        blocks = members.groupBy("key").agg((F.max("block") + 1).alias("n"))
+        cells = members.join(blocks, "key").withColumn("other", F.explode(F.expr("sequence(0, n - 1)"))).filter("other <> block")
+        cells = cells.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "node", *names)
+        links = links.union(link(cells, 4 * block, False).filter("block < 0").select("a", "b"))
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -334,7 +335,8 @@ def shingle_sets(docs: DataFrame, width: int, short: bool = False) -> DataFrame:
 def _sets_of(docs: DataFrame, nodes: DataFrame, width: int, short: bool = False) -> DataFrame:
     """(node, s) of ``nodes`` (node, rep, s1, s2); only documents named by ``rep`` are read again."""
     # written and counted, so that texts are not shuffled where few are wanted
-    reps = broadcast_if_small(cut_lineage(nodes.select(F.col("rep").alias("doc_id")).distinct()))
+    nodes = cut_lineage(nodes.select("node", "rep", "s1", "s2"))
+    reps = broadcast_if_small(nodes.select(F.col("rep").alias("doc_id")))
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     wanted = d.join(reps, d["doc_id"].eqNullSafe(reps["doc_id"]), "left_semi")
     return shingle_sets(wanted, width, short).groupBy("s1", "s2").agg(F.first("s").alias("s")).join(nodes.select("node", "s1", "s2"), ["s1", "s2"]).select("node", "s")
@@ -357,8 +359,8 @@ def _checked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int,
     dealt = cut_lineage(pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")))
     named = dealt.select(F.col("a").alias("node")).union(dealt.select(F.col("b").alias("node"))).distinct()
     sets = cut_lineage(_sets_of(docs, classes.join(named, "node", "left_semi"), width, short))
-    heads = dealt.select("a", "part").distinct().join(sets.select(F.col("node").alias("a"), "s"), "a").select("a", "part", F.lit(None).cast("bigint").alias("b"), "s")
-    members = dealt.join(sets.select(F.col("node").alias("b"), "s"), "b").select("a", "part", "b", "s")
+    wanted = dealt.select("a", "part").distinct().select("a", "part", F.lit(None).cast("bigint").alias("b"), F.col("a").alias("node"))
+    wanted = wanted.union(dealt.select("a", "part", "b", F.col("b").alias("node"))).join(sets, "node")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     read = (lambda s: _told_apart(np.frombuffer(s.as_buffer(), np.uint16))) if short else lambda s: np.frombuffer(s.as_buffer(), np.uint64).copy()
 
@@ -378,7 +380,7 @@ def _checked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int,
                     keep_b.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(keep_a, pa.int64()), pa.array(keep_b, pa.int64())], names=["a", "b"])
 
-    rows = heads.unionByName(members).repartition(parts, "a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
+    rows = wanted.repartition(parts, "a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
     return rows.select("a", "b", "s").mapInArrow(check, "a bigint, b bigint")
 
 
@@ -386,9 +388,14 @@ def similar(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, j
     """Those ``pairs`` (a, b) of nodes of ``classes`` whose sets of word shingles have at least this Jaccard similarity.
 
     First by 16 bits of each hash, which can only make sets more similar, then
-    what is left by whole hashes.
+    what is left by whole hashes.  The result is written; where no pairs are
+    left, no query is run on them.
     """
-    return _checked(docs, cut_lineage(_checked(docs, pairs, classes, width, jaccard, True)), classes, width, jaccard, False)
+    for short in (True, False):
+        if pairs.isEmpty():
+            break
+        pairs = cut_lineage(_checked(docs, pairs, classes, width, jaccard, short))
+    return pairs
 
 
 def _common_shingles(docs: DataFrame, classes: DataFrame, width: int) -> np.ndarray:
@@ -455,6 +462,21 @@ def prefix_pairs(docs: DataFrame, classes: DataFrame, width: int, jaccard: float
     return pairs.filter(F.col("c") + after >= jaccard / (1 + jaccard) * (F.col("n") + F.col("m")) - 1e-6).select("a", "b", "to", "c")
 
 
+def _between(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, ...) with the labels of both, a_label and b_label."""
+    of = lambda n: labelled.select(F.col("node").alias(n), F.col("label").alias(f"{n}_label"))
+    return pairs.join(of("a"), "a").join(of("b"), "b")
+
+
+def _joined(labelled: DataFrame, links: DataFrame) -> DataFrame:
+    """``labelled`` after ``links`` (a, b) joined some of its components, which alone are the nodes that are linked."""
+    if links.isEmpty():
+        return labelled
+    joined = components(_between(links, labelled).select(F.col("a_label").alias("a"), F.col("b_label").alias("b")))
+    named = labelled.join(joined.select(F.col("node").alias("label"), F.col("label").alias("least")), "label", "left")
+    return cut_lineage(named.withColumn("label", F.coalesce("least", "label")).select(labelled.columns))
+
+
 def similar_documents(docs: DataFrame, width: int, distance: int, n_words: int, count: int | None, jaccard: float, block: int = BLOCK) -> DataFrame:
     """(doc_id, fp, ..., component_id) of every row, linked exactly where shingle sets have this Jaccard similarity.
 
@@ -474,22 +496,15 @@ def similar_documents(docs: DataFrame, width: int, distance: int, n_words: int,
     classes = prints.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.min(F.struct(*names)).alias("f")).select("s1", "s2", "rep", "f.*")
     classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()))
     near = cut_lineage(fingerprint_links(classes.select("node", *names), distance, True, count, block))
-    links = cut_lineage(similar(docs, near, classes, width, jaccard))
+    links = similar(docs, near, classes, width, jaccard)
     nodes = classes.select("node", "rep", "s1", "s2")
-
-    def label(links: DataFrame) -> DataFrame:
-        return cut_lineage(nodes.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node")))
-
-    labelled = label(links)
+    labelled = cut_lineage(nodes.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node")))
     rest = cut_lineage(prefix_pairs(docs, labelled, width, jaccard))
     # of each node and component first the pair that shares most: where it is similar, the others need no check
-    best = rest.groupBy("a", "to").agg(F.max_by("b", F.struct("c", "b")).alias("b")).select("a", "b")
-    links = cut_lineage(links.union(similar(docs, best, classes, width, jaccard)))
-    labelled = label(links)
-    of = lambda n: labelled.select(F.col("node").alias(n), F.col("label").alias(f"{n}_label"))
-    apart = rest.join(of("a"), "a").join(of("b"), "b").filter("a_label <> b_label").select("a", "b").join(best, ["a", "b"], "left_anti")
-    links = links.union(similar(docs, apart, classes, width, jaccard))
-    labelled = label(links)
+    best = cut_lineage(rest.groupBy("a", "to").agg(F.max_by("b", F.struct("c", "b")).alias("b")).select("a", "b"))
+    labelled = _joined(labelled, similar(docs, best, classes, width, jaccard))
+    apart = cut_lineage(_between(rest, labelled).filter("a_label <> b_label").select("a", "b").join(best, ["a", "b"], "left_anti"))
+    labelled = _joined(labelled, similar(docs, apart, classes, width, jaccard))
     least = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
     return prints.join(labelled.join(least, "label").select("s1", "s2", "component_id"), ["s1", "s2"]).select("doc_id", *names, "component_id")
 
